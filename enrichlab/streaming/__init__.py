@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysed workload reads finished warehouse partitions in batch; it has no watermark,
+window, state or late-data logic, so no Structured Streaming operator is claimed here.
+The batch plans in ``enrichlab.plans`` are incremental-friendly (they filter on month / date
+partitions), which is how new data is picked up.
+"""
