@@ -212,7 +212,7 @@ def date_diff_seconds(start: ColumnOrName, end: ColumnOrName) -> Column:
 
 def prefix_to_date(c: ColumnOrName) -> Column:
     """``CAST(SUBSTRING(x, 1, 10) AS DATE)``; unparsable -> null."""
-    return F.try_to_date(F.substring(col(c), 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(col(c), 1, 10), "yyyy-MM-dd")
 
 
 def regex_replace(c: ColumnOrName, pattern: str, replacement: str) -> Column:
