@@ -61,11 +61,16 @@ def range_bucket_expr(df: DataFrame, order: Sequence[str], buckets: int = 64, ov
         if not bounds or b != bounds[-1]:
             bounds.append(b)
     types = [df.schema[c].dataType for c in order]
-    expr = F.lit(0)
-    for b in bounds:
-        lit_struct = F.struct(*[_lit_like(v, t).alias(c) for v, t, c in zip(b, types, order)])
-        expr = expr + (key > lit_struct).cast("int")
-    return expr
+    lits = [F.struct(*[_lit_like(v, t).alias(c) for v, t, c in zip(b, types, order)]) for b in bounds]
+
+    def tree(lo: int, hi: int) -> Column:
+        # bucket = number of boundaries strictly below the key, found by bisection
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key > lits[mid], tree(mid + 1, hi)).otherwise(tree(lo, mid))
+
+    return tree(0, len(bounds))
 
 
 def _sort_key(t):
@@ -102,10 +107,9 @@ def global_prefix(
     cols = {}
     for k, v in values.items():
         m = offsets[k]
-        off = F.lit(None)
-        for bk, ov in m.items():
-            if ov is not None:
-                off = F.when(F.col(b) == bk, F.lit(ov)).otherwise(off)
+        nb = max(m) + 1 if m else 1
+        arr = F.array(*[F.lit(m.get(i)) for i in range(nb)])
+        off = F.element_at(arr, F.col(b) + 1)
         inner = agg(v).over(w)
         if op == "sum":
             cols[k] = F.coalesce(inner, F.lit(0)) + F.coalesce(off, F.lit(0))
@@ -254,10 +258,11 @@ def quantile_bins_with_null_bin(
         label = F.col(c).cast("string")
     binned = binned.withColumns({
         "bin": F.when(F.col(c).isNull(), F.lit("NULL")).otherwise(label),
+        "bin_index": F.when(F.col(c).isNotNull(), F.col("__bin")),
         "left_edge": F.when(F.col(c).isNotNull(), left),
     })
     l2s = F.try_divide(F.col(sales).cast("double"), F.col(leads))
-    return binned.groupBy("bin", "left_edge").agg(
+    return binned.groupBy("bin", "bin_index", "left_edge").agg(
         F.count(leads).alias("leads_count"),
         F.sum(leads).cast("bigint").alias("total_leads"),
         F.sum(qls).cast("bigint").alias("total_qls"),
