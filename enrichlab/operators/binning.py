@@ -125,7 +125,15 @@ def global_prefix(
 def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], buckets: int = 64) -> list[float | None]:
     """Exact linear-interpolated quantiles of non-null ``c`` (distributed ranks)."""
     vals = df.select(S.nan_to_null(F.col(c).cast("double")).alias("v")).filter(F.col("v").isNotNull())
-    counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    # distinct values with counts: reused by the 4 small jobs below, so kept in memory
+    counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n")).persist()
+    try:
+        return _quantiles_from_counts(counts, probs, buckets)
+    finally:
+        counts.unpersist()
+
+
+def _quantiles_from_counts(counts: DataFrame, probs: Sequence[float], buckets: int) -> list[float | None]:
     n_total = counts.agg(F.sum("n")).first()[0]
     if not n_total:
         return [None for _ in probs]
