@@ -258,7 +258,9 @@ def quantile_bins_with_null_bin(
     q_eff = min(q, nd)
     if q_eff > 1:
         binned, edges = bin_quantile(df, c, q_eff, "__bin", method)
-        left = F.when(F.col("__bin").isNotNull(), F.element_at(F.array(*[F.lit(e) for e in edges]), F.col("__bin") + 1))
+        left = F.lit(None).cast("double")
+        for i, e in enumerate(edges[:-1]):
+            left = F.when(F.col("__bin") == i, F.lit(e)).otherwise(left)
         label = interval_label(edges, F.col("__bin"))
     else:
         binned = df.withColumn("__bin", F.lit(0))

@@ -85,10 +85,10 @@ class PSaleRatio(Estimator):
     fit), 'all' keeps every column."""
 
     def __init__(self, mode: str = "essential", enrichment: Sequence[str] = (), essential: Sequence[str] = (),
-                 max_null_pct: float = 60.0, eps: float = EPS):
+                 max_null_pct: float = 60.0, eps: float = EPS, passthrough: Sequence[str] = ()):
         super().__init__()
         self.mode, self.enrichment, self.essential = mode, list(enrichment), list(essential)
-        self.max_null_pct, self.eps = max_null_pct, eps
+        self.max_null_pct, self.eps, self.passthrough = max_null_pct, eps, list(passthrough)
 
     def _with_p(self, df):
         return df.withColumn("p_sale", p_sale_expr(df, self.eps))
@@ -101,6 +101,10 @@ class PSaleRatio(Estimator):
             keep = list(dict.fromkeys(cols))
             _, dropped = drop_high_null_columns(x.select(*keep), self.max_null_pct, keep=("p_sale",))
             keep = [c for c in keep if c not in dropped]
+        if self.mode == "only":
+            keep = ["p_sale"]
+        if keep is not None:
+            keep = keep + [c for c in self.passthrough if c not in keep]
         return PSaleRatioModel(self.mode, keep, self.eps, extra=dropped)
 
 
@@ -111,9 +115,7 @@ class PSaleRatioModel(Model):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         x = df.withColumn("p_sale", p_sale_expr(df, self.eps))
-        if self.mode == "only":
-            return x.select("p_sale")
-        if self.mode == "essential":
+        if self.mode in ("only", "essential"):
             return x.select(*[c for c in self.keep if c in x.columns])
         return x
 
@@ -300,6 +302,21 @@ class UserRankOnly(_Fn):
         return df.select(*[flags[c].alias(c) for c in USER_RANK_COLUMNS])
 
 
+class UserRankOnlyKeep(_Fn):
+    """UserRankOnly that also keeps pass-through columns (label, keys) for a pipeline."""
+
+    def __init__(self, passthrough: Sequence[str] = ()):
+        super().__init__()
+        self.passthrough = list(passthrough)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        keep = [F.col(c) for c in self.passthrough if c in df.columns]
+        if "users_prob_sale" not in df.columns:
+            return df.select(*keep, *[F.lit(0).alias(c) for c in USER_RANK_COLUMNS])
+        flags = user_rank_flags()
+        return df.select(*keep, *[flags[c].alias(c) for c in USER_RANK_COLUMNS])
+
+
 class DropUserRank(_Fn):
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.drop(*[c for c in USER_RANK_COLUMNS if c in df.columns])
