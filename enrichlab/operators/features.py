@@ -475,3 +475,48 @@ def log_target(df: DataFrame, c: str, out: str | None = None) -> DataFrame:
 def avg_deposit_per_sale(df: DataFrame, dep: str, sales: str, out: str = "avg_deposit_per_sale") -> DataFrame:
     """deposit / (sales + 1e-6) - leaks the target; only when sales is kept, off by default."""
     return df.withColumn(out, F.col(dep) / (F.col(sales) + 1e-6))
+
+
+def auto_preprocessor(num: Sequence[str], cat: Sequence[str], strategy: str = "median", skip: Sequence[str] = (),
+                      out: str = "features") -> list:
+    """Pipeline stages: numeric -> impute (median / mean / mode; Spark's Imputer rejects an
+    all-null column, so drop such columns first) + robust scaling (centred, exact quantiles);
+    categorical -> 'Unknown' fill + one-hot with all levels kept and unseen levels mapped to
+    all zeros; assembled into ``out``.  Columns in ``skip`` pass through unscaled."""
+    from pyspark.ml.feature import Imputer, OneHotEncoder, RobustScaler, StringIndexer, VectorAssembler
+
+    num = [c for c in num if c not in set(skip)]
+    stages: list = [_CastDouble(num), _FillLabel(cat, "Unknown")]
+    if num:
+        stages.append(Imputer(inputCols=num, outputCols=[f"{c}__imp" for c in num], strategy=strategy, relativeError=0.0))
+        stages.append(VectorAssembler(inputCols=[f"{c}__imp" for c in num], outputCol="__num", handleInvalid="keep"))
+        stages.append(RobustScaler(inputCol="__num", outputCol="__num_scaled", withCentering=True, relativeError=0.0))
+    ohe_cols = []
+    for c in cat:
+        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__ohe_all", dropLast=True, handleInvalid="keep"))
+        ohe_cols.append(f"{c}__ohe_all")
+    parts = (["__num_scaled"] if num else []) + ohe_cols + list(skip)
+    stages.append(VectorAssembler(inputCols=parts, outputCol=out, handleInvalid="keep"))
+    # unseen levels: StringIndexer 'keep' gives them the extra last index, which
+    # OneHotEncoder(dropLast=True) removes - every training level keeps its slot, unseen -> zeros
+    return stages
+
+
+class _CastDouble(Transformer):
+    def __init__(self, cols: Sequence[str]):
+        super().__init__()
+        self.cols = list(cols)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        present = [c for c in self.cols if c in df.columns]
+        return df.withColumns({c: F.col(c).cast("double") for c in present})
+
+
+class _FillLabel(Transformer):
+    def __init__(self, cols: Sequence[str], label: str):
+        super().__init__()
+        self.cols, self.label = list(cols), label
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(self.label)) for c in self.cols if c in df.columns})
