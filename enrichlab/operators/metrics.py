@@ -281,12 +281,21 @@ def ece_equal_width(df: DataFrame, y: str = "y", p: str = "p", n_bins: int = 10)
 def score_row(df: DataFrame, y: str = "y", p: str = "p", n_bins: int = 5, model: str | None = None) -> DataFrame:
     """AUC, R2, RMSE, log-loss and ECE of one scored frame as one row (each metric null when
     it cannot be computed, e.g. AUC on a one-class frame)."""
-    auc = roc_auc(df, y, p).select("roc_auc").scalar()
-    ll = log_loss(df, y, p).select("log_loss").scalar()
-    reg = regression_errors(df, y, p)
-    ece = ece_quantile(df, y, p, n_bins).select("ece").scalar()
-    out = reg.select(auc.alias("roc_auc"), "r2", "rmse", ll.alias("log_loss"), ece.alias("ece"))
-    return out.select(F.lit(model).alias("model"), "*") if model is not None else out
+    # evaluated eagerly on a persisted narrow frame: one scoring pass feeds every metric
+    x = df.select(F.col(y).cast("double").alias("y"), F.col(p).cast("double").alias("p")).persist()
+    try:
+        vals = {
+            "roc_auc": roc_auc(x, "y", "p").first()[0],
+            **regression_errors(x, "y", "p").select("r2", "rmse").first().asDict(),
+            "log_loss": log_loss(x, "y", "p").first()[0],
+            "ece": ece_quantile(x, "y", "p", n_bins).first()[0],
+        }
+    finally:
+        x.unpersist()
+    spark = df.sparkSession
+    row = spark.createDataFrame([(model, vals["roc_auc"], vals["r2"], vals["rmse"], vals["log_loss"], vals["ece"])],
+                                "model string, roc_auc double, r2 double, rmse double, log_loss double, ece double")
+    return row if model is not None else row.drop("model")
 
 
 def score_table(scored: Mapping[str, DataFrame], y: str = "y", p: str = "p") -> DataFrame:

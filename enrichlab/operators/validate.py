@@ -89,12 +89,15 @@ def weighted_metric_avg(metrics: DataFrame, weight: str = "weight", by: Sequence
 def score_frame(scored: DataFrame, label: str, p: str = "p") -> dict[str, float | None]:
     """The fold metrics (roc_auc null on a one-class fold; the others still computed)."""
     row = {}
+    # the narrow scored frame is reused by every metric below: score once
+    scored = scored.select(F.col(label).cast("double").alias(label), F.col(p).alias(p)).persist()
     auc = M.roc_auc(scored, label, p).first()[0]
     row["roc_auc"] = auc
     row["log_loss"] = M.log_loss(scored, label, p).first()[0]
     r = M.regression_errors(scored, label, p).first()
     row["r2_proba"], row["rmse_proba"] = r["r2"], r["rmse"]
     row["ece"] = M.ece_quantile(scored, label, p, 5).first()[0]
+    scored.unpersist()
     return row
 
 
@@ -108,7 +111,7 @@ def _with_p(df: DataFrame) -> DataFrame:
 
 
 def time_series_cv(pipeline: Pipeline | Estimator, df: DataFrame, date: str, label: str, folds: DataFrame,
-                   name: str = "model", metric_label: str | None = None) -> DataFrame:
+                   name: str = "model", metric_label: str | None = None, score_train: bool = True) -> DataFrame:
     """Per fold: fit on the train dates, score train and test; weight = test rows.  Returns
     (model, fold, split, metric, value, weight) rows.  The input should be persisted."""
     rows = []
@@ -117,7 +120,7 @@ def time_series_cv(pipeline: Pipeline | Estimator, df: DataFrame, date: str, lab
         tr = df.filter(F.to_date(F.col(date)).between(f["train_from"], f["train_to"]))
         te = df.filter(F.to_date(F.col(date)).between(f["test_from"], f["test_to"]))
         model = pipeline.fit(tr)
-        for split, part in (("train", tr), ("test", te)):
+        for split, part in ((("train", tr),) if score_train else ()) + (("test", te),):
             sc = _with_p(model.transform(part))
             for k, v in score_frame(sc, ml).items():
                 rows.append((name, int(f["fold"]), split, k, None if v is None else float(v), float(f["test_rows"])))
@@ -125,14 +128,15 @@ def time_series_cv(pipeline: Pipeline | Estimator, df: DataFrame, date: str, lab
 
 
 def run_cv_all(pipelines: Mapping[str, Pipeline], df: DataFrame, date: str, label: str, features: Sequence[str],
-               train: int = 90, test: int = 7, step: int = 7, metric_label: str | None = None) -> DataFrame:
+               train: int = 90, test: int = 7, step: int = 7, metric_label: str | None = None,
+               score_train: bool = True) -> DataFrame:
     """Drop rows where every enrichment feature is null, then CV every pipeline on the same
     folds; returns the test-split weighted averages per model and metric."""
     from enrichlab.operators.filters import drop_all_null_rows
 
     x = drop_all_null_rows(df, features, on_empty="skip").persist()
     folds = time_series_folds(x, date, train, test, step).persist()
-    parts = [time_series_cv(p, x, date, label, folds, name, metric_label) for name, p in pipelines.items()]
+    parts = [time_series_cv(p, x, date, label, folds, name, metric_label, score_train) for name, p in pipelines.items()]
     allm = parts[0]
     for p in parts[1:]:
         allm = allm.unionByName(p)
@@ -148,6 +152,14 @@ def get_best_model(metrics: DataFrame, metric: str, higher_is_better: bool | Non
     return metrics.orderBy(o).limit(1)
 
 
+def _auc_once(scored: DataFrame, label: str) -> float | None:
+    s = scored.select(label, "p").persist()
+    try:
+        return M.roc_auc(s, label, "p").first()[0]
+    finally:
+        s.unpersist()
+
+
 def class_balance(df: DataFrame, label: str, split: str | None = None) -> DataFrame:
     keys = [split] if split else []
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(label) > 0).alias("positives"),
@@ -163,7 +175,7 @@ def random_search(estimator: Estimator, space: Mapping[str, Sequence], df: DataF
     draws = []
     for _ in range(n_iter):
         draws.append({k: rng.choice(list(v)) for k, v in space.items()})
-    metric_fn = metric_fn or (lambda s: M.roc_auc(_with_p(s), label, "p").first()[0])
+    metric_fn = metric_fn or (lambda s: _auc_once(_with_p(s), label))
     fold = F.pmod(F.xxhash64(F.col(fold_key).cast("string"), F.lit(seed)), F.lit(folds))
     x = df.withColumn("__fold", fold).persist()
     results = []

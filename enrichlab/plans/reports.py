@@ -137,9 +137,9 @@ def partner_analysis(name: str, df: DataFrame, features: Sequence[str], target:
 
 def cv_comparison(df: DataFrame, pipelines: Mapping[str, Pipeline], date: str, label: str,
                   features: Sequence[str] = MD.ENRICHMENT_FEATURES, train: int = 90, test: int = 7, step: int = 7,
-                  metric_label: str | None = None) -> DataFrame:
+                  metric_label: str | None = None, score_train: bool = True) -> DataFrame:
     """Rolling time-series CV of every pipeline on the same date folds, weighted by test rows,
     ranked by RMSE (ascending)."""
-    avg = V.run_cv_all(pipelines, df, date, label, features, train, test, step, metric_label)
+    avg = V.run_cv_all(pipelines, df, date, label, features, train, test, step, metric_label, score_train)
     wide = avg.groupBy("model").pivot("metric", ["roc_auc", "log_loss", "r2_proba", "rmse_proba", "ece"]).agg(F.first("weighted_avg"))
     return wide.orderBy(F.col("rmse_proba").asc_nulls_last())
