@@ -17,8 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def min_over_partition(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """``min(value) over (partition by keys)`` as aggregate + null-safe join back."""
+def min_over_partition(df: DataFrame, keys: Sequence[str], value: str, out: str, reuse: bool = True) -> DataFrame:
+    """``min(value) over (partition by keys)`` as aggregate + null-safe join back.
+
+    The input feeds two branches (the rows and their per-key minimum); with ``reuse`` it is
+    persisted so both read one cached relation instead of recomputing the upstream scan and
+    joins.  (A window would need every row of a hot key in one task; the aggregate is
+    combined map-side and AQE splits a hot key in the join.)"""
+    if reuse:
+        df = df.persist()
     aliases = {k: f"__k{i}" for i, k in enumerate(keys)}
     m = df.groupBy(*[F.col(k).alias(a) for k, a in aliases.items()]).agg(F.min(value).alias(out))
     cond = None
