@@ -96,3 +96,11 @@ def join_many_outer_reduce(df: DataFrame, key: str, aggs: Sequence[Column]) -> D
     """Re-aimed: the reference outer-joins one small frame per column on ``key``; that is one
     ``groupBy(key).agg(*all)`` here - one shuffle, no joins."""
     return df.groupBy(key).agg(*aggs)
+
+
+def join_self_lookup_by_index(scored: DataFrame, full: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Re-attach columns of the full rows to a scored subset by its row key.  (The reference
+    re-indexes a test split back into the full frame; keeping the key through the pipeline
+    makes this a many-to-one equi-join on a unique key.)"""
+    extra = full.select(key, *[c for c in cols if c not in scored.columns])
+    return scored.join(extra, key, "left")
