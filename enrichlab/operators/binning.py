@@ -124,44 +124,66 @@ def global_prefix(
 
 def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], buckets: int = 64) -> list[float | None]:
     """Exact linear-interpolated quantiles of non-null ``c`` (distributed ranks)."""
-    vals = df.select(S.nan_to_null(F.col(c).cast("double")).alias("v")).filter(F.col("v").isNotNull())
-    # distinct values with counts: reused by the 4 small jobs below, so kept in memory
-    counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n")).persist()
+    return exact_quantiles_multi(df, [c], probs, buckets)[c]
+
+
+def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                          buckets: int = 64) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns in ONE pass: unpivot to (column, value), count per
+    distinct pair (map-side combined: a hot value is one row), one global prefix over
+    (column, value), per-column offsets from the per-column totals (one row per column), then
+    fetch only the rows that bracket the wanted ranks (<= 2 per column and probability)."""
+    cols = list(cols)
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), S.nan_to_null(F.col(c).cast("double")).alias("v"))
+                                for i, c in enumerate(cols)]))
+    long = df.select(pairs.alias("kv")).select("kv.k", "kv.v").filter(F.col("v").isNotNull())
+    # distinct (column, value) with counts: reused by the small jobs below, so kept in memory
+    counts = long.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).persist()
     try:
-        return _quantiles_from_counts(counts, probs, buckets)
+        totals = {r["k"]: r["t"] for r in counts.groupBy("k").agg(F.sum("n").alias("t")).collect()}  # <= len(cols) rows
+        offsets, run = {}, 0
+        for i in range(len(cols)):
+            offsets[i] = run
+            run += totals.get(i, 0)
+        wanted: dict[int, list[tuple[float, int, int]]] = {}
+        cond = None
+        for i in range(len(cols)):
+            t = totals.get(i, 0)
+            if not t:
+                continue
+            wanted[i] = []
+            for p in probs:
+                h = (t - 1) * float(p)
+                lo, hi = math.floor(h), math.ceil(h)
+                wanted[i].append((h, lo, hi))
+                for r in {lo, hi}:
+                    g = offsets[i] + r
+                    cnd = (F.col("k") == i) & (F.col("before") <= g) & (F.col("before") + F.col("n") > g)
+                    cond = cnd if cond is None else cond | cnd
+        out = {c: [None for _ in probs] for c in cols}
+        if cond is None:
+            return out
+        pref = global_prefix(counts, ["k", "v"], {"before": F.col("n")}, inclusive=False, buckets=buckets)
+        rows = pref.filter(cond).select("k", "v", "before", "n").collect()  # <= 2 * len(probs) * len(cols) rows
+
+        def at(i, r):
+            g = offsets[i] + r
+            for row in rows:
+                if row["k"] == i and row["before"] <= g < row["before"] + row["n"]:
+                    return row["v"]
+            raise AssertionError((i, r))
+
+        for i, lst in wanted.items():
+            vals = []
+            for h, lo, hi in lst:
+                a, b = at(i, lo), at(i, hi)
+                vals.append(a if lo == hi or a == b else a + (b - a) * (h - lo))
+            out[cols[i]] = vals
+        return out
     finally:
         counts.unpersist()
 
 
-def _quantiles_from_counts(counts: DataFrame, probs: Sequence[float], buckets: int) -> list[float | None]:
-    n_total = counts.agg(F.sum("n")).first()[0]
-    if not n_total:
-        return [None for _ in probs]
-    ranks = set()
-    pos = []
-    for p in probs:
-        h = (n_total - 1) * float(p)
-        lo, hi = math.floor(h), math.ceil(h)
-        ranks.update((lo, hi))
-        pos.append((h, lo, hi))
-    pref = global_prefix(counts, ["v"], {"before": F.col("n")}, inclusive=False, buckets=buckets)
-    conds = None
-    for r in sorted(ranks):
-        cnd = (F.col("before") <= r) & (F.col("before") + F.col("n") > r)
-        conds = cnd if conds is None else conds | cnd
-    rows = pref.filter(conds).select("v", "before", "n").collect()  # <= 2 * len(probs) rows
-    def at(r):
-        for row in rows:
-            if row["before"] <= r < row["before"] + row["n"]:
-                return row["v"]
-        raise AssertionError(r)
-    out = []
-    for h, lo, hi in pos:
-        a, b = at(lo), at(hi)
-        out.append(a if lo == hi or a == b else a + (b - a) * (h - lo))
-    return out
-
-
 def quantile_edges(df: DataFrame, c: str, q: int, method: str = "ranks") -> list[float]:
     """qcut edges: quantiles at 0, 1/q, ..., 1, deduplicated (``duplicates='drop'``)."""
     probs = [i / q for i in range(q + 1)]

@@ -41,6 +41,16 @@ def median_of(df: DataFrame, c: str, method: str = "exact", accuracy: int = 1000
     return exact_quantiles(df, c, [0.5])[0]
 
 
+def medians_of(df: DataFrame, cols: Sequence[str], method: str = "exact", accuracy: int = 10000) -> dict:
+    """Medians of several columns in one pass (exact distributed ranks, or approximate)."""
+    from enrichlab.operators.binning import exact_quantiles_multi
+
+    if method == "approx":
+        row = df.agg(*[F.percentile_approx(S.nan_to_null(F.col(c).cast("double")), 0.5, accuracy).alias(c) for c in cols]).first()
+        return {c: row[c] for c in cols}
+    return {c: v[0] for c, v in exact_quantiles_multi(df, cols, [0.5]).items()}
+
+
 def mode_of(df: DataFrame, c: str):
     """Most frequent non-null value, smallest on ties (pandas ``mode().iloc[0]``): a grouped
     count and a top-1 (TakeOrderedAndProject), so no value->count map sits in one task."""
@@ -333,6 +343,9 @@ class MedianModeImputer(Estimator):
 
     def _fit(self, df: DataFrame) -> "FillModel":
         nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]).first()
+        need = [f.name for f in df.schema.fields if nulls[f.name] and f.name not in self.fixed
+                and isinstance(f.dataType, NumericType)]
+        meds = medians_of(df, need, self.median_method) if need else {}
         fills = {}
         for f in df.schema.fields:
             c = f.name
@@ -341,9 +354,8 @@ class MedianModeImputer(Estimator):
             if c in self.fixed:
                 fills[c] = self.fixed[c]
             elif isinstance(f.dataType, NumericType):
-                m = median_of(df, c, self.median_method)
-                if m is not None:  # an all-null column stays null
-                    fills[c] = m
+                if meds.get(c) is not None:  # an all-null column stays null
+                    fills[c] = meds[c]
             elif isinstance(f.dataType, StringType):
                 m = mode_of(df, c)
                 fills[c] = m if m is not None else "Unknown"
@@ -384,13 +396,8 @@ class MedianFillBasic(Estimator):
         self.cols, self.median_method = list(cols), median_method
 
     def _fit(self, df: DataFrame) -> FillModel:
-        fills = {}
-        for c in self.cols:
-            if c in df.columns:
-                m = median_of(df, c, self.median_method)
-                if m is not None:
-                    fills[c] = m
-        return FillModel(fills)
+        meds = medians_of(df, [c for c in self.cols if c in df.columns], self.median_method)
+        return FillModel({c: m for c, m in meds.items() if m is not None})
 
 
 class NumericOnly(_Fn):

@@ -91,17 +91,28 @@ def feature_availability(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, accuracy: int | None = None) -> DataFrame:
-    """count, mean, std, min, 25 %, 50 %, 75 %, max per numeric column (exact linear
-    quantiles; ``accuracy`` switches to ``percentile_approx``)."""
+    """count, mean, std, min, 25 %, 50 %, 75 %, max per numeric column.  Moments come from one
+    aggregate; the quartiles are exact and distributed (``exact_quantiles``: ranks over
+    distinct values, no whole-column value map in one task) - or ``percentile_approx`` with
+    ``accuracy``."""
+    from enrichlab.operators.binning import exact_quantiles_multi
+
     cols = list(cols) if cols is not None else numeric_columns(df)
     aggs = []
     for c in cols:
         x = S.nan_to_null(F.col(c).cast("double"))
-        q = F.percentile(x, [0.25, 0.5, 0.75]) if accuracy is None else F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"), q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+        if accuracy is not None:
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"))
     wide = df.agg(*aggs)
-    wide = wide.select("*", *[F.col(f"{c}__q")[i].alias(f"{c}__{n}") for c in cols for i, n in enumerate(("p25", "p50", "p75"))])
+    if accuracy is not None:
+        wide = wide.select("*", *[F.col(f"{c}__q")[i].alias(f"{c}__{n}") for c in cols
+                                  for i, n in enumerate(("p25", "p50", "p75"))])
+    else:
+        qs = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75])  # 3 values per column, one pass
+        wide = wide.select("*", *[F.lit(qs[c][i]).cast("double").alias(f"{c}__{n}") for c in cols
+                                  for i, n in enumerate(("p25", "p50", "p75"))])
     return _long(wide, cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
 
 
