@@ -45,13 +45,51 @@ def min_version_over_subid(df: DataFrame, subid: str = "subid", version: str = "
 
 def row_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     """``row_number() over (partition by keys order by ...)`` kept as a column (the order must
-    be total for determinism: pass a tie-break)."""
+    be total for determinism: pass a tie-break).  Every row of a key is sorted in one task:
+    use ``skew_safe_row_number`` when a key can hold a large share of the rows."""
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
+def skew_safe_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]], out: str,
+                         buckets: int = 64) -> DataFrame:
+    """``row_number() over (partition by keys order by c1 [desc] nulls last, ...)`` without
+    putting a key in one task: the rows' global position in (keys, order) comes from
+    ``global_prefix`` (range buckets cut inside a hot key too), and the rank is that position
+    minus the key's first position (a grouped ``min`` joined back).  ``order`` is a list of
+    (column, ascending); descending works for numeric and timestamp columns (negated), nulls
+    sort last; the order must be total (end with a unique tie-break)."""
+    from enrichlab.operators.binning import global_prefix
+
+    sort_cols, tmp = list(keys), {}
+    for i, (c, asc) in enumerate(order):
+        dt = df.schema[c].dataType.typeName()
+        nul, val = f"__o{i}_null", f"__o{i}_v"
+        tmp[nul] = F.col(c).isNull().cast("int")
+        if asc:
+            tmp[val] = F.col(c)
+        elif dt.startswith("timestamp"):
+            tmp[val] = -F.unix_micros(F.col(c).cast("timestamp"))
+        elif dt in ("string", "binary", "boolean", "date"):
+            if dt == "date":
+                tmp[val] = -F.unix_date(F.col(c))
+            else:
+                raise NotImplementedError(f"descending order on {dt} column {c}")
+        else:
+            tmp[val] = -F.col(c)
+        sort_cols += [nul, val]
+    x = df.withColumns(tmp).persist()  # read by the sample, the bucket totals and the ranking pass
+    pos = global_prefix(x, sort_cols, {"__pos": F.lit(1)}, inclusive=True, buckets=buckets)
+    ranked = min_over_partition(pos, list(keys), "__pos", "__first", reuse=True)
+    return ranked.withColumn(out, (F.col("__pos") - F.col("__first") + 1).cast("int")).drop("__pos", "__first", *tmp)
+
+
 def latest_click_rank(df: DataFrame, key: str = "visit_iid", ts: str = "clickout_timestamp",
-                      tiebreak: Sequence[str] = ("channel_click_id",), out: str = "click_rank") -> DataFrame:
-    return row_rank(df, [key], [F.col(ts).desc_nulls_last(), *[F.col(t) for t in tiebreak]], out)
+                      tiebreak: Sequence[str] = ("channel_click_id",), out: str = "click_rank",
+                      skew_safe: bool = True) -> DataFrame:
+    """Rank of each click within its visit, latest first (nulls last), ties by ``tiebreak``."""
+    if skew_safe:
+        return skew_safe_row_number(df, [key], [(ts, False), *[(t, True) for t in tiebreak]], out)
+    return row_rank(df, [key], [F.col(ts).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tiebreak]], out)
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str], payload: Sequence[str] | None = None) -> DataFrame:
