@@ -202,9 +202,10 @@ def equal_leads_bins(df: DataFrame, sales: str, p: str, leads: str, row_key: str
 
 
 def _materialize(df: DataFrame, release: Sequence[DataFrame]) -> DataFrame:
-    """Persist the result (it is small per bin downstream) and release the inputs."""
-    out = df.persist()
-    out.count()
+    """Write the binned rows once (checkpoint folder) and release the cached inputs."""
+    from enrichlab.session import materialize
+
+    out = materialize(df)
     for r in release:
         r.unpersist()
     return out

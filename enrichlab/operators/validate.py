@@ -74,7 +74,11 @@ def time_series_folds(df: DataFrame, date: str, train: int = 90, test: int = 7,
         (F.col("train_to_cum") - F.col("train_from_cum") + F.col("train_from_n")).alias("train_rows"),
         (F.col("test_to_cum") - F.col("test_from_cum") + F.col("test_from_n")).alias("test_rows"),
     )
-    return out.filter((F.col("train_rows") >= min_train) & (F.col("test_rows") >= min_test)).orderBy("fold")
+    from enrichlab.session import materialize
+
+    out = materialize(out.filter((F.col("train_rows") >= min_train) & (F.col("test_rows") >= min_test)))
+    idx.unpersist()
+    return out.orderBy("fold")
 
 
 def weighted_metric_avg(metrics: DataFrame, weight: str = "weight", by: Sequence[str] = ("model", "metric"),
@@ -140,6 +144,8 @@ def run_cv_all(pipelines: Mapping[str, Pipeline], df: DataFrame, date: str, labe
     allm = parts[0]
     for p in parts[1:]:
         allm = allm.unionByName(p)
+    x.unpersist()  # the metric rows above are already computed (driver-side rows)
+    folds.unpersist()
     return weighted_metric_avg(allm.filter(F.col("split") == "test"))
 
 

@@ -17,15 +17,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def min_over_partition(df: DataFrame, keys: Sequence[str], value: str, out: str, reuse: bool = True) -> DataFrame:
+def min_over_partition(df: DataFrame, keys: Sequence[str], value: str, out: str, reuse: str = "table") -> DataFrame:
     """``min(value) over (partition by keys)`` as aggregate + null-safe join back.
 
-    The input feeds two branches (the rows and their per-key minimum); with ``reuse`` it is
-    persisted so both read one cached relation instead of recomputing the upstream scan and
-    joins.  (A window would need every row of a hot key in one task; the aggregate is
-    combined map-side and AQE splits a hot key in the join.)"""
-    if reuse:
-        df = df.persist()
+    The input feeds two branches (the rows and their per-key minimum); ``reuse='table'``
+    materializes it once under the checkpoint folder so both branches read it instead of
+    recomputing the upstream scans and joins (``'none'`` recomputes).  A window would need
+    every row of a hot key in one task; the aggregate is combined map-side and AQE splits a
+    hot key in the join."""
+    from enrichlab.session import materialize
+
+    df = materialize(df, reuse)
     aliases = {k: f"__k{i}" for i, k in enumerate(keys)}
     m = df.groupBy(*[F.col(k).alias(a) for k, a in aliases.items()]).agg(F.min(value).alias(out))
     cond = None
@@ -77,9 +79,11 @@ def skew_safe_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[tup
         else:
             tmp[val] = -F.col(c)
         sort_cols += [nul, val]
-    x = df.withColumns(tmp).persist()  # read by the sample, the bucket totals and the ranking pass
+    from enrichlab.session import materialize
+
+    x = materialize(df.withColumns(tmp))  # read by the sample, the bucket totals and the ranking pass
     pos = global_prefix(x, sort_cols, {"__pos": F.lit(1)}, inclusive=True, buckets=buckets)
-    ranked = min_over_partition(pos, list(keys), "__pos", "__first", reuse=True)
+    ranked = min_over_partition(pos, list(keys), "__pos", "__first", reuse="table")
     return ranked.withColumn(out, (F.col("__pos") - F.col("__first") + 1).cast("int")).drop("__pos", "__first", *tmp)
 
 

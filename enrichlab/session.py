@@ -30,7 +30,8 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "enrichlab") -> SparkSession:
-    """A local session for tests and the bench (a cluster passes its own session)."""
+    """A local session for tests and the bench (a cluster passes its own session, whose
+    ``spark.checkpoint.dir`` names the shared folder)."""
     b = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -39,6 +40,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "enric
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("ENRICHLAB_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="enrichlab-ckpt-"))
     )
     for k, v in {**REQUIRED_CONF, **SCALE_CONF}.items():
         b = b.config(k, v)
@@ -59,6 +61,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df, how: str = "table"):
+    """Materialize an intermediate that several branches / jobs read.
+
+    ``table`` (default): write it as parquet under the shared checkpoint folder and read it
+    back - computed once, lineage cut, survives lost executors, holds no executor memory.
+    ``persist``: cache it (the caller must ``unpersist``).  ``none``: recompute per use."""
+    if how == "table":
+        import uuid
+
+        spark = df.sparkSession
+        path = f"{checkpoint_dir(spark).rstrip('/')}/enrichlab-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    if how == "persist":
+        return df.persist()
+    return df
+
+
 def cut_lineage(df, spark: SparkSession | None = None):
     """Reliable checkpoint (never localCheckpoint) so lost executors can recompute nothing."""
     spark = spark or df.sparkSession
