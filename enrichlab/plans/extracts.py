@@ -107,10 +107,12 @@ def enrichment_first_version(enrich: DataFrame, funnel: DataFrame, p: ExtractPar
         pred_c = pred_c & F.col("c_product_id").isin(list(p.product_ids))
     j = J.join_left_then_filter_right(e, c, [("subid", "cid")], pred_c)
     attrs = {k: v for k, v in ENRICH_ATTRS.items() if v in e.columns}
+    # one row per revision (the extract also counts distinct age values per revision; nothing
+    # downstream reads that count, so it is not computed here)
     by_version = A.agg_enrichment_by_version(
-        j, ["subid", "en_visit_iid", "en_channel_click_id", "process_name", "partner_name", "rn"], attrs,
-        distinct_col="age_group" if "age_group" in e.columns else None,
-    )
+        j, ["subid", "en_visit_iid", "en_channel_click_id", "process_name", "partner_name", "rn"], attrs)
+    # only what the first-version step reads is materialized for its two branches
+    by_version = by_version.select("en_visit_iid", "en_channel_click_id", "rn", *attrs)
     with_min = W.min_version_over_visit(by_version, "en_visit_iid", "rn", "min_rn")
     return A.agg_first_version(with_min, "rn", "min_rn", ["en_visit_iid", "en_channel_click_id"], list(attrs))
 

@@ -12,7 +12,18 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``spark.read.parquet`` of one table; Catalyst prunes columns and pushes filters into it."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+    """``spark.read.parquet`` of one table; Catalyst prunes columns and pushes filters into it.
+
+    ``balance``: a file with fewer row groups than the cluster has cores yields fewer scan
+    tasks than cores, and every operator fused into the scan stage runs that narrow.  Only
+    then the scan is spread round-robin over ``defaultParallelism`` partitions; a large table
+    (more splits than cores) is left untouched, so no shuffle is added at scale.  Off by
+    default: on the local fixtures the extra exchange cost more than the parallelism won."""
     ensure_conf(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if balance:
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            df = df.repartition(par)
+    return df
