@@ -266,27 +266,46 @@ def numeric_value_top5(df: DataFrame, field: str, sales: str = "sales_count", ma
     ).limit(k)
 
 
+def _group_median(src: DataFrame, cat: str, value: str, name: str, accuracy: int | None) -> DataFrame | None:
+    """Exact per-group median, distributed (None when ``accuracy`` asks for the sketch)."""
+    if accuracy is not None:
+        return None
+    from enrichlab.operators.binning import grouped_exact_quantiles
+
+    return grouped_exact_quantiles(src, [cat], value, [0.5], [name])
+
+
 def revenue_stats_by_category(
     df: DataFrame, cat: str, value: str, leads: str = "leads_count", sales: str = "sales_count", accuracy: int | None = None
 ) -> DataFrame:
-    med = F.percentile(value, 0.5) if accuracy is None else F.percentile_approx(value, 0.5, accuracy)
-    return _drop_null_keys(df, [cat], True).groupBy(cat).agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        med.alias("median"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        _sum_int(leads).alias("leads"),
-        _sum_int(sales).alias("sales"),
+    """count / mean / median / std / min / max of ``value`` plus leads, sales and conversion
+    per category.  The median is exact and distributed (``grouped_exact_quantiles``), or
+    ``percentile_approx`` with ``accuracy``."""
+    src = _drop_null_keys(df, [cat], True)
+    aggs = [F.count(value).alias("count"), F.avg(value).alias("mean")]
+    if accuracy is not None:
+        aggs.append(F.percentile_approx(value, 0.5, accuracy).alias("median"))
+    aggs += [
+        F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
+        _sum_int(leads).alias("leads"), _sum_int(sales).alias("sales"),
         F.try_divide(F.sum(sales).cast("double"), F.sum(leads)).alias("conversion_rate"),
-    )
-
-
-def median_and_volume_by_category(df: DataFrame, cat: str, value: str, volume: str, k: int = 50) -> DataFrame:
-    g = _drop_null_keys(df, [cat], True).groupBy(cat).agg(
-        F.percentile(value, 0.5).alias("median_value"), F.sum(volume).alias("volume")
-    )
+    ]
+    g = src.groupBy(cat).agg(*aggs)
+    med = _group_median(src, cat, value, "median", accuracy)
+    if med is None:
+        return g
+    cols = ["count", "mean", "median", "std", "min", "max", "leads", "sales", "conversion_rate"]
+    return g.join(med, cat, "left").select(cat, *cols)
+
+
+def median_and_volume_by_category(df: DataFrame, cat: str, value: str, volume: str, k: int = 50,
+                                  accuracy: int | None = None) -> DataFrame:
+    src = _drop_null_keys(df, [cat], True)
+    if accuracy is not None:
+        g = src.groupBy(cat).agg(F.percentile_approx(value, 0.5, accuracy).alias("median_value"), F.sum(volume).alias("volume"))
+    else:
+        g = src.groupBy(cat).agg(F.sum(volume).alias("volume")).join(
+            _group_median(src, cat, value, "median_value", None), cat, "left").select(cat, "median_value", "volume")
     return g.orderBy(F.col("volume").desc(), F.col(cat)).limit(k)
 
 

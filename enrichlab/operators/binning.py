@@ -320,3 +320,39 @@ def log_revenue_bins_with_null(
         F.sum(sales).cast("bigint").alias("sales"),
         F.try_divide(F.sum(sales).cast("double"), F.sum(leads)).alias("l2s"),
     ).orderBy(F.col("bin_index").asc_nulls_first())
+
+
+def grouped_exact_quantiles(df: DataFrame, group_cols: Sequence[str], value: str, probs: Sequence[float],
+                            names: Sequence[str], buckets: int = 64) -> DataFrame:
+    """Exact linear-interpolated quantiles of ``value`` per group, as a DataFrame
+    (group_cols..., names...), computed without any group's values in one task:
+    distinct (group, value) counts -> global prefix over (group, value) -> per-group start and
+    total (an aggregate, joined back null-safely) -> each row knows the ranks it covers ->
+    the two values bracketing each wanted rank are picked by conditional aggregates per group."""
+    from enrichlab.session import materialize
+
+    gc = list(group_cols)
+    x = df.select(*gc, S.nan_to_null(F.col(value).cast("double")).alias("__v")).filter(F.col("__v").isNotNull())
+    counts = materialize(x.groupBy(*gc, "__v").agg(F.count(F.lit(1)).alias("__n")))
+    pre = global_prefix(counts, [*gc, "__v"], {"__before": F.col("__n")}, inclusive=False, buckets=buckets)
+    g = pre.groupBy(*[F.col(c).alias(f"__g_{c}") for c in gc]).agg(
+        F.min("__before").alias("__start"), F.sum("__n").alias("__total"))
+    cond = None
+    for c in gc:
+        e = pre[c].eqNullSafe(g[f"__g_{c}"])
+        cond = e if cond is None else cond & e
+    j = pre.join(g, cond, "inner") if gc else pre.crossJoin(g)  # g: one row per group
+    b = F.col("__before") - F.col("__start")
+    aggs = []
+    for i, p in enumerate(probs):
+        h = (F.col("__total") - 1) * F.lit(float(p))
+        lo, hi = F.floor(h), F.ceil(h)
+        aggs.append(F.max(F.when((b <= lo) & (lo < b + F.col("__n")), F.col("__v"))).alias(f"__lo{i}"))
+        aggs.append(F.max(F.when((b <= hi) & (hi < b + F.col("__n")), F.col("__v"))).alias(f"__hi{i}"))
+        aggs.append(F.first(h - lo).alias(f"__d{i}"))
+    r = j.groupBy(*gc).agg(*aggs)
+    outs = []
+    for i, nm in enumerate(names):
+        lo_v, hi_v, d = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__d{i}")
+        outs.append(F.when(lo_v == hi_v, lo_v).otherwise(lo_v + (hi_v - lo_v) * d).alias(nm))
+    return r.select(*gc, *outs)

@@ -215,14 +215,20 @@ def skewness_adjusted(df: DataFrame, cols: Sequence[str] | None = None, top: int
 
 
 def box_stats_by_category(df: DataFrame, cat: str, value: str, accuracy: int | None = None) -> DataFrame:
-    """Quartiles (and min / max) of ``value`` per category (null category dropped)."""
+    """Quartiles (and min / max) of ``value`` per category (null category dropped); exact and
+    distributed (``grouped_exact_quantiles``), or ``percentile_approx`` with ``accuracy``."""
     x = F.col(value).cast("double")
-    q = F.percentile(x, [0.25, 0.5, 0.75]) if accuracy is None else F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-    g = df.filter(F.col(cat).isNotNull()).groupBy(cat).agg(
-        F.count(x).alias("count"), F.min(x).alias("min"), q.alias("__q"), F.max(x).alias("max")
-    )
-    return g.select(cat, "count", "min", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                    F.col("__q")[2].alias("q3"), "max")
+    src = df.filter(F.col(cat).isNotNull())
+    if accuracy is not None:
+        g = src.groupBy(cat).agg(F.count(x).alias("count"), F.min(x).alias("min"),
+                                 F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias("__q"), F.max(x).alias("max"))
+        return g.select(cat, "count", "min", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
+                        F.col("__q")[2].alias("q3"), "max")
+    from enrichlab.operators.binning import grouped_exact_quantiles
+
+    g = src.groupBy(cat).agg(F.count(x).alias("count"), F.min(x).alias("min"), F.max(x).alias("max"))
+    q = grouped_exact_quantiles(src, [cat], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    return g.join(q, cat, "left").select(cat, "count", "min", "q1", "median", "q3", "max")
 
 
 def calibration_diff_rmse(df: DataFrame, actual: str, pred: str) -> DataFrame:
@@ -242,7 +248,11 @@ def loan_category_stats(df: DataFrame, loan: str = "loan_purpose", revenue: str
     x = df.select(S.coerce_numeric(loan).alias("__loan"), S.nan_to_null(F.col(revenue).cast("double")).alias("__rev"))
     x = x.filter(F.col("__loan").isNotNull() & F.col("__rev").isNotNull())
     x = x.withColumn("loan_category", S.bin_fixed_edges_expr("__loan", LOAN_CATEGORY_EDGES, LOAN_CATEGORY_LABELS))
-    return x.filter(F.col("loan_category").isNotNull()).groupBy("loan_category").agg(
-        F.count("__rev").alias("revenue_count"), F.avg("__rev").alias("revenue_mean"),
-        F.percentile("__rev", 0.5).alias("revenue_median"), F.avg("__loan").alias("loan_mean"),
-    )
+    x = x.filter(F.col("loan_category").isNotNull())
+    from enrichlab.operators.binning import grouped_exact_quantiles
+
+    med = grouped_exact_quantiles(x, ["loan_category"], "__rev", [0.5], ["revenue_median"])
+    g = x.groupBy("loan_category").agg(
+        F.count("__rev").alias("revenue_count"), F.avg("__rev").alias("revenue_mean"), F.avg("__loan").alias("loan_mean"))
+    return g.join(med, "loan_category", "left").select("loan_category", "revenue_count", "revenue_mean",
+                                                       "revenue_median", "loan_mean")

@@ -109,3 +109,19 @@ def test_partition_invariance(spark):
         res.append((M.roc_auc(df, "y", "p").first()[0], M.ece_quantile(df, "y", "p").first()[0],
                     M.ece_by_leads(df, "y", "p", "leads", "row_key").first()[0]))
     assert all(abs(a - b) < 1e-12 for r in res[1:] for a, b in zip(r, res[0]))
+
+
+def test_grouped_exact_quantiles_hot_group(spark):
+    rng = random.Random(17)
+    rows = []
+    for i in range(900):
+        g = "hot" if i % 3 == 0 else rng.choice(["a", "b", "c", None])
+        rows.append((g, float(rng.randint(0, 40)) if rng.random() > 0.05 else None))
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    got = {r["g"]: (r["q1"], r["med"], r["q3"]) for r in
+           B.grouped_exact_quantiles(df, ["g"], "x", [0.25, 0.5, 0.75], ["q1", "med", "q3"], buckets=6).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "x"])
+    for g, sub in pdf.groupby("g", dropna=False):
+        key = None if (isinstance(g, float) and g != g) else g
+        exp = list(sub["x"].dropna().quantile([0.25, 0.5, 0.75]))
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got[key], exp)), (key, got[key], exp)
