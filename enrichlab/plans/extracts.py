@@ -326,19 +326,31 @@ def lag_percentiles(df: DataFrame, by: Sequence[str] = ("company", "field_name")
                     ps: Sequence[float] = (0.5, 0.8, 0.9), sales: str | None = "sales",
                     accuracy: int | None = None) -> DataFrame:
     """Per (company, field), null groups kept: mean, p50, p80, p90 hours (linear), and
-    mean / sum of sales.  Hours are whole numbers in a bounded range, so the exact
-    ``percentile`` (value -> count map per group) stays small; ``accuracy`` switches to
-    ``percentile_approx`` for unbounded values."""
-    pc = F.percentile(hours, list(ps)) if accuracy is None else F.percentile_approx(hours, list(ps), accuracy)
-    aggs = [F.avg(hours).alias("avg_hours"), pc.alias("__p")]
+    mean / sum of sales.  The percentiles are exact and distributed
+    (``grouped_exact_quantiles``: no group's values in one task); ``accuracy`` switches to
+    ``percentile_approx``."""
+    from enrichlab.operators.binning import grouped_exact_quantiles
+
+    names = {0.5: "median_hours", 0.8: "p80_hours", 0.9: "p90_hours"}
+    pnames = [names.get(p, f"p{int(p * 100)}_hours") for p in ps]
+    aggs = [F.avg(hours).alias("avg_hours")]
+    if accuracy is not None:
+        aggs.append(F.percentile_approx(hours, list(ps), accuracy).alias("__p"))
     if sales:
         aggs += [F.avg(sales).alias("avg_sales"), F.sum(sales).cast("bigint").alias("sum_sales")]
-    names = {0.5: "median_hours", 0.8: "p80_hours", 0.9: "p90_hours"}
     g = df.groupBy(*by).agg(*aggs)
-    return g.select(
-        *by, "avg_hours", *[F.col("__p")[i].alias(names.get(p, f"p{int(p * 100)}_hours")) for i, p in enumerate(ps)],
-        *(["avg_sales", "sum_sales"] if sales else []),
-    ).orderBy(*[F.col(b).asc_nulls_last() for b in by])
+    if accuracy is not None:
+        g = g.select(*by, "avg_hours", *[F.col("__p")[i].alias(n) for i, n in enumerate(pnames)],
+                     *(["avg_sales", "sum_sales"] if sales else []))
+    else:
+        q = grouped_exact_quantiles(df, list(by), hours, list(ps), pnames)
+        cond = None
+        for b in by:
+            e = g[b].eqNullSafe(q[b])
+            cond = e if cond is None else cond & e
+        g = g.join(q, cond, "left").select(*[g[b] for b in by], "avg_hours", *[q[n] for n in pnames],
+                                            *(["avg_sales", "sum_sales"] if sales else []))
+    return g.orderBy(*[F.col(b).asc_nulls_last() for b in by])
 
 
 def field_fill_lag(enrich: DataFrame, funnel: DataFrame, p: ExtractParams, fields=("creditscore", "loanamount"),
