@@ -249,15 +249,20 @@ def loan_process_frame(
 
 
 def version_check(enrich: DataFrame, p: ExtractParams, max_cols: dict | None = None) -> DataFrame:
-    """Query 1: ids and rows at each first-kept revision number."""
+    """Query 1: ids and rows at each id's first revision number.
+
+    Same answer as grouping revisions, ``min(rn) over (partition by subid)`` and filtering
+    ``rn = min_rn``, but as a chain of partial aggregates (no window, no join): revision groups
+    per (subid, rn), then per subid ``min(rn)`` with ``min_by(groups, rn)``, then per rn."""
     e = scan_enrichment(enrich, p.partner_ids, p.process_names, p.month_from, p.vertical_ids)
     keys = [k for k in ("subid", "process_name", "partner_name", "rn", "transaction_month_prt", "company") if k in e.columns]
-    g = e.groupBy(*keys).agg(*[F.max(v).alias(k) for k, v in (max_cols or {}).items() if v in e.columns] or [F.count(F.lit(1)).alias("__n")])
-    g = W.min_version_over_subid(g, "subid", "rn", "min_rn")
+    groups = e.select(*keys).distinct()
+    per_rn = groups.groupBy("subid", "rn").agg(F.count(F.lit(1)).alias("__groups"))
+    first = per_rn.groupBy("subid").agg(F.min("rn").alias("rn"), F.min_by("__groups", "rn").alias("__groups"))
     return (
-        g.filter(F.col("rn") == F.col("min_rn"))
-        .groupBy("rn")
-        .agg(F.countDistinct("subid").alias("cids"), F.count("subid").alias("rowss"))
+        first.groupBy("rn")
+        .agg(F.count("subid").alias("cids"),
+             F.coalesce(F.sum(F.when(F.col("subid").isNotNull(), F.col("__groups"))), F.lit(0)).cast("bigint").alias("rowss"))
         .orderBy(F.col("cids").desc(), F.col("rn"))
     )
 
