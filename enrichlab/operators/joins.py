@@ -78,7 +78,9 @@ def join_full_outer_compare(
     a: DataFrame, b: DataFrame, key: str, measures: Sequence[str], suffixes=("_x", "_y")
 ) -> DataFrame:
     """Full outer join on ``key`` (null keys match each other, as in pandas merge) with
-    suffixed measures, keeping rows where any measure differs null-safely."""
+    suffixed measures, keeping rows where any measure differs null-safely.  Both inputs are
+    expected unique per key (reconcile per-key aggregates, as ``frames_reconcile`` callers do):
+    then every key - the null key included - pairs at most one row per side."""
     sa, sb = suffixes
     a2 = a.select(F.col(key).alias("__ka"), *[F.col(m).alias(m + sa) for m in measures])
     b2 = b.select(F.col(key).alias("__kb"), *[F.col(m).alias(m + sb) for m in measures])

@@ -125,3 +125,38 @@ def test_grouped_exact_quantiles_hot_group(spark):
         key = None if (isinstance(g, float) and g != g) else g
         exp = list(sub["x"].dropna().quantile([0.25, 0.5, 0.75]))
         assert all(abs(a - b) < 1e-9 for a, b in zip(got[key], exp)), (key, got[key], exp)
+
+
+def test_skew_safe_row_number_matches_window_with_hot_key(spark):
+    import datetime as dt
+
+    from pyspark.sql import Window
+
+    from enrichlab.operators.windows import skew_safe_row_number
+
+    rng = random.Random(23)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(600):
+        key = "hot" if i % 3 == 0 else f"k{rng.randint(0, 40)}"
+        ts = None if rng.random() < 0.05 else base + dt.timedelta(seconds=rng.randint(0, 50))
+        rows.append((key, ts, f"c{i:04d}"))
+    df = spark.createDataFrame(rows, "k string, ts timestamp, c string")
+    got = {r["c"]: r["rk"] for r in skew_safe_row_number(df, ["k"], [("ts", False), ("c", True)], "rk", buckets=5).collect()}
+    w = Window.partitionBy("k").orderBy(F.col("ts").desc_nulls_last(), F.col("c").asc_nulls_last())
+    exp = {r["c"]: r["rk"] for r in df.withColumn("rk", F.row_number().over(w)).collect()}
+    assert got == exp
+
+
+def test_partition_invariance_aqe_off(spark):
+    rng = random.Random(29)
+    rows = [(f"r{i:04d}", rng.randint(0, 1), rng.choice([0.2, 0.4, 0.45, 0.9]), rng.randint(1, 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, "row_key string, y int, p double, leads int")
+    on = (M.roc_auc(df).first()[0], M.ece_by_leads(df, "y", "p", "leads", "row_key").first()[0])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        off = (M.roc_auc(df.repartition(5)).first()[0],
+               M.ece_by_leads(df.repartition(5), "y", "p", "leads", "row_key").first()[0])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert all(abs(a - b) < 1e-12 for a, b in zip(on, off))
