@@ -1,8 +1,8 @@
 """Binning and ordered scans.
 
 ``global_prefix``: prefix sums / minima in a *global* order without a single-task window.
-  1. boundaries: a bounded uniform sample of the order key (the ``buckets * oversample`` rows
-     with the smallest seeded hash, one pass) -> ``buckets - 1`` literal struct boundaries;
+  1. boundaries: a bounded Bernoulli sample of the order key (about 2 * ``buckets *
+     oversample`` rows reach the driver) -> ``buckets - 1`` literal struct boundaries;
   2. ``bucket`` = number of boundaries below the row's key: a deterministic expression of
      literals, so a recomputed task (lost executor) gets the same bucket;
   3. per-bucket totals -> at most ``buckets`` rows -> exclusive prefix on the driver
@@ -46,10 +46,15 @@ def range_bucket_expr(df: DataFrame, order: Sequence[str], buckets: int = 64, ov
         return F.lit(0)
     target = buckets * oversample
     key = F.struct(*[F.col(c) for c in order])
-    # uniform sample of ``target`` keys in ONE pass and without a count: the rows with the
-    # smallest seeded hash (a per-task top-k merged on the driver, at most ``target`` rows)
-    sample = (df.select(key.alias("k")).orderBy(F.xxhash64(F.col("k"), F.lit(seed)), F.col("k"))
-              .limit(target).collect())
+    # Bernoulli sample sized for ~2 * target rows in total, so the driver receives a bounded
+    # sample however many partitions the input has (a top-k per partition would ship
+    # partitions x k rows to the driver).  The boundaries become literals, so recomputed tasks
+    # bucket rows identically.
+    n = df.count()
+    if n == 0:
+        return F.lit(0)
+    frac = min(1.0, 2.0 * target / n)
+    sample = df.select(key.alias("k")).sample(False, frac, seed).collect()
     vals = sorted((tuple(r["k"]) for r in sample), key=_sort_key)
     if not vals:
         return F.lit(0)
