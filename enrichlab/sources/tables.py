@@ -12,18 +12,24 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False,
+               min_balance_bytes: int = 1 << 20) -> DataFrame:
     """``spark.read.parquet`` of one table; Catalyst prunes columns and pushes filters into it.
 
-    ``balance``: a file with fewer row groups than the cluster has cores yields fewer scan
-    tasks than cores, and every operator fused into the scan stage runs that narrow.  Only
-    then the scan is spread round-robin over ``defaultParallelism`` partitions; a large table
-    (more splits than cores) is left untouched, so no shuffle is added at scale.  Off by
-    default: on the local fixtures the extra exchange cost more than the parallelism won."""
+    ``balance``: a file stored as fewer row groups than the cluster has cores is read by that
+    many tasks, and every operator fused into the scan stage (projections, partial aggregates,
+    broadcast joins) runs that narrow.  Only when the scan has fewer splits than
+    ``defaultParallelism`` *and* Catalyst's size estimate is at least ``min_balance_bytes``,
+    the scan is spread round-robin over ``defaultParallelism`` partitions.  A large table has
+    more splits than cores and a tiny one is not worth a shuffle: neither is touched.  Off by
+    default: on the local fixtures it sped up the CPU-heavy extracts but slowed the light
+    metric queries more (measured with bench.py at sf0.1)."""
     ensure_conf(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if balance:
         par = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < par:
-            df = df.repartition(par)
+            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+            if size >= min_balance_bytes:
+                df = df.repartition(par)
     return df
