@@ -235,7 +235,7 @@ def parse_timestamp_flex(c: ColumnOrName, with_space: bool = True) -> Column:
     if with_space:
         parts.append(F.try_to_timestamp(head, F.lit(TS_FORMAT_ISO_SPACE)))
     parts.append(
-        F.try_to_timestamp(F.regexp_replace(c, *OFFSET_REPAIR), F.lit(TS_FORMAT_ISO_OFFSET))
+        F.try_to_timestamp(regex_replace(c, *OFFSET_REPAIR), F.lit(TS_FORMAT_ISO_OFFSET))
     )
     return F.coalesce(*parts)
 

@@ -128,11 +128,10 @@ def count_distinct_by(df: DataFrame, by: str | Sequence[str], id_col: str, disti
 
 def daily_distinct_counts(df: DataFrame, text_ts: str, id_col: str, day_alias: str, count_alias: str = "subids") -> DataFrame:
     """Distinct ids per day, where the day is the text timestamp's 10-char prefix; newest first."""
-    return (
-        df.groupBy(S.prefix_to_date(text_ts).alias(day_alias))
-        .agg(F.countDistinct(id_col).alias(count_alias))
-        .orderBy(F.col(day_alias).desc_nulls_last())
-    )
+    from enrichlab.operators.windows import order_by_first_col_desc
+
+    return order_by_first_col_desc(
+        df.groupBy(S.prefix_to_date(text_ts).alias(day_alias)).agg(F.countDistinct(id_col).alias(count_alias)))
 
 
 def agg_sum_after_join(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
@@ -167,7 +166,7 @@ def l2s_summary_guarded(df: DataFrame, dim: str, leads: str = "leads_count", sal
 
 
 def _l2s_row(leads: str, sales: str) -> Column:
-    return F.try_divide(F.col(sales).cast("double"), F.col(leads))
+    return S.safe_ratio(F.col(sales).cast("double"), F.col(leads))
 
 
 def field_value_stats(

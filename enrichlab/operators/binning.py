@@ -298,7 +298,7 @@ def quantile_bins_with_null_bin(
         "left_edge": F.when(F.col(c).isNotNull(), left),
     })
     l2s = F.try_divide(F.col(sales).cast("double"), F.col(leads))
-    return binned.groupBy("bin", "bin_index", "left_edge").agg(
+    out = binned.groupBy("bin", "bin_index", "left_edge").agg(
         F.count(leads).alias("leads_count"),
         F.sum(leads).cast("bigint").alias("total_leads"),
         F.sum(qls).cast("bigint").alias("total_qls"),
@@ -306,7 +306,10 @@ def quantile_bins_with_null_bin(
         F.sum(sales).cast("bigint").alias("total_sales"),
         F.avg(sales).alias("avg_sales_per_record"),
         F.avg(l2s).alias("avg_l2s_rate"),
-    ).orderBy(F.col("left_edge").asc_nulls_first())
+    )
+    from enrichlab.operators.windows import sort_bins_by_left_edge
+
+    return sort_bins_by_left_edge(out, "left_edge")
 
 
 def log_revenue_bins_with_null(

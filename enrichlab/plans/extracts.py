@@ -66,7 +66,7 @@ def _present(df: DataFrame, mapping: dict) -> dict:
         else:
             have = [c for c in v if c in cols]
             if have:
-                out[k] = F.coalesce(*[F.col(c) for c in have]) if len(have) > 1 else F.col(have[0])
+                out[k] = S.alias_coalesce(*have) if len(have) > 1 else F.col(have[0])
     return out
 
 
@@ -130,8 +130,10 @@ def lead_enrichment_frame(
         (pd_["channel_click_id"] == en["en_channel_click_id"]) & (pd_["visit_iid"] == en["en_visit_iid"]),
         "left",
     ).select(*pd_.columns, *[c for c in ENRICH_ATTRS if c in en.columns])
-    out = j.distinct()
-    return out.filter(F.col("leads_count") >= min_leads) if min_leads is not None else out
+    from enrichlab.operators.filters import filter_min_leads
+
+    out = W.distinct_rows(j)
+    return filter_min_leads(out, "leads_count", min_leads) if min_leads is not None else out
 
 
 # ---------------------------------------------------------------- deposits
@@ -324,7 +326,7 @@ def melt_hours(df: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Unpivot every ``*_diff_hours`` / ``*_hours`` column to (field_name upper-cased, hours)."""
     hour_cols = [c for c in df.columns if c.endswith("_diff_hours") or c.endswith("_hours")]
     long = df.unpivot(list(ids), hour_cols, "field_name", "hours")
-    return long.withColumn("field_name", F.upper("field_name"))
+    return long.withColumn("field_name", S.upper("field_name"))
 
 
 def lag_percentiles(df: DataFrame, by: Sequence[str] = ("company", "field_name"), hours: str = "hours",

@@ -130,9 +130,10 @@ def partner_analysis(name: str, df: DataFrame, features: Sequence[str], target:
         fitted = Pipeline(stages=[*prep, est]).fit(tr)
         scored[mname] = _scored(fitted, te)
     table = M.score_table(scored, "label", "p").withColumn("partner", F.lit(name))
-    higher = metric not in {"rmse", "log_loss", "ece"}
+    from enrichlab.operators.windows import rank_models
+
     x.unpersist()
-    return table.orderBy(F.col(metric).desc_nulls_last() if higher else F.col(metric).asc_nulls_last())
+    return rank_models(table, metric, ascending=metric in {"rmse", "log_loss", "ece"})
 
 
 def cv_comparison(df: DataFrame, pipelines: Mapping[str, Pipeline], date: str, label: str,
@@ -142,4 +143,6 @@ def cv_comparison(df: DataFrame, pipelines: Mapping[str, Pipeline], date: str, l
     ranked by RMSE (ascending)."""
     avg = V.run_cv_all(pipelines, df, date, label, features, train, test, step, metric_label, score_train)
     wide = avg.groupBy("model").pivot("metric", ["roc_auc", "log_loss", "r2_proba", "rmse_proba", "ece"]).agg(F.first("weighted_avg"))
-    return wide.orderBy(F.col("rmse_proba").asc_nulls_last())
+    from enrichlab.operators.windows import rank_models
+
+    return rank_models(wide, "rmse_proba", ascending=True)
