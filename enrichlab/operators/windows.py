@@ -55,12 +55,15 @@ def row_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: s
 def skew_safe_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]], out: str,
                          buckets: int = 64) -> DataFrame:
     """``row_number() over (partition by keys order by c1 [desc] nulls last, ...)`` without
-    putting a key in one task: the rows' global position in (keys, order) comes from
-    ``global_prefix`` (range buckets cut inside a hot key too), and the rank is that position
-    minus the key's first position (a grouped ``min`` joined back).  ``order`` is a list of
-    (column, ascending); descending works for numeric and timestamp columns (negated), nulls
-    sort last; the order must be total (end with a unique tie-break)."""
-    from enrichlab.operators.binning import global_prefix
+    putting a key in one task.  Rows are range-bucketed on (keys, order) - a hot key is cut
+    into several buckets - and ranked by a window over (bucket, key).  A key's rows are
+    contiguous in that order, so a key that continues from earlier buckets only needs a carry:
+    the number of its rows in those buckets.  The carries come from one aggregate per bucket
+    (first key, last key, rows of the last key, total: at most ``buckets`` rows to the driver).
+    ``order`` is a list of (column, ascending); descending works for numeric, date and
+    timestamp columns (negated), nulls sort last; the order must be total."""
+    from enrichlab.operators.binning import range_bucket_expr
+    from enrichlab.session import materialize
 
     sort_cols, tmp = list(keys), {}
     for i, (c, asc) in enumerate(order):
@@ -71,20 +74,37 @@ def skew_safe_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[tup
             tmp[val] = F.col(c)
         elif dt.startswith("timestamp"):
             tmp[val] = -F.unix_micros(F.col(c).cast("timestamp"))
-        elif dt in ("string", "binary", "boolean", "date"):
-            if dt == "date":
-                tmp[val] = -F.unix_date(F.col(c))
-            else:
-                raise NotImplementedError(f"descending order on {dt} column {c}")
+        elif dt == "date":
+            tmp[val] = -F.unix_date(F.col(c))
+        elif dt in ("string", "binary", "boolean"):
+            raise NotImplementedError(f"descending order on {dt} column {c}")
         else:
             tmp[val] = -F.col(c)
         sort_cols += [nul, val]
-    from enrichlab.session import materialize
-
-    x = materialize(df.withColumns(tmp))  # read by the sample, the bucket totals and the ranking pass
-    pos = global_prefix(x, sort_cols, {"__pos": F.lit(1)}, inclusive=True, buckets=buckets)
-    ranked = min_over_partition(pos, list(keys), "__pos", "__first", reuse="table")
-    return ranked.withColumn(out, (F.col("__pos") - F.col("__first") + 1).cast("int")).drop("__pos", "__first", *tmp)
+    x = materialize(df.withColumns(tmp))  # read by the sample, the bucket summary and the ranking pass
+    x = x.withColumn("__b", range_bucket_expr(x, sort_cols, buckets))
+    key = F.struct(*[F.col(k) for k in keys])
+    per_key = x.groupBy("__b", key.alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+    summ = per_key.groupBy("__b").agg(
+        F.min("__k").alias("first"), F.max("__k").alias("last"), F.max_by("__n", "__k").alias("last_n"),
+        F.sum("__n").alias("total")).collect()  # <= buckets rows
+    carry, open_key, run = {}, None, 0
+    for r in sorted(summ, key=lambda r: r["__b"]):
+        first, last = tuple(r["first"]), tuple(r["last"])
+        carry[r["__b"]] = (first, run if first == open_key else 0)
+        if first == last:
+            run, open_key = (run if first == open_key else 0) + r["total"], last
+        else:
+            run, open_key = r["last_n"], last
+    types = [df.schema[k].dataType for k in keys]
+    add = F.lit(0)
+    for b, (first, c) in carry.items():
+        if c:
+            lit_key = F.struct(*[F.lit(v).cast(t).alias(k) if v is not None else F.lit(None).cast(t).alias(k)
+                                 for v, t, k in zip(first, types, keys)])
+            add = F.when((F.col("__b") == b) & key.eqNullSafe(lit_key), F.lit(c)).otherwise(add)
+    w = Window.partitionBy("__b", *keys).orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols[len(keys):]])
+    return x.withColumn(out, (F.row_number().over(w) + add).cast("int")).drop("__b", *tmp)
 
 
 def latest_click_rank(df: DataFrame, key: str = "visit_iid", ts: str = "clickout_timestamp",

@@ -160,3 +160,20 @@ def test_partition_invariance_aqe_off(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert all(abs(a - b) < 1e-12 for a, b in zip(on, off))
+
+
+def test_skew_safe_row_number_key_spanning_many_buckets(spark):
+    from pyspark.sql import Window
+
+    from enrichlab.operators.windows import skew_safe_row_number
+
+    rng = random.Random(31)
+    rows = []
+    for i in range(900):
+        key = "hot" if i % 3 else rng.choice([None, "a", "b", "c"])
+        rows.append((key, rng.randint(0, 30) if rng.random() > 0.1 else None, f"c{i:04d}"))
+    df = spark.createDataFrame(rows, "k string, v int, c string")
+    got = {r["c"]: r["rk"] for r in skew_safe_row_number(df, ["k"], [("v", False), ("c", True)], "rk", buckets=8).collect()}
+    w = Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last(), F.col("c").asc_nulls_last())
+    exp = {r["c"]: r["rk"] for r in df.withColumn("rk", F.row_number().over(w)).collect()}
+    assert got == exp
