@@ -154,7 +154,7 @@ def work_dir(spark: SparkSession) -> str:
     (local sessions and tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="llm-work-")
         spark.conf.set("spark.checkpoint.dir", folder)

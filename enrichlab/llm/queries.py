@@ -7,7 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from enrichlab.llm.bpe import encode_and_decode
-from enrichlab.llm.common import read
+from enrichlab.llm.chat_format import PART_TYPE, format_chats, read_back
+from enrichlab.llm.common import crc_bucket, read
+from enrichlab.llm.language_id import identify, learn
+from enrichlab.llm.quality_classifier import score, train
+from enrichlab.llm.quality_rules import measure_quality
+from enrichlab.llm.secret_scan import BASE_KINDS, scan_secrets
 from enrichlab.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 2048
@@ -18,6 +23,21 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+#: The contract's extra conversation.
+EXTRA_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame(EXTRA_TURNS, "conv_id long, turn long, role string, text string"))
+    part = F.array(F.struct(F.lit("text").alias("type"), F.col("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("int").alias("units")))
+    return read_back(format_chats(turns.withColumn("parts", part.cast(PART_TYPE))))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return measure_quality(read(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = encode_and_decode(read(spark, sf_dir, "documents"))
     return done.select(
@@ -28,9 +48,61 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(read(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    return found.select("doc_id", *map(count, BASE_KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_bucket("doc_id", 3) == 1
+    found = identify(docs, learn(docs, ~held_out))
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_bucket("doc_id", 4) == 2
+    scored = score(docs, train(docs, read(spark, sf_dir, "labels"), ~held_out))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_chat_format": op2_chat_format,
+    "op3_quality_rules": op3_quality_rules,
     "op4_bpe": op4_bpe,
+    "op5_secret_scan": op5_secret_scan,
+    "op7_language_id": op7_language_id,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
-ORACLE: dict[str, str] = {}
+#: Control strings whose first character gets a backslash, as a pattern without look-ahead.
+_CONTROL_SQL = r"\\|<\||</?s>|\[/?INST\]|</?SYS>"
+
+ORACLE: dict[str, str] = {
+    "op2_chat_format": rf"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL
+            SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+        )
+        SELECT conv_id,
+               count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(23 + length(role) + length(text)
+                        + len(regexp_extract_all(role, '{_CONTROL_SQL}'))
+                        + len(regexp_extract_all(text, '{_CONTROL_SQL}'))) AS BIGINT) AS formatted_chars
+        FROM turns GROUP BY conv_id
+    """,
+}
