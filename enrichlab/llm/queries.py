@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from enrichlab.llm.bpe import encode_and_decode
 from enrichlab.llm.chat_format import PART_TYPE, format_chats, read_back
 from enrichlab.llm.common import crc_bucket, read
+from enrichlab.llm.decontaminate import find_leaks
 from enrichlab.llm.language_id import identify, learn
+from enrichlab.llm.minhash_dedup import near_duplicate_classes
 from enrichlab.llm.quality_classifier import score, train
 from enrichlab.llm.quality_rules import measure_quality
 from enrichlab.llm.secret_scan import BASE_KINDS, scan_secrets
@@ -61,6 +63,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, BASE_KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = crc_bucket("doc_id", 3) == 1
@@ -68,6 +74,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(read(spark, sf_dir, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = crc_bucket("doc_id", 4) == 2
@@ -81,7 +91,9 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_bpe": op4_bpe,
     "op5_secret_scan": op5_secret_scan,
+    "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
+    "op8_minhash_dedup": op8_minhash_dedup,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
