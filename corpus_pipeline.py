@@ -13,6 +13,34 @@ from pyspark.sql import functions as F
 
 from enrichlab.llm.bpe import encode_and_decode
 from enrichlab.llm.common import read, work_dir
+from enrichlab.llm.decontaminate import drop_leaks
+from enrichlab.llm.minhash_dedup import keep_one_of_each
+from enrichlab.llm.quality_rules import keep_quality
+from enrichlab.llm.secret_scan import redact_secrets
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep; the references are counted over this stage's input."""
+    return keep_quality(docs)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, the one with the least id."""
+    return keep_one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return drop_leaks(docs, read(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced by their kind; ``n_chars`` follows the text."""
+    clean = redact_secrets(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    kind = docs.schema["n_chars"].dataType
+    return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast(kind)))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +50,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", quality),
+    ("dedup", dedup),
+    ("decontaminate", decontaminate),
+    ("secrets", secrets),
     ("encode", encode),
 ]
 

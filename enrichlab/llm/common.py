@@ -168,3 +168,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows of one narrow column that may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded_side(ids: DataFrame) -> DataFrame:
+    """``ids``, one narrow column, stored and counted: with a broadcast hint if it has at most
+    ``BROADCAST_ROWS`` rows, else to be joined by shuffle."""
+    ids = stored(ids, "ids")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids

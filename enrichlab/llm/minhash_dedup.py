@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from enrichlab.llm.common import mix64, shingle_hashes, stored, text_slices, texts_of, word_hashes
+from enrichlab.llm.common import bounded_side, mix64, shingle_hashes, stored, text_slices, texts_of, word_hashes
 
 BANDS, ROWS = 25, 6
 K = BANDS * ROWS
@@ -218,7 +218,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     hub = met.groupBy("node").agg(F.sum("members").alias("hub"))
     info = nodes.select("node", "n", "sketch").join(hub, "node")
     info = stored(info, "crowd")
-    texts = stored(frame.join(info.select(F.col("node").alias("id")).distinct(), "id").groupBy("id").agg(F.first("text").alias("text")).withColumnRenamed("id", "node"), "texts")
+    texts = stored(frame.join(bounded_side(info.select(F.col("node").alias("id")).distinct()), "id").groupBy("id").agg(F.first("text").alias("text")).withColumnRenamed("id", "node"), "texts")
     met = stored(met.select("key", "node").join(info.select("node", "hub"), "node").withColumn("comp", F.col("node")), "met")
     links, leaders = None, 1
     while True:

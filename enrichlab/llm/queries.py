@@ -12,6 +12,7 @@ from enrichlab.llm.common import crc_bucket, read
 from enrichlab.llm.decontaminate import find_leaks
 from enrichlab.llm.language_id import identify, learn
 from enrichlab.llm.minhash_dedup import near_duplicate_classes
+from enrichlab.llm.passage_dedup import repeated_passages
 from enrichlab.llm.quality_classifier import score, train
 from enrichlab.llm.quality_rules import measure_quality
 from enrichlab.llm.secret_scan import BASE_KINDS, scan_secrets
@@ -85,6 +86,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -95,6 +100,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 #: Control strings whose first character gets a backslash, as a pattern without look-ahead.
