@@ -264,8 +264,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One document of each class, the one with the least id, with all columns of ``docs``; rows
     with a null id stay.  Of several rows with one id, one stays."""
     classes = near_duplicate_classes(docs, id_col, text_col).filter(F.col(id_col).isNotNull())
-    seen = stored(classes.groupBy(F.col(id_col).alias("_keep_id")).agg(F.min("class_id").alias("_keep_class"), F.count("*").alias("_keep_rows")), "kept-ids").filter("_keep_id = _keep_class")
-    once, more = (seen.filter(f"_keep_rows {op} 1").select("_keep_id") for op in ("=", ">"))
-    stay = docs.filter(F.col(id_col).isNull()).unionByName(docs.join(once, docs[id_col] == F.col("_keep_id"), "left_semi"))
-    repeated = docs.join(more, docs[id_col] == F.col("_keep_id"), "left_semi")
-    return stay.unionByName(repeated.dropDuplicates([id_col]))
+    seen = stored(classes.groupBy(id_col).agg(F.min("class_id").alias("least"), F.count("*").alias("rows")), "kept-ids").filter(F.col(id_col) == F.col("least"))
+    once, more = (seen.filter(f"rows {op} 1").select(id_col) for op in ("=", ">"))
+    stay = docs.filter(F.col(id_col).isNull()).unionByName(docs.join(once, id_col, "left_semi"))
+    repeated = docs.join(more, id_col, "left_semi").dropDuplicates([id_col])
+    return stay.unionByName(repeated).select(docs.columns)

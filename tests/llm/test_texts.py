@@ -1,0 +1,184 @@
+"""Operators that work text by text: token counts, byte-level BPE, quality rules, secret scans."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from enrichlab.llm import bpe, quality_rules, secret_scan, token_counts
+from tests.llm.conftest import EDGES
+
+PIECES = ["a", "aa", "ab", "the", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "é", "ß", "中", "😀", "1", "²", "!", "??", "'s", "'LL", "​", "\x00", "𝔸", "́", "ΟΔΟΣ", "İ", "ﬁ", "<|endoftext|>", "<|startoftext|>", "<|"]
+
+
+def awkward(n, seed=1):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 60))) for _ in range(n)] + ["a" * 3000, "ab" * 2000, " " * 2000, ""]
+
+
+def tiktoken_encoding():
+    import public_tokenizers
+    import tiktoken
+
+    with open(bpe.default_ranks(), "rb") as f:
+        ranks = bpe.load_ranks(f.read())
+    return ranks, tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_token_counts_equal_the_library(spark, docs):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(token_counts.default_tokenizer())
+    texts = awkward(400) + [r.text for r in docs.select("text").collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(df).collect()}
+    want = {i: (len(t.encode()), len(tok.encode(t, add_special_tokens=False).ids)) for i, t in enumerate(texts)}
+    assert got == want
+
+
+def test_the_table_of_frequent_words_changes_no_count(docs):
+    a = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, table_words=3).collect()}
+    assert a == {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, sample_docs=1).collect()}
+
+
+def test_token_counts_of_edges(edges, nothing):
+    rows = token_counts.count_tokens(edges).collect()
+    assert len(rows) == len(EDGES)
+    assert {(r.n_bytes, r.n_tokens) for r in rows if r.doc_id in (2, 3)} == {(0, 0)}
+    assert [r.doc_id for r in rows].count(None) == 1
+    assert token_counts.count_tokens(nothing).count() == 0
+
+
+def test_bpe_equals_the_library_and_decodes_exactly(spark, docs):
+    ranks, enc = tiktoken_encoding()
+    texts = awkward(400) + [r.text for r in docs.select("text").collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    import numpy as np
+
+    for r in bpe.encode_and_decode(df).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == enc.encode_ordinary(texts[r.doc_id])
+        assert bytes(r.decoded) == texts[r.doc_id].encode()
+
+
+def test_bpe_keeps_exact_with_a_small_cache():
+    import public_tokenizers
+
+    ranks, enc = tiktoken_encoding()
+    codec = bpe.TextCodec(ranks, public_tokenizers.PATTERN, bound=50)
+    import numpy as np
+
+    for seed in range(5):
+        texts = awkward(30, seed)
+        assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(texts)] == list(map(enc.encode_ordinary, texts))
+
+
+def test_bpe_decode_keeps_other_columns(edges, nothing):
+    encoded = bpe.encode_texts(edges).withColumnRenamed("ids", "packed")
+    rows = bpe.decode_ids(encoded, "packed", "text").collect()
+    assert sorted((r.doc_id or -1, bytes(r.text)) for r in rows) == sorted((r[0] or -1, (r[1] or "").encode()) for r in EDGES)
+    assert bpe.encode_and_decode(nothing).count() == 0
+    assert bpe.decode_ids(bpe.encode_texts(nothing)).count() == 0
+
+
+def plain_repeats(words):
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    covered = {p for i, w in enumerate(windows) if windows.count(w) > 1 for p in range(i, i + 5)}
+    return len(covered)
+
+
+def test_base_counts_equal_brute_force():
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice(["a", "b", "c ", " ", "\n", "#", "d|", "\x0b", "a b a b a\n", "\xa0"]) for _ in range(rng.randint(0, 80)))
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        want = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), plain_repeats(words))
+        assert quality_rules.base_counts(text) == want
+
+
+def test_js_distance():
+    import numpy as np
+
+    refs = np.array([[1.0, 0, 0], [0, 1, 0], [0.5, 0.5, 0]])
+    assert quality_rules.distances(np.array([1.0, 0, 0]), refs)[:2].tolist() == [0, 1]
+
+
+def test_quality_rules_keep_prose_and_reject_junk(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = quality_rules.measure_quality(docs).join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").collect()
+    good = [r for r in rows if r.quality == 1 and not r.base_failed]
+    assert sum(r.kept for r in good) >= 0.995 * len(good)
+    junk = [r for r in rows if r.quality == 0]
+    assert sum(not r.kept for r in junk) >= 0.8 * len(junk)
+    kept = {r.doc_id for r in quality_rules.keep_quality(docs).collect()}
+    assert {r.doc_id for r in rows if r.kept} == kept & {r.doc_id for r in rows}
+
+
+def test_quality_of_edges(edges, nothing):
+    rows = quality_rules.measure_quality(edges).collect()
+    assert len(rows) == len(EDGES)
+    assert all(r.base_failed and not r.kept and r.n_words == 0 for r in rows if r.doc_id in (2, 3, 7))
+    assert quality_rules.measure_quality(nothing).count() == 0
+    kept = quality_rules.keep_quality(edges)
+    assert kept.columns == edges.columns and kept.filter("doc_id = 1").count() == 2
+    assert quality_rules.keep_quality(nothing).columns == nothing.columns
+
+
+BASE = {
+    "assign": (r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A, lambda m: len(m[2]) >= 12),
+    "access": (r"AKIA[A-Z0-9]+", 0, lambda m: len(m[0]) >= 18),
+    "hex": (r"[0-9a-f]+", 0, lambda m: len(m[0]) >= 16),
+}
+
+
+def test_base_spans_equal_brute_force():
+    rng = random.Random(5)
+    pieces = ["password", "PassWd", "secret", "toKen", "api_key", "apikey", "=", ":", " ", '"', "'", "abcdef012345", "0123456789abcdef", "AKIA", "akia", "ABCDEF0123456789", "İ", "é", "\n", "zz", "-", "K"]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 25)))
+        want = sorted((m.start(), list(BASE).index(k), m.end()) for k, (p, f, ok) in BASE.items() for m in re.finditer(p, text, f) if ok(m))
+        got = [(s, list(BASE).index(k), e) for s, e, k in secret_scan.find_secrets(text) if k in BASE]
+        assert got == want, text
+
+
+def test_checksums_decide():
+    body = "aB3" * 10
+    good = "ghp_" + body + secret_scan.checksum62(body)
+    assert ("github" in {k for _, _, k in secret_scan.find_secrets(f"x {good} y")}) and secret_scan.redact(f"x {good} y", [(2, 42, "github")]) == "x [GITHUB] y"
+    assert not secret_scan.find_secrets("x ghp_" + body + "AAAAAA y")
+    import base64
+    import json
+
+    part = base64.urlsafe_b64encode(json.dumps({"alg": "HS256"}).encode()).decode().rstrip("=")
+    assert [k for *_, k in secret_scan.find_secrets(f"{part}.{part}.abc-_")] == ["jwt"]
+    assert not secret_scan.find_secrets("eyJhbG.eyJxx.abc")
+
+
+def test_redaction_merges_overlaps():
+    text = "token=0123456789abcdef0 end"
+    assert secret_scan.redact(text, secret_scan.find_secrets(text)) == "[ASSIGN] end"
+
+
+def test_secrets_of_edges(edges, nothing):
+    assert secret_scan.scan_secrets(edges).filter("size(spans) = 0").count() == len(EDGES)
+    clean = secret_scan.redact_secrets(edges)
+    assert clean.columns == edges.columns and clean.filter("text is null").count() == 1
+    assert secret_scan.scan_secrets(nothing).count() == secret_scan.redact_secrets(nothing).count() == 0
+
+
+def test_query_digest_of_secrets(spark):
+    from enrichlab.llm.queries import QUERIES
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    for r in QUERIES["op5_secret_scan"](spark, "/root/testdata/sf0.01").collect():
+        found = sorted((m.start(), i, f"{k}:{m.start()}:{m.end()}") for i, (k, (p, f, ok)) in enumerate(BASE.items()) for m in re.finditer(p, texts[r.doc_id], f) if ok(m))
+        assert r.base_sha256 == hashlib.sha256(",".join(x for *_, x in found).encode()).hexdigest()
+        assert r.n_assign + r.n_access + r.n_hex == len(found)
+
+
+@pytest.mark.parametrize("name", ["op1_token_counts", "op3_quality_rules", "op4_bpe"])
+def test_queries_return_every_document(spark, name):
+    from enrichlab.llm.queries import QUERIES
+
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").select("doc_id").distinct().count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
