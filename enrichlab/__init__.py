@@ -1,8 +1,8 @@
-"""enrichlab: lead-enrichment analytics as Spark DataFrame plans.
+"""enrichlab: lead-attribute analytics as Spark DataFrame plans.
 
 Sub-packages
 ------------
-sources    scans of the enrichment / funnel / prediction tables and the fixture views
+sources    scans of the attribute / funnel / prediction tables and the fixture views
 functions  Column -> Column scalars and ANSI-safe helpers (null / NaN / inf rules)
 operators  filters, joins, aggregates, windows, profiling, binning, features,
            models, metrics and validation

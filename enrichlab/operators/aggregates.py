@@ -56,7 +56,7 @@ def agg_max_dedup(
     return g.withColumnsRenamed(dict(key_aliases)) if key_aliases else g
 
 
-def agg_enrichment_by_version(
+def agg_attribute_by_version(
     df: DataFrame, keys: Sequence[str], attrs: Mapping[str, str], distinct_col: str | None = None,
     distinct_alias: str = "requests_num",
 ) -> DataFrame:

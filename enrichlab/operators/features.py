@@ -94,10 +94,10 @@ class PSaleRatio(Estimator):
     p_sale + essential features and drops those with > ``max_null_pct`` % nulls (learned at
     fit), 'all' keeps every column."""
 
-    def __init__(self, mode: str = "essential", enrichment: Sequence[str] = (), essential: Sequence[str] = (),
+    def __init__(self, mode: str = "essential", attribute: Sequence[str] = (), essential: Sequence[str] = (),
                  max_null_pct: float = 60.0, eps: float = EPS, passthrough: Sequence[str] = ()):
         super().__init__()
-        self.mode, self.enrichment, self.essential = mode, list(enrichment), list(essential)
+        self.mode, self.attribute, self.essential = mode, list(attribute), list(essential)
         self.max_null_pct, self.eps, self.passthrough = max_null_pct, eps, list(passthrough)
 
     def _with_p(self, df):
@@ -107,7 +107,7 @@ class PSaleRatio(Estimator):
         keep, dropped = None, []
         if self.mode == "essential":
             x = self._with_p(df)
-            cols = [c for c in ["p_sale", *self.enrichment, *self.essential] if c in x.columns]
+            cols = [c for c in ["p_sale", *self.attribute, *self.essential] if c in x.columns]
             keep = list(dict.fromkeys(cols))
             _, dropped = drop_high_null_columns(x.select(*keep), self.max_null_pct, keep=("p_sale",))
             keep = [c for c in keep if c not in dropped]
@@ -130,7 +130,7 @@ class PSaleRatioModel(Model):
         return x
 
 
-# ---------------------------------------------------------------- enrichment features
+# ---------------------------------------------------------------- attribute features
 
 # Legal-structure tiers.
 LEGAL_HIGH = "Corporation"
@@ -138,7 +138,7 @@ LEGAL_MID = "Limited Liability Company"
 LEGAL_LOW = ("Sole Proprietorship", "Unknown")
 
 
-class BaseEnrichment(_Fn):
+class BaseAttribute(_Fn):
     """Age in years + null flag; log1p revenue + null flag; legal form -> high / mid / low
     tiers (null -> 'Unknown'); p_sale x null-flag interactions; drops months and legal form."""
 
@@ -447,7 +447,7 @@ LEGACY_OUTPUT = ("normalized_p_cr_lead", "normalized_p_cr_sale", "p_l2s", "age_o
                  "application_annual_revenue_is_na", "is_age_0", "is_business_Corporation", "is_business_sole_Ppoprietorship")
 
 
-class LegacyEnrichment(_Fn):
+class LegacyAttribute(_Fn):
     """years = months // 12, revenue // 100000, is_age_0, two legal flags, clipped p_l2s;
     fixed output list (expects the ``*_is_na`` flags from NaNIndicator)."""
 

@@ -134,7 +134,7 @@ def time_series_cv(pipeline: Pipeline | Estimator, df: DataFrame, date: str, lab
 def run_cv_all(pipelines: Mapping[str, Pipeline], df: DataFrame, date: str, label: str, features: Sequence[str],
                train: int = 90, test: int = 7, step: int = 7, metric_label: str | None = None,
                score_train: bool = True) -> DataFrame:
-    """Drop rows where every enrichment feature is null, then CV every pipeline on the same
+    """Drop rows where every attribute feature is null, then CV every pipeline on the same
     folds; returns the test-split weighted averages per model and metric."""
     from enrichlab.operators.filters import drop_all_null_rows
 

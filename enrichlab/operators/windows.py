@@ -127,7 +127,7 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__best.{c}").alias(c) for c in payload])
 
 
-def latest_enrichment_rank(df: DataFrame, key: str = "subid", order: Sequence[str] = ("transaction_date",),
+def latest_attribute_rank(df: DataFrame, key: str = "subid", order: Sequence[str] = ("transaction_date",),
                            tiebreak: Sequence[str] = (), out: str = "rnn") -> DataFrame:
     """``row_number() over (partition by key order by order desc, tiebreak desc)`` as a column.
     To *filter* on rank 1 use ``latest_per_key`` (an aggregate, skew-safe)."""

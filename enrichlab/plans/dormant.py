@@ -70,13 +70,13 @@ def good_company_detect(df: DataFrame, company: str, cols: Sequence[str], min_co
     long = company_feature_nulls(df, company, present)
     g = long.groupBy(company).agg(F.max("total_count").alias("row_count"),
                                   F.count_if(F.col("null_pct") < 100).alias("features_with_data"))
-    return g.withColumn("enrichment_coverage", F.col("features_with_data") / F.lit(float(len(cols)))).withColumn(
-        "good", (F.col("enrichment_coverage") > min_coverage) & (F.col("row_count") > min_rows))
+    return g.withColumn("attribute_coverage", F.col("features_with_data") / F.lit(float(len(cols)))).withColumn(
+        "good", (F.col("attribute_coverage") > min_coverage) & (F.col("row_count") > min_rows))
 
 
 def recent_window_report(df: DataFrame, date: str, cols: Sequence[str], months: int = 3) -> DataFrame:
     """Rows in the last ``months`` months before the latest date (scalar subquery); per month:
-    rows, per feature non-null / null counts, and the share of rows with any enrichment."""
+    rows, per feature non-null / null counts, and the share of rows with any attribute."""
     mx = df.agg(F.max(F.to_date(F.col(date)))).scalar()
     recent = df.filter(F.to_date(F.col(date)) > F.add_months(mx, -months))
     anyf = None
@@ -86,7 +86,7 @@ def recent_window_report(df: DataFrame, date: str, cols: Sequence[str], months:
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c in cols:
         aggs += [F.count(c).alias(f"{c}_non_null"), F.count_if(F.col(c).isNull()).alias(f"{c}_null")]
-    aggs.append(F.avg(anyf.cast("double")).alias("any_enrichment_share"))
+    aggs.append(F.avg(anyf.cast("double")).alias("any_attribute_share"))
     return recent.groupBy(F.trunc(F.to_date(F.col(date)), "MM").alias("month")).agg(*aggs)
 
 
@@ -130,7 +130,7 @@ def target_info(df: DataFrame, target: str) -> DataFrame:
 def visit_latest_extract(enrich: DataFrame, funnel: DataFrame, pred: DataFrame, p: ExtractParams) -> DataFrame:
     """Variant extract: predictions deduplicated on (click, visit, product, company, region)
     and reduced to the latest click per visit (``max(struct(clickout_timestamp, ...))`` - an
-    aggregate, skew-safe), left-joined to first-version enrichment."""
+    aggregate, skew-safe), left-joined to first-version attribute."""
     from enrichlab.sources.scans import scan_predictions
 
     ps = scan_predictions(pred, p.product_ids, p.vertical_ids, p.click_from)
@@ -142,6 +142,6 @@ def visit_latest_extract(enrich: DataFrame, funnel: DataFrame, pred: DataFrame,
         F.max("sales_count").alias("sales_count"), F.max("normalized_p_cr_sale").alias("normalized_p_cr_sale"),
         F.max("normalized_p_cr_lead").alias("normalized_p_cr_lead"))
     latest = W.latest_per_key(g, "visit_iid", ["clickout_timestamp", "channel_click_id", "product_name", "company", "region_code"])
-    en = X.enrichment_first_version(enrich, funnel, p)
+    en = X.attribute_first_version(enrich, funnel, p)
     return latest.join(en, (latest["channel_click_id"] == en["en_channel_click_id"]) & (latest["visit_iid"] == en["en_visit_iid"]),
                        "left").drop("en_channel_click_id", "en_visit_iid")

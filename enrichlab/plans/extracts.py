@@ -15,9 +15,9 @@ from enrichlab.functions import scalars as S
 from enrichlab.operators import aggregates as A
 from enrichlab.operators import joins as J
 from enrichlab.operators import windows as W
-from enrichlab.sources.scans import ExtractParams, scan_enrichment, scan_funnel, scan_predictions
+from enrichlab.sources.scans import ExtractParams, scan_attribute, scan_funnel, scan_predictions
 
-# Enrichment attributes of the main extract: output name -> enrichment column.
+# Attribute attributes of the main extract: output name -> attribute column.
 ENRICH_ATTRS = {
     "business_legal_structure": "customer_status",
     "age_of_business_months": "age_group",
@@ -90,11 +90,11 @@ def prediction_dedup(pred: DataFrame, with_time_bucket: bool = True) -> DataFram
     return g
 
 
-def enrichment_first_version(enrich: DataFrame, funnel: DataFrame, p: ExtractParams) -> DataFrame:
-    """Enrichment rows joined to the funnel (LEFT JOIN + WHERE on funnel columns = inner), one
+def attribute_first_version(enrich: DataFrame, funnel: DataFrame, p: ExtractParams) -> DataFrame:
+    """Attribute rows joined to the funnel (LEFT JOIN + WHERE on funnel columns = inner), one
     row per (subid, visit, click, process, partner, rn) with max attributes; then only the
     first version per visit (``rn = min(rn) over visit``), re-aggregated per (visit, click)."""
-    e = scan_enrichment(enrich, p.partner_ids, p.process_names, p.month_from, p.vertical_ids)
+    e = scan_attribute(enrich, p.partner_ids, p.process_names, p.month_from, p.vertical_ids)
     c = funnel.select(
         F.col("cid"), F.col("visit_iid").alias("en_visit_iid"),
         F.col("channel_click_id").alias("en_channel_click_id"),
@@ -109,7 +109,7 @@ def enrichment_first_version(enrich: DataFrame, funnel: DataFrame, p: ExtractPar
     attrs = {k: v for k, v in ENRICH_ATTRS.items() if v in e.columns}
     # one row per revision (the extract also counts distinct age values per revision; nothing
     # downstream reads that count, so it is not computed here)
-    by_version = A.agg_enrichment_by_version(
+    by_version = A.agg_attribute_by_version(
         j, ["subid", "en_visit_iid", "en_channel_click_id", "process_name", "partner_name", "rn"], attrs)
     # only what the first-version step reads is materialized for its two branches
     by_version = by_version.select("en_visit_iid", "en_channel_click_id", "rn", *attrs)
@@ -117,14 +117,14 @@ def enrichment_first_version(enrich: DataFrame, funnel: DataFrame, p: ExtractPar
     return A.agg_first_version(with_min, "rn", "min_rn", ["en_visit_iid", "en_channel_click_id"], list(attrs))
 
 
-def lead_enrichment_frame(
+def lead_attribute_frame(
     enrich: DataFrame, funnel: DataFrame, pred: DataFrame, p: ExtractParams, min_leads: int | None = None
 ) -> DataFrame:
-    """The modelling frame: deduplicated predictions LEFT JOIN first-version enrichment on
+    """The modelling frame: deduplicated predictions LEFT JOIN first-version attribute on
     (click, visit), DISTINCT.  ``min_leads`` applies the loader's ``leads_count >= n``."""
     ps = scan_predictions(pred, p.product_ids, p.vertical_ids, p.click_from)
     pd_ = prediction_dedup(ps)
-    en = enrichment_first_version(enrich, funnel, p)
+    en = attribute_first_version(enrich, funnel, p)
     j = pd_.join(
         en,
         (pd_["channel_click_id"] == en["en_channel_click_id"]) & (pd_["visit_iid"] == en["en_visit_iid"]),
@@ -156,7 +156,7 @@ def deposit_frame(
         deposit_pred = parts[0]
         for x in parts[1:]:
             deposit_pred = deposit_pred | x
-    e = scan_enrichment(enrich, None, None, p.month_from, p.vertical_ids).filter(F.col("rn") == 1)
+    e = scan_attribute(enrich, None, None, p.month_from, p.vertical_ids).filter(F.col("rn") == 1)
     if enrich_filter is not None:
         e = e.filter(enrich_filter)
     c = funnel.select("cid", "visit_iid", "channel_click_id", F.col("vertical_id").alias("c_vertical_id"),
@@ -210,7 +210,7 @@ def loan_process_frame(
     """Per id: process flags / values / first dates (conditional pivot) over first versions of
     refinance leads + sale rows; LEFT JOIN a DISTINCT (visit, click, id) funnel map; inner
     3-key join to predictions grouped per (click, visit, id); ``leads_count >= 1``."""
-    e = scan_enrichment(enrich, None, None, p.month_from, None).filter(
+    e = scan_attribute(enrich, None, None, p.month_from, None).filter(
         (F.col("rn") == 1)
         & (
             ((F.col("loanpurpose") == purpose) & F.col("process_name").isin(lead_process, allocated_process))
@@ -256,7 +256,7 @@ def version_check(enrich: DataFrame, p: ExtractParams, max_cols: dict | None = N
     Same answer as grouping revisions, ``min(rn) over (partition by subid)`` and filtering
     ``rn = min_rn``, but as a chain of partial aggregates (no window, no join): revision groups
     per (subid, rn), then per subid ``min(rn)`` with ``min_by(groups, rn)``, then per rn."""
-    e = scan_enrichment(enrich, p.partner_ids, p.process_names, p.month_from, p.vertical_ids)
+    e = scan_attribute(enrich, p.partner_ids, p.process_names, p.month_from, p.vertical_ids)
     keys = [k for k in ("subid", "process_name", "partner_name", "rn", "transaction_month_prt", "company") if k in e.columns]
     groups = e.select(*keys).distinct()
     per_rn = groups.groupBy("subid", "rn").agg(F.count(F.lit(1)).alias("__groups"))
@@ -270,14 +270,14 @@ def version_check(enrich: DataFrame, p: ExtractParams, max_cols: dict | None = N
 
 
 def update_day_check(enrich: DataFrame, p: ExtractParams) -> DataFrame:
-    """Query 2: distinct ids per enrichment action day, newest first."""
-    e = scan_enrichment(enrich, p.partner_ids, p.process_names, p.month_from, p.vertical_ids)
+    """Query 2: distinct ids per attribute action day, newest first."""
+    e = scan_attribute(enrich, p.partner_ids, p.process_names, p.month_from, p.vertical_ids)
     return A.daily_distinct_counts(e, "action_time", "subid", "action_day")
 
 
 def creation_day_check(enrich: DataFrame, p: ExtractParams) -> DataFrame:
     """Query 3: distinct ids per creation day, newest first."""
-    e = scan_enrichment(enrich, p.partner_ids, p.process_names, p.month_from, p.vertical_ids)
+    e = scan_attribute(enrich, p.partner_ids, p.process_names, p.month_from, p.vertical_ids)
     return A.daily_distinct_counts(e, "created_at", "subid", "creation_day")
 
 
@@ -295,12 +295,12 @@ def fill_lag_frame(
     enrich: DataFrame, funnel: DataFrame, p: ExtractParams, fields: Sequence[str] = ("creditscore", "loanamount"),
     purpose_filter: Column | None = None, space_format_fields: Sequence[str] = ("loanamount",),
 ) -> DataFrame:
-    """Query 4: first-revision enrichment rows (DISTINCT) joined to funnel sums on id and
+    """Query 4: first-revision attribute rows (DISTINCT) joined to funnel sums on id and
     ``transaction_day >= conversion_date``; per (id, transaction_date, company): last click
     time and, per field, the first creation time among rows carrying that field, all truncated
     to milliseconds; then ``<field>_diff_hours`` = max(floor(hours after click), 0)."""
     tm = S.month_window(p.click_from, p.click_to, bump=True)
-    e = scan_enrichment(enrich, p.partner_ids, p.process_names, tm[0], p.vertical_ids, month_to=tm[1])
+    e = scan_attribute(enrich, p.partner_ids, p.process_names, tm[0], p.vertical_ids, month_to=tm[1])
     if purpose_filter is not None:
         e = e.filter(purpose_filter)
     e = e.filter(F.col("rn") == 1)
@@ -372,11 +372,11 @@ def general_analysis_frame(
     enrich: DataFrame, funnel: DataFrame, p: ExtractParams, fields: Sequence[str] = ("loanamount", "creditscore"),
     purpose_filter: Column | None = None,
 ) -> DataFrame:
-    """Query 6: funnel sums LEFT JOIN the latest first-revision enrichment row per id with
+    """Query 6: funnel sums LEFT JOIN the latest first-revision attribute row per id with
     ``transaction_day >= conversion_date`` (all in ON: the latest row or nulls, never an
     older one); sums per (id, company, transaction_date, clickout_date, fields)."""
     tm = S.month_window(p.click_from, p.click_to, bump=False)
-    e = scan_enrichment(enrich, p.partner_ids, p.process_names, tm[0], p.vertical_ids, month_to=tm[1])
+    e = scan_attribute(enrich, p.partner_ids, p.process_names, tm[0], p.vertical_ids, month_to=tm[1])
     e = e.filter(F.col("rn") == 1)
     if purpose_filter is not None:
         e = e.filter(purpose_filter)

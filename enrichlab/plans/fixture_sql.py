@@ -1,7 +1,7 @@
 """DuckDB text of the fixture views (FIXTURES.md), used only by the oracle SQL checks."""
 
 FIXTURE_SQL = {
-    "fx_enrichment": """
+    "fx_attribute": """
 select cast(l_orderkey as string) as subid,
        case l_returnflag when 'A' then 'lead' when 'N' then 'allocated' else 'sale' end as process_name,
        cast(l_suppkey % 5 as int) as partner_id,
@@ -82,7 +82,7 @@ from lineitem
 }
 
 
-def with_fixtures(sql: str, views=("fx_enrichment", "fx_funnel", "fx_predictions", "fx_scored")) -> str:
+def with_fixtures(sql: str, views=("fx_attribute", "fx_funnel", "fx_predictions", "fx_scored")) -> str:
     """Prefix a query with the fixture views as CTEs (the query may add more CTEs after a comma)."""
     ctes = ",\n".join(f"{v} as (\n{FIXTURE_SQL[v]}\n)" for v in views)
     sql = sql.strip()

@@ -23,7 +23,7 @@ from enrichlab.operators import profile as P
 from enrichlab.operators import validate as V
 
 
-def enrichment_feature_summary(df: DataFrame, features: Sequence[str], sales: str = "sales_count") -> DataFrame:
+def attribute_feature_summary(df: DataFrame, features: Sequence[str], sales: str = "sales_count") -> DataFrame:
     """Per requested feature, ONE aggregate: present?, null count / rate, kind, and for numeric
     features the guarded correlation with sales and its trend label."""
     present = [f for f in features if f in df.columns]
@@ -50,10 +50,10 @@ def enrichment_feature_summary(df: DataFrame, features: Sequence[str], sales: st
                           .when(F.col("corr") < -0.1, "DESC").otherwise("NONE"))
 
 
-def enrichment_feature_report(df: DataFrame, features: Sequence[str], sales: str = "sales_count") -> dict[str, DataFrame]:
+def attribute_feature_report(df: DataFrame, features: Sequence[str], sales: str = "sales_count") -> dict[str, DataFrame]:
     """Summary plus, per present feature, the top-10 categories by leads (categorical) or
     the top-5 values (numeric with <= 20 distinct values)."""
-    out = {"summary": enrichment_feature_summary(df, features, sales)}
+    out = {"summary": attribute_feature_summary(df, features, sales)}
     for f in features:
         if f not in df.columns:
             continue
@@ -97,16 +97,16 @@ def _scored(model, df: DataFrame) -> DataFrame:
     return s if "p" in s.columns else MD.positive_probability(s)
 
 
-def partner_analysis(name: str, df: DataFrame, features: Sequence[str], target: str, enrichment: Sequence[str] = (),
+def partner_analysis(name: str, df: DataFrame, features: Sequence[str], target: str, attribute: Sequence[str] = (),
                      null_config: Mapping[str, str] | None = None, split: str = "date", split_val: str = "2025-01-01",
                      date: str = "clickout_date", key: str = "row_key", fast: bool = False,
                      metric: str = "roc_auc") -> DataFrame:
-    """stats -> drop rows with all enrichment null -> per-column null strategy -> split (date or
+    """stats -> drop rows with all attribute null -> per-column null strategy -> split (date or
     hash ratio) -> preprocess (impute + one-hot + assemble) -> logistic / forest / boosted
     trees -> score table on the test split, best model first by ``metric``."""
     from enrichlab.operators.filters import drop_all_null_rows
 
-    x = drop_all_null_rows(df, list(enrichment), on_empty="skip") if enrichment else df
+    x = drop_all_null_rows(df, list(attribute), on_empty="skip") if attribute else df
     if null_config:
         x = FE.null_strategy(x, null_config)
     x = x.withColumn("label", (F.col(target) > 0).cast("double")).persist()
@@ -137,7 +137,7 @@ def partner_analysis(name: str, df: DataFrame, features: Sequence[str], target:
 
 
 def cv_comparison(df: DataFrame, pipelines: Mapping[str, Pipeline], date: str, label: str,
-                  features: Sequence[str] = MD.ENRICHMENT_FEATURES, train: int = 90, test: int = 7, step: int = 7,
+                  features: Sequence[str] = MD.ATTRIBUTE_FEATURES, train: int = 90, test: int = 7, step: int = 7,
                   metric_label: str | None = None, score_train: bool = True) -> DataFrame:
     """Rolling time-series CV of every pipeline on the same date folds, weighted by test rows,
     ranked by RMSE (ascending)."""

@@ -1,4 +1,4 @@
-"""Fixture views: the enrichment / funnel / prediction / scored roles derived from the driver's
+"""Fixture views: the attribute / funnel / prediction / scored roles derived from the driver's
 TPC-H-like tables (definitions in FIXTURES.md).  Nulls are injected by key arithmetic so the
 null rules get exercised.  Every view is a pure projection (plus one key join) of a scanned
 table, so it stays lazy and Catalyst prunes the columns a query does not use.
@@ -24,7 +24,7 @@ def _day_str(ts: str) -> Column:
     return F.col(ts).cast("date").cast("string")
 
 
-def fx_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fx_attribute(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     pk, sk, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     price = F.col("l_extendedprice")
@@ -136,7 +136,7 @@ def fx_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
-        "fx_enrichment": fx_enrichment(spark, sf_dir),
+        "fx_attribute": fx_attribute(spark, sf_dir),
         "fx_funnel": fx_funnel(spark, sf_dir),
         "fx_predictions": fx_predictions(spark, sf_dir),
         "fx_scored": fx_scored(spark, sf_dir),

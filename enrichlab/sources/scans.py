@@ -51,7 +51,7 @@ class ExtractParams:
     extra: dict = field(default_factory=dict)
 
 
-def scan_enrichment(
+def scan_attribute(
     source: DataFrame | str,
     partner_ids=None,
     process_names=None,
