@@ -63,9 +63,15 @@ def clip(c: ColumnOrName, lo: float | None = None, hi: float | None = None) -> C
     return F.when(c.isNotNull(), out)
 
 
+#: Text that counts as a number.
+NUMERIC_TEXT = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
+
+
 def coerce_numeric(c: ColumnOrName) -> Column:
-    """Text or number -> double, unparsable -> null (pandas to_numeric(errors='coerce'))."""
-    return nan_to_null(col(c).cast("string").try_cast("double"))
+    """Text or number -> double, unparsable -> null (pandas to_numeric(errors='coerce')).  A plain
+    decimal only: Spark's cast alone would also take ``12d``, ``3f`` and ``0x1p3``."""
+    text = F.trim(col(c).cast("string"))
+    return F.when(text.rlike(NUMERIC_TEXT), nan_to_null(text.try_cast("double")))
 
 
 def zero_to_null(c: ColumnOrName) -> Column:

@@ -34,25 +34,36 @@ from enrichlab.functions import scalars as S
 # ---------------------------------------------------------------- range buckets
 
 
+#: Rows that one range bucket is meant to hold.
+ROWS_PER_BUCKET = 2_000_000
+
+
 def _lit_like(v, dt: T.DataType) -> Column:
     return F.lit(v).cast(dt) if v is not None else F.lit(None).cast(dt)
 
 
-def range_bucket_expr(df: DataFrame, order: Sequence[str], buckets: int = 64, oversample: int = 20,
+def bucket_count(df: DataFrame, rows: int) -> int:
+    """Range buckets for ``rows`` rows: one per ``ROWS_PER_BUCKET``, and no fewer than the session's
+    shuffle partitions, so that the work of a bucket stays the same as the data grow."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_BUCKET))
+
+
+def range_bucket_expr(df: DataFrame, order: Sequence[str], buckets: int | None = None, oversample: int = 20,
                       seed: int = 17) -> Column:
     """A deterministic ``bucket`` column ordering rows by the struct ``order`` (ascending,
-    nulls first as Spark struct order).  Boundaries come from a bounded sample."""
-    if buckets <= 1:
-        return F.lit(0)
-    target = buckets * oversample
+    nulls first and NaN last as Spark's struct order).  Boundaries come from a sample of about
+    ``2 * oversample`` keys per bucket; the number of buckets follows the rows (``bucket_count``)
+    unless given."""
     key = F.struct(*[F.col(c) for c in order])
     # Bernoulli sample sized for ~2 * target rows in total, so the driver receives a bounded
     # sample however many partitions the input has (a top-k per partition would ship
     # partitions x k rows to the driver).  The boundaries become literals, so recomputed tasks
     # bucket rows identically.
     n = df.count()
-    if n == 0:
+    buckets = buckets or bucket_count(df, n)
+    if n == 0 or buckets <= 1:
         return F.lit(0)
+    target = buckets * oversample
     frac = min(1.0, 2.0 * target / n)
     sample = df.select(key.alias("k")).sample(False, frac, seed).collect()
     vals = sorted((tuple(r["k"]) for r in sample), key=_sort_key)
@@ -78,8 +89,8 @@ def range_bucket_expr(df: DataFrame, order: Sequence[str], buckets: int = 64, ov
 
 
 def _sort_key(t):
-    # Spark struct order: ascending, nulls first
-    return tuple((0, 0) if v is None else (1, v) for v in t)
+    # Spark struct order: ascending, nulls first, NaN above every number
+    return tuple((0, 0) if v is None else (2, 0) if v != v else (1, v) for v in t)
 
 
 def global_prefix(
@@ -87,7 +98,7 @@ def global_prefix(
     order: Sequence[str],
     values: Mapping[str, Column],
     inclusive: bool = False,
-    buckets: int = 64,
+    buckets: int | None = None,
     op: str = "sum",
     bucket_col: str | None = None,
 ) -> DataFrame:
@@ -126,13 +137,13 @@ def global_prefix(
 # ---------------------------------------------------------------- exact quantiles
 
 
-def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], buckets: int = 64) -> list[float | None]:
+def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], buckets: int | None = None) -> list[float | None]:
     """Exact linear-interpolated quantiles of non-null ``c`` (distributed ranks)."""
     return exact_quantiles_multi(df, [c], probs, buckets)[c]
 
 
 def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                          buckets: int = 64) -> dict[str, list[float | None]]:
+                          buckets: int | None = None) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns in ONE pass: unpivot to (column, value), count per
     distinct pair (map-side combined: a hot value is one row), one global prefix over
     (column, value), per-column offsets from the per-column totals (one row per column), then
@@ -331,7 +342,7 @@ def log_revenue_bins_with_null(
 
 
 def grouped_exact_quantiles(df: DataFrame, group_cols: Sequence[str], value: str, probs: Sequence[float],
-                            names: Sequence[str], buckets: int = 64) -> DataFrame:
+                            names: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group, as a DataFrame
     (group_cols..., names...), computed without any group's values in one task:
     distinct (group, value) counts -> global prefix over (group, value) -> per-group start and

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import IntegralType, NumericType, StringType
 
 from enrichlab.functions import scalars as S
 from enrichlab.operators.binning import exact_quantiles
@@ -368,8 +368,16 @@ class FillModel(Model):
         self.fills = dict(fills)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
-                               for c, v in self.fills.items() if c in df.columns})
+        return df.withColumns({c: filled(df, c, v) for c, v in self.fills.items() if c in df.columns})
+
+
+def filled(df: DataFrame, c: str, v) -> Column:
+    """``c`` with nulls replaced by ``v``, in the column's type; an integer column whose statistic
+    is fractional becomes a double one (a median of 2.5 stays 2.5)."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, IntegralType) and isinstance(v, float) and not v.is_integer():
+        return F.coalesce(F.col(c).cast("double"), F.lit(v))
+    return F.coalesce(F.col(c), F.lit(v).cast(kind))
 
 
 # Age groups in years (right-closed, lowest edge included).
@@ -406,29 +414,47 @@ class NumericOnly(_Fn):
         return df.select(*cols)
 
 
+class NullStrategy(Estimator):
+    """Per column: 'median' | 'mean' | 'mode' | 'unknown' | 'drop_rows' | 'drop_columns'; absent
+    columns are skipped.  Statistics are learned at fit, so test rows do not shape them."""
+
+    def __init__(self, strategies: Mapping[str, str], median_method: str = "exact"):
+        super().__init__()
+        self.strategies, self.median_method = dict(strategies), median_method
+
+    def _fit(self, df: DataFrame) -> "NullStrategyModel":
+        of = {how: [c for c, h in self.strategies.items() if h == how and c in df.columns] for how in set(self.strategies.values())}
+        fills: dict[str, object] = medians_of(df, of["median"], self.median_method) if of.get("median") else {}
+        if of.get("mean"):
+            fills |= df.agg(*[F.avg(S.nan_to_null(F.col(c).cast("double"))).alias(c) for c in of["mean"]]).first().asDict()
+        fills |= {c: mode_of(df, c) for c in of.get("mode", ())}
+        return NullStrategyModel(self.strategies, {c: v for c, v in fills.items() if v is not None})
+
+
+class NullStrategyModel(Model):
+    def __init__(self, strategies: Mapping[str, str], fills: Mapping[str, object]):
+        super().__init__()
+        self.strategies, self.fills = dict(strategies), dict(fills)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        x = df
+        for c, how in self.strategies.items():
+            if c not in x.columns:
+                continue
+            if how == "drop_columns":
+                x = x.drop(c)
+            elif how == "drop_rows":
+                x = x.na.drop(subset=[c])
+            elif how == "unknown":
+                x = x.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit("Unknown")))
+            elif c in self.fills:
+                x = x.withColumn(c, filled(x, c, self.fills[c]))
+        return x
+
+
 def null_strategy(df: DataFrame, strategies: Mapping[str, str], median_method: str = "exact") -> DataFrame:
-    """Per column: 'median' | 'mean' | 'mode' | 'unknown' | 'drop_rows' | 'drop_columns';
-    absent columns are skipped.  (Fit and apply on the same frame, as the reference does.)"""
-    x = df
-    for c, how in strategies.items():
-        if c not in x.columns:
-            continue
-        if how == "median":
-            m = median_of(x, c, median_method)
-            x = x.withColumn(c, F.coalesce(F.col(c), F.lit(m).cast(x.schema[c].dataType))) if m is not None else x
-        elif how == "mean":
-            m = x.agg(F.avg(c)).first()[0]
-            x = x.withColumn(c, F.coalesce(F.col(c), F.lit(m).cast(x.schema[c].dataType))) if m is not None else x
-        elif how == "mode":
-            m = mode_of(x, c)
-            x = x.withColumn(c, F.coalesce(F.col(c), F.lit(m).cast(x.schema[c].dataType))) if m is not None else x
-        elif how == "unknown":
-            x = x.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit("Unknown")))
-        elif how == "drop_rows":
-            x = x.na.drop(subset=[c])
-        elif how == "drop_columns":
-            x = x.drop(c)
-    return x
+    """``NullStrategy`` fitted and applied on the same frame."""
+    return NullStrategy(strategies, median_method).fit(df).transform(df)
 
 
 class NaNIndicator(_Fn):
@@ -442,6 +468,7 @@ class NaNIndicator(_Fn):
         return df.withColumns({f"{c}_is_na": F.col(c).isNull().cast("int") for c in self.cols if c in df.columns})
 
 
+# The output columns of the legacy transformer, in its order.
 LEGACY_OUTPUT = ("normalized_p_cr_lead", "normalized_p_cr_sale", "p_l2s", "age_of_business_years",
                  "application_annual_revenue_100", "business_legal_structure_is_na", "age_of_business_months_is_na",
                  "application_annual_revenue_is_na", "is_age_0", "is_business_Corporation", "is_business_sole_Ppoprietorship")
@@ -484,26 +511,71 @@ def avg_deposit_per_sale(df: DataFrame, dep: str, sales: str, out: str = "avg_de
     return df.withColumn(out, F.col(dep) / (F.col(sales) + 1e-6))
 
 
+class ImputeAndScale(Estimator):
+    """Numeric columns to ``<col>__scaled``: impute (``median``, ``mean``, ``mode``, ``constant`` or
+    ``none``) and scale robustly (minus median, over the quartile range; a range of 0 scales by 1).
+    Medians and quartiles are exact ranks found in one distributed pass over all columns, so no
+    column's values meet in one place.  With ``none`` a row's missing values become the sentinel
+    ``missing`` after scaling, which trees can split off; a column without any value counts as 0."""
+
+    def __init__(self, cols: Sequence[str], strategy: str = "median", constant: float = 0.0, missing: float = -9.0):
+        super().__init__()
+        if strategy not in ("median", "mean", "mode", "constant", "none"):
+            raise ValueError(f"unknown strategy {strategy}")
+        self.cols, self.strategy, self.constant, self.missing = list(cols), strategy, constant, missing
+
+    def _fit(self, df: DataFrame) -> "ImputeAndScaleModel":
+        from enrichlab.operators.binning import exact_quantiles_multi
+
+        x = df.select([S.nan_to_null(F.col(c).cast("double")).alias(c) for c in self.cols])
+        if self.strategy == "median":
+            fills = {c: q[0] for c, q in exact_quantiles_multi(x, self.cols, [0.5]).items()}
+        elif self.strategy == "mean":
+            fills = x.agg(*[F.avg(c).alias(c) for c in self.cols]).first().asDict()
+        elif self.strategy == "mode":
+            fills = {c: mode_of(x, c) for c in self.cols}
+        else:
+            fills = {c: self.constant if self.strategy == "constant" else None for c in self.cols}
+        x = x.select([F.coalesce(F.col(c), F.lit(fills[c]).cast("double")).alias(c) for c in self.cols])
+        scale = {}
+        for c, (lo, mid, hi) in exact_quantiles_multi(x, self.cols, [0.25, 0.5, 0.75]).items():
+            scale[c] = (0.0, 1.0) if mid is None else (mid, (hi - lo) or 1.0)
+        return ImputeAndScaleModel(fills, scale, self.missing)
+
+
+class ImputeAndScaleModel(Model):
+    def __init__(self, fills: Mapping[str, float | None], scale: Mapping[str, tuple[float, float]], missing: float):
+        super().__init__()
+        self.fills, self.scale, self.missing = dict(fills), dict(scale), missing
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        out = {}
+        for c, (mid, width) in self.scale.items():
+            v = F.coalesce(S.nan_to_null(F.col(c).cast("double")), F.lit(self.fills[c]).cast("double"))
+            out[f"{c}__scaled"] = F.coalesce((v - mid) / width, F.lit(self.missing))
+        return df.withColumns(out)
+
+
 def auto_preprocessor(num: Sequence[str], cat: Sequence[str], strategy: str = "median", skip: Sequence[str] = (),
-                      out: str = "features") -> list:
-    """Pipeline stages: numeric -> impute (median / mean / mode; Spark's Imputer rejects an
-    all-null column, so drop such columns first) + robust scaling (centred, exact quantiles);
+                      out: str = "features", constant: float = 0.0) -> list:
+    """Pipeline stages: numeric -> ``ImputeAndScale`` (median / mean / mode / constant / none);
     categorical -> 'Unknown' fill + one-hot with all levels kept and unseen levels mapped to
-    all zeros; assembled into ``out``.  Columns in ``skip`` pass through unscaled."""
-    from pyspark.ml.feature import Imputer, OneHotEncoder, RobustScaler, StringIndexer, VectorAssembler
+    all zeros; assembled into ``out``.  Columns in ``skip`` pass through unscaled.
+
+    The levels of a categorical column meet on the driver (``StringIndexer``) and become vector slots:
+    meant for columns of a bounded number of categories, not for keys."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 
     num = [c for c in num if c not in set(skip)]
     stages: list = [_CastDouble(num), _FillLabel(cat, "Unknown")]
     if num:
-        stages.append(Imputer(inputCols=num, outputCols=[f"{c}__imp" for c in num], strategy=strategy, relativeError=0.0))
-        stages.append(VectorAssembler(inputCols=[f"{c}__imp" for c in num], outputCol="__num", handleInvalid="keep"))
-        stages.append(RobustScaler(inputCol="__num", outputCol="__num_scaled", withCentering=True, relativeError=0.0))
+        stages.append(ImputeAndScale(num, strategy, constant))
     ohe_cols = []
     for c in cat:
         stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__ohe_all", dropLast=True, handleInvalid="keep"))
         ohe_cols.append(f"{c}__ohe_all")
-    parts = (["__num_scaled"] if num else []) + ohe_cols + list(skip)
+    parts = [f"{c}__scaled" for c in num] + ohe_cols + list(skip)
     stages.append(VectorAssembler(inputCols=parts, outputCol=out, handleInvalid="keep"))
     # unseen levels: StringIndexer 'keep' gives them the extra last index, which
     # OneHotEncoder(dropLast=True) removes - every training level keeps its slot, unseen -> zeros

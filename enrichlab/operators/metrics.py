@@ -15,13 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from enrichlab.functions import scalars as S
+from enrichlab.session import materialize
 from enrichlab.operators.binning import bin_quantile, global_prefix, range_bucket_expr
 
 MACHINE_EPS = 2.220446049250313e-16  # float64 machine epsilon, the log-loss clip
 
 
 def _yp(df: DataFrame, y: str, p: str) -> DataFrame:
-    return df.select(F.col(y).cast("double").alias("y"), F.col(p).cast("double").alias("p"))
+    """Narrow (y, p) rows where both are there; NaN is null."""
+    return df.select(S.nan_to_null(F.col(y).cast("double")).alias("y"), S.nan_to_null(F.col(p).cast("double")).alias("p")).filter("y is not null and p is not null")
 
 
 # ---------------------------------------------------------------- ranking
@@ -30,16 +32,16 @@ def _yp(df: DataFrame, y: str, p: str) -> DataFrame:
 def _score_counts(df: DataFrame, y: str, p: str) -> DataFrame:
     """Distinct scores with positive / negative counts (ties collapse map-side)."""
     return (
-        df.filter(F.col(p).isNotNull() & F.col(y).isNotNull())
-        .groupBy(F.col(p).cast("double").alias("s"))
-        .agg(F.count_if(F.col(y) > 0).alias("pos"), F.count_if(F.col(y) <= 0).alias("neg"))
+        _yp(df, y, p)
+        .groupBy(F.col("p").alias("s"))
+        .agg(F.count_if(F.col("y") > 0).alias("pos"), F.count_if(F.col("y") <= 0).alias("neg"))
     )
 
 
-def roc_auc(df: DataFrame, y: str = "y", p: str = "p", buckets: int = 64) -> DataFrame:
+def roc_auc(df: DataFrame, y: str = "y", p: str = "p", buckets: int | None = None) -> DataFrame:
     """Binary AUC with ties (Mann-Whitney): sum over scores of pos * (neg below + neg tied / 2),
     divided by P * N; null when a class is missing (one-class folds)."""
-    sc = _score_counts(df, y, p)
+    sc = materialize(_score_counts(df, y, p))  # read by the count, the sample, the totals and the result
     pre = global_prefix(sc, ["s"], {"neg_below": F.col("neg")}, inclusive=False, buckets=buckets)
     return pre.agg(
         F.try_divide(
@@ -49,9 +51,9 @@ def roc_auc(df: DataFrame, y: str = "y", p: str = "p", buckets: int = 64) -> Dat
     )
 
 
-def roc_curve(df: DataFrame, y: str = "y", p: str = "p", buckets: int = 64) -> DataFrame:
+def roc_curve(df: DataFrame, y: str = "y", p: str = "p", buckets: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) for each distinct score: predicted positive when p >= threshold."""
-    sc = _score_counts(df, y, p)
+    sc = materialize(_score_counts(df, y, p))
     tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     P, N = tot.select("P").scalar(), tot.select("N").scalar()
     pre = global_prefix(sc, ["s"], {"pos_below": F.col("pos"), "neg_below": F.col("neg")}, inclusive=False, buckets=buckets)
@@ -171,15 +173,15 @@ def ece_quantile(df: DataFrame, y: str = "y", p: str = "p", n_bins: int = 5, met
 
 
 def equal_leads_bins(df: DataFrame, sales: str, p: str, leads: str, row_key: str, n_bins: int = 10,
-                     buckets: int = 64) -> DataFrame:
+                     buckets: int | None = None) -> DataFrame:
     """Rows with leads > 0 ordered by (p, row_key); bins of about equal total leads by the
     greedy rule (at most one bin step per row), in closed form:
       i = row index, before_i = leads before row i, lpb = total / n,
       t_i = #{k >= 1 : k * lpb <= before_i},  bin_i = min(n - 1, i + min_{j <= i}(t_j - j)).
     Two distributed prefix scans over the same range buckets; no Python loop, no single task."""
     x = df.filter(F.col(leads).isNotNull() & (F.col(leads) > 0)).select(
-        F.col(row_key).alias("row_key"), F.col(p).cast("double").alias("pred"),
-        F.col(sales).cast("double").alias("sales"), F.col(leads).cast("double").alias("leads"))
+        F.col(row_key).alias("row_key"), S.nan_to_null(F.col(p).cast("double")).alias("pred"),
+        S.nan_to_null(F.col(sales).cast("double")).alias("sales"), F.col(leads).cast("double").alias("leads")).filter("pred is not null")
     total = x.agg(F.sum("leads")).first()[0]
     if not total:
         return x.withColumn("bin", F.lit(None).cast("int")).limit(0)
@@ -279,17 +281,21 @@ def ece_equal_width(df: DataFrame, y: str = "y", p: str = "p", n_bins: int = 10)
 # ---------------------------------------------------------------- score tables
 
 
-def score_row(df: DataFrame, y: str = "y", p: str = "p", n_bins: int = 5, model: str | None = None) -> DataFrame:
+def score_row(df: DataFrame, y: str = "y", p: str = "p", n_bins: int = 5, model: str | None = None,
+              leads: str | None = None, row_key: str | None = None) -> DataFrame:
     """AUC, R2, RMSE, log-loss and ECE of one scored frame as one row (each metric null when
-    it cannot be computed, e.g. AUC on a one-class frame)."""
+    it cannot be computed, e.g. AUC on a one-class frame).  With ``leads`` and ``row_key`` the
+    calibration error is the leads-weighted one over 10 bins, as partner scoring asks; without,
+    the quantile one over ``n_bins``."""
     # evaluated eagerly on a persisted narrow frame: one scoring pass feeds every metric
-    x = df.select(F.col(y).cast("double").alias("y"), F.col(p).cast("double").alias("p")).persist()
+    extra = [F.col(c).alias(a) for c, a in ((leads, "leads"), (row_key, "row_key")) if c]
+    x = df.select(F.col(y).cast("double").alias("y"), F.col(p).cast("double").alias("p"), *extra).persist()
     try:
         vals = {
             "roc_auc": roc_auc(x, "y", "p").first()[0],
             **regression_errors(x, "y", "p").select("r2", "rmse").first().asDict(),
             "log_loss": log_loss(x, "y", "p").first()[0],
-            "ece": ece_quantile(x, "y", "p", n_bins).first()[0],
+            "ece": (ece_by_leads(x, "y", "p", "leads", "row_key") if leads and row_key else ece_quantile(x, "y", "p", n_bins)).first()[0],
         }
     finally:
         x.unpersist()
@@ -299,9 +305,10 @@ def score_row(df: DataFrame, y: str = "y", p: str = "p", n_bins: int = 5, model:
     return row if model is not None else row.drop("model")
 
 
-def score_table(scored: Mapping[str, DataFrame], y: str = "y", p: str = "p") -> DataFrame:
+def score_table(scored: Mapping[str, DataFrame], y: str = "y", p: str = "p", leads: str | None = None,
+                row_key: str | None = None) -> DataFrame:
     """One row per model (union of one-row aggregates)."""
-    rows = [score_row(df, y, p, model=name) for name, df in scored.items()]
+    rows = [score_row(df, y, p, model=name, leads=leads, row_key=row_key) for name, df in scored.items()]
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

@@ -13,7 +13,7 @@ import random
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Estimator, Pipeline
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from enrichlab.operators import metrics as M
@@ -28,15 +28,19 @@ def split_by_date(df: DataFrame, c: str, cutoff: str) -> tuple[DataFrame, DataFr
 def split_by_ratio(df: DataFrame, key: str, test: float = 0.2, seed: int = 42, stratify: str | None = None
                    ) -> tuple[DataFrame, DataFrame]:
     """Random split by a hash of the row key (stable under repartitioning and recomputation).
-    Stratified: the hash bucket is taken within each class, so every class keeps its share."""
-    h = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(1000))
-    is_test = h < int(round(test * 1000))
+    Stratified: the rows of each class are ranked by hash, and the first ``test`` share of them
+    (rounded half up) is the test set, so every class keeps its share exactly; the rank is
+    skew-safe, as one class may hold nearly all rows."""
+    hashed = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
+    is_test = F.pmod(hashed, F.lit(1000)) < int(round(test * 1000))
     if stratify:
-        # rank inside the class by hash: exact class shares, still one pass per class key
-        w = Window.partitionBy(stratify, F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed + 1)), F.lit(64)))
-        frac = F.percent_rank().over(w.orderBy(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), key))
-        x = df.withColumn("__test", frac < test)
-        return x.filter(~F.col("__test")).drop("__test"), x.filter(F.col("__test")).drop("__test")
+        from enrichlab.operators.windows import skew_safe_row_number
+
+        x = skew_safe_row_number(df.withColumn("__h", hashed), [stratify], [("__h", True), (key, True)], "__rank")
+        sizes = df.groupBy(F.col(stratify).alias("__class")).agg(F.floor(F.count(F.lit(1)) * F.lit(test) + 0.5).alias("__take"))
+        x = x.join(sizes, x[stratify].eqNullSafe(sizes["__class"]))
+        part = lambda keep: x.filter(keep).drop("__h", "__rank", "__class", "__take")
+        return part(F.col("__rank") > F.col("__take")), part(F.col("__rank") <= F.col("__take"))
     return df.filter(~is_test), df.filter(is_test)
 
 
@@ -172,36 +176,77 @@ def class_balance(df: DataFrame, label: str, split: str | None = None) -> DataFr
                                  (F.count_if(F.col(label) > 0) / F.count(F.lit(1))).alias("positive_share"))
 
 
+def draw(rng: random.Random, choice) -> object:
+    """One value of a search space entry: an item of a list, an integer of a ``range`` or a float
+    from a pair of bounds."""
+    if isinstance(choice, range):
+        return rng.randrange(choice.start, choice.stop, choice.step)
+    if isinstance(choice, tuple):
+        return rng.uniform(*choice)
+    return rng.choice(list(choice))
+
+
 def random_search(estimator: Estimator, space: Mapping[str, Sequence], df: DataFrame, n_iter: int = 20, folds: int = 3,
                   metric_fn: Callable[[DataFrame], float] | None = None, label: str = "label", seed: int = 42,
-                  fold_key: str = "row_key", higher_is_better: bool = True, parallelism: int = 1):
+                  fold_key: str = "row_key", higher_is_better: bool = True, parallelism: int = 4):
     """``n_iter`` random parameter draws x ``folds``-fold CV (fold = hash of the row key),
-    mean score per draw, best draw refit on all rows.  Returns (best_model, results frame)."""
+    mean score per draw, best draw refit on all rows.  A space entry is a list, a ``range`` of
+    integers or a (low, high) pair of floats.  ``parallelism`` draws are fitted at a time.  Returns
+    (best_model, results frame)."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+
     rng = random.Random(seed)
-    draws = []
-    for _ in range(n_iter):
-        draws.append({k: rng.choice(list(v)) for k, v in space.items()})
+    draws = [{k: draw(rng, v) for k, v in space.items()} for _ in range(n_iter)]
     metric_fn = metric_fn or (lambda s: _auc_once(_with_p(s), label))
     fold = F.pmod(F.xxhash64(F.col(fold_key).cast("string"), F.lit(seed)), F.lit(folds))
     x = df.withColumn("__fold", fold).persist()
-    results = []
-    for i, d in enumerate(draws):
+
+    def score(params: Mapping) -> float | None:
         est = estimator.copy()
-        for k, v in d.items():
-            est._set(**{k: v})
+        est._set(**params)
         scores = []
         for f in range(folds):
             m = est.fit(x.filter(F.col("__fold") != f))
             s = metric_fn(m.transform(x.filter(F.col("__fold") == f)))
             if s is not None:
                 scores.append(s)
-        results.append((i, str(d), sum(scores) / len(scores) if scores else None))
+        return sum(scores) / len(scores) if scores else None
+
+    with ThreadPool(max(1, parallelism)) as pool:
+        means = pool.map(inheritable_thread_target(x.sparkSession)(score), draws)
+    results = [(i, str(d), m) for i, (d, m) in enumerate(zip(draws, means, strict=True))]
     ok = [r for r in results if r[2] is not None]
     best = (max if higher_is_better else min)(ok, key=lambda r: r[2]) if ok else results[0]
     best_est = estimator.copy()
-    for k, v in draws[best[0]].items():
-        best_est._set(**{k: v})
+    best_est._set(**draws[best[0]])
     best_model = best_est.fit(x.drop("__fold"))
     x.unpersist()
     res = df.sparkSession.createDataFrame(results, "draw int, params string, mean_score double")
     return best_model, res
+
+
+def fold_rows(df: DataFrame, folds: DataFrame, date: str, split: str = "test") -> DataFrame:
+    """``df`` with one row per fold whose ``split`` dates hold the row, as ``fold``.  The folds are
+    spread over their dates first (one row per fold and date, bounded by the calendar), so the join
+    is by equal dates and a row meets its own folds only."""
+    days = folds.select("fold", F.explode(F.sequence(f"{split}_from", f"{split}_to")).alias("__day"))
+    return df.join(days, F.to_date(F.col(date)) == F.col("__day")).drop("__day")
+
+
+def cv_rule_model(df: DataFrame, date: str, label: str, folds: DataFrame, rule_id: Column) -> DataFrame:
+    """Rolling CV of the rule model over all folds at once: the mean label per (fold, rule) of the
+    train dates is the probability of that rule's test rows in the fold.  Returns one row per fold
+    with ``test_rows``, ``rmse`` and ``log_loss`` of its test rows (rules unseen in training get 0)."""
+    x = df.select(F.to_date(F.col(date)).alias("__d"), F.col(label).cast("double").alias("__y"), rule_id.alias("__rule"))
+    # all that a fold needs are counts per date and rule: the rows are read once, however many folds
+    daily = x.groupBy("__d", "__rule").agg(F.count(F.lit(1)).alias("__n"), F.sum("__y").alias("__pos"))
+    p = fold_rows(daily, folds, "__d", "train").groupBy("fold", "__rule").agg((F.sum("__pos") / F.sum("__n")).alias("__p"))
+    test = fold_rows(daily, folds, "__d", "test").join(p, ["fold", "__rule"], "left").withColumn("__p", F.coalesce("__p", F.lit(0.0)))
+    neg, eps = F.col("__n") - F.col("__pos"), M.MACHINE_EPS
+    clipped = F.least(F.greatest(F.col("__p"), F.lit(eps)), F.lit(1 - eps))
+    return test.groupBy("fold").agg(
+        F.sum("__n").alias("test_rows"),
+        F.sqrt(F.sum(F.col("__pos") * F.pow(1 - F.col("__p"), 2) + neg * F.pow(F.col("__p"), 2)) / F.sum("__n")).alias("rmse"),
+        (-F.sum(F.col("__pos") * F.ln(clipped) + neg * F.ln(1 - clipped)) / F.sum("__n")).alias("log_loss"))

@@ -53,7 +53,7 @@ def row_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: s
 
 
 def skew_safe_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]], out: str,
-                         buckets: int = 64) -> DataFrame:
+                         buckets: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by c1 [desc] nulls last, ...)`` without
     putting a key in one task.  Rows are range-bucketed on (keys, order) - a hot key is cut
     into several buckets - and ranked by a window over (bucket, key).  A key's rows are
@@ -163,7 +163,7 @@ def sort_bins_by_left_edge(df: DataFrame, edge: str) -> DataFrame:
 
 def sample_ids_by_presence(df: DataFrame, id_col: str, c: str, present: bool, k: int = 10) -> DataFrame:
     p = F.col(c).isNotNull() if present else F.col(c).isNull()
-    return df.filter(p).select(id_col).orderBy(id_col).limit(k)
+    return df.filter(p).select(id_col).distinct().orderBy(id_col).limit(k)
 
 
 def rank_models(metrics: DataFrame, by: str, ascending: bool) -> DataFrame:
@@ -176,9 +176,11 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def running_leads(df: DataFrame, order: Sequence[str], leads: str, out: str = "leads_before",
-                  buckets: int = 64) -> DataFrame:
+                  buckets: int | None = None) -> DataFrame:
     """Leads of all rows strictly before each row in the global order ``order`` (exclusive
     prefix sum), computed with ``global_prefix`` - distributed, no single-task window."""
     from enrichlab.operators.binning import global_prefix
 
-    return global_prefix(df, list(order), {out: F.col(leads)}, inclusive=False, buckets=buckets)
+    from enrichlab.session import materialize
+
+    return global_prefix(materialize(df), list(order), {out: F.col(leads)}, inclusive=False, buckets=buckets)

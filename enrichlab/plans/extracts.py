@@ -6,7 +6,7 @@ first, so fan-out is bounded; aggregates sit *below* joins (Catalyst does not pu
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,31 +28,18 @@ ENRICH_ATTRS = {
     "users_prob_sale": "user_rank",
 }
 
-# Prediction dedup: output name -> source (max) ...
+# Prediction dedup: which columns are kept, by the aggregate; other column lists are arguments.
 PRED_MAX = {
     "company": "company",
     "country_code": ("channel_country_code", "country_code"),
-    "site_name": "site_name", "model_version": "model_version", "model_id": "model_id",
-    "channel": "traffic_join", "source": ("source_join", "utm_source"),
-    "bucket_group": "bucket_group", "campaign": "campaign_name", "ad_group_name": "ad_group_name",
-    "match_type": "match_type", "agent_browser": "agent_browser", "agent_platform": "agent_platform",
-    "model_run_id": "model_run_id", "run_id_prt": "run_id_prt", "page_type_name": "page_type_name",
-    "gclid": "gclid", "topic": "topic", "ppc_account_name": "ppc_account_name",
-    "landing_page_uri": "landing_page_uri", "traffic_source_name": "traffic_source_name",
-    "pli_segment_name": "pli_segment_name", "agent_os": "agent_os", "pli_vertical_name": "pli_vertical_name",
-    "normalized_p_cr_lead": "normalized_p_cr_lead", "avg_conversion_lag_sale": "avg_conversion_lag_sale",
-    "normalized_p_cr_sale": "normalized_p_cr_sale", "predicted_commission": "predicted_commission",
-    "estimated_earnings_usd": "estimated_earnings_usd", "estimated_conversions": "estimated_conversions",
-    "conversion_count": "conversion_count", "leads_count": "leads_count",
-    "qualified_leads_count": "qualified_leads_count", "sales_count": "sales_count",
-    "p_cr_lead": "p_cr_lead", "p_cr_sale": "p_cr_sale",
-}
-# ... and (min)
-PRED_MIN = {
-    "clickout_timestamp": "clickout_timestamp", "conversion_month_prt": "conversion_month_prt",
-    "clickout_date_prt": "clickout_date_prt", "visit_timestamp": "visit_timestamp",
-    "p_conversion_time_sale": "p_conversion_time_sale",
+    "normalized_p_cr_lead": "normalized_p_cr_lead",
+    "normalized_p_cr_sale": "normalized_p_cr_sale",
+    "p_cr_sale": "p_cr_sale",
+    "predicted_commission": "predicted_commission",
+    "leads_count": "leads_count",
+    "sales_count": "sales_count",
 }
+PRED_MIN = {c: c for c in ("visit_timestamp", "clickout_timestamp", "clickout_date_prt")}
 
 
 def _present(df: DataFrame, mapping: dict) -> dict:
@@ -70,14 +57,15 @@ def _present(df: DataFrame, mapping: dict) -> dict:
     return out
 
 
-def prediction_dedup(pred: DataFrame, with_time_bucket: bool = True) -> DataFrame:
+def prediction_dedup(pred: DataFrame, with_time_bucket: bool = True, max_of: Mapping = PRED_MAX,
+                     min_of: Mapping = PRED_MIN) -> DataFrame:
     """Predictions deduplicated to one row per (click, visit, product, company, source country):
     ``max`` of attributes / scores / counts, ``min`` of times, the network default ``'x'`` and
     the whole-seconds visit->click gap with its bucket."""
-    maxes = _present(pred, PRED_MAX)
+    maxes = _present(pred, max_of)
     if "network" in pred.columns:
         maxes["network"] = F.coalesce(F.col("network"), F.lit("x"))
-    mins = _present(pred, PRED_MIN)
+    mins = _present(pred, min_of)
     if with_time_bucket and {"visit_timestamp", "clickout_timestamp"} <= set(pred.columns):
         maxes["time_to_clickout_s"] = S.date_diff_seconds("visit_timestamp", "clickout_timestamp")
     keys = [k for k in ("channel_click_id", "visit_iid", "product_name", "company", "country_code") if k in pred.columns]
@@ -91,9 +79,12 @@ def prediction_dedup(pred: DataFrame, with_time_bucket: bool = True) -> DataFram
 
 
 def attribute_first_version(enrich: DataFrame, funnel: DataFrame, p: ExtractParams) -> DataFrame:
-    """Attribute rows joined to the funnel (LEFT JOIN + WHERE on funnel columns = inner), one
-    row per (subid, visit, click, process, partner, rn) with max attributes; then only the
-    first version per visit (``rn = min(rn) over visit``), re-aggregated per (visit, click)."""
+    """Attribute rows joined to the funnel (LEFT JOIN + WHERE on funnel columns = inner); per
+    (visit, click) the maxima of the rows with the visit's lowest revision.
+
+    Three aggregates in a row, no self-join of the revisions: maxima per (visit, click, revision),
+    then each click's lowest revision, then a join with the (narrow) lowest revision per visit.  A row
+    at the visit's lowest revision is always at its click's lowest, so nothing is lost on the way."""
     e = scan_attribute(enrich, p.partner_ids, p.process_names, p.month_from, p.vertical_ids)
     c = funnel.select(
         F.col("cid"), F.col("visit_iid").alias("en_visit_iid"),
@@ -107,14 +98,12 @@ def attribute_first_version(enrich: DataFrame, funnel: DataFrame, p: ExtractPara
         pred_c = pred_c & F.col("c_product_id").isin(list(p.product_ids))
     j = J.join_left_then_filter_right(e, c, [("subid", "cid")], pred_c)
     attrs = {k: v for k, v in ENRICH_ATTRS.items() if v in e.columns}
-    # one row per revision (the extract also counts distinct age values per revision; nothing
-    # downstream reads that count, so it is not computed here)
-    by_version = A.agg_attribute_by_version(
-        j, ["subid", "en_visit_iid", "en_channel_click_id", "process_name", "partner_name", "rn"], attrs)
-    # only what the first-version step reads is materialized for its two branches
-    by_version = by_version.select("en_visit_iid", "en_channel_click_id", "rn", *attrs)
-    with_min = W.min_version_over_visit(by_version, "en_visit_iid", "rn", "min_rn")
-    return A.agg_first_version(with_min, "rn", "min_rn", ["en_visit_iid", "en_channel_click_id"], list(attrs))
+    by_version = A.agg_attribute_by_version(j, ["en_visit_iid", "en_channel_click_id", "rn"], attrs)
+    first = by_version.groupBy("en_visit_iid", "en_channel_click_id").agg(
+        F.min("rn").alias("rn"), F.min_by(F.struct(*attrs), "rn").alias("v"))
+    low = first.groupBy(F.col("en_visit_iid").alias("low_visit")).agg(F.min("rn").alias("low_rn"))
+    kept = first.join(low, F.col("en_visit_iid").eqNullSafe(F.col("low_visit")) & (F.col("rn") == F.col("low_rn")))
+    return kept.select("en_visit_iid", "en_channel_click_id", *[F.col(f"v.{a}").alias(a) for a in attrs])
 
 
 def lead_attribute_frame(
@@ -182,6 +171,8 @@ def deposit_frame(
     ps = ps.withColumn("country_code", F.coalesce("channel_country_code", "country_code"))
     dims = [d for d in ("channel_click_id", "visit_iid", "product_name", "company", "country_code", "clickout_timestamp")
             if d in ps.columns]
+    # the rank runs over all rows of a visit, but only visits with deposits can stay: the others go first
+    ps = ps.join(en.select(F.col("e_visit_iid").alias("visit_iid")).distinct(), "visit_iid", "left_semi")
     many = A.agg_group_by_many_dims(
         ps, dims,
         max_cols=["normalized_p_cr_lead", "normalized_p_cr_sale", "predicted_commission", "leads_count", "sales_count"],

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from enrichlab.functions import scalars as S
 from enrichlab.operators import aggregates as A
 from enrichlab.operators import binning as B
 from enrichlab.operators import features as FE
@@ -92,48 +93,70 @@ def partner_report(frame: DataFrame, fields: Sequence[str] = ("loanamount", "cre
     return out
 
 
+#: Search spaces of the tuned models (a ``range`` of integers, a pair of float bounds, a list).
+TUNING = {
+    "random_forest": {"numTrees": range(100, 500), "maxDepth": range(3, 20), "minInstancesPerNode": range(1, 10),
+                      "featureSubsetStrategy": ["sqrt", "log2", "all"]},
+    "xgb": {"maxIter": range(100, 400), "maxDepth": range(3, 10), "stepSize": (0.01, 0.21), "subsamplingRate": (0.6, 1.0)},
+    "gbt": {"maxIter": range(100, 400), "maxDepth": range(3, 10), "stepSize": (0.01, 0.21), "subsamplingRate": (0.6, 1.0)},
+}
+
+
+def partner_models(n: int, trees: int = 200, max_iter: int = 1000) -> dict[str, object]:
+    """The five compared classifiers on ``features`` / ``label`` for ``n`` training rows; ``trees`` is
+    the size of the forest and of the stand-in booster (the deeper booster has half as many again)."""
+    return {
+        "logistic": MD.logistic(C=1.0, n=n, labelCol="label", max_iter=max_iter),
+        "ridge": MD.ridge_classifier(n=n, labelCol="signed_label"),
+        "random_forest": MD.random_forest(num_trees=trees, max_depth=10, min_leaf=5, labelCol="label"),
+        "gbt": MD.gbt(max_iter=trees * 3 // 2, step=0.05, max_depth=6, subsample=0.8, labelCol="label"),
+        "xgb": MD.xgb(max_iter=trees, subsample=1.0, labelCol="label"),
+    }
+
+
 def _scored(model, df: DataFrame) -> DataFrame:
     s = model.transform(df)
-    return s if "p" in s.columns else MD.positive_probability(s)
+    if "p" in s.columns:
+        return s
+    if "probability" not in s.columns:  # least squares on +-1: the score goes through a sigmoid
+        return s.withColumn("p", S.sigmoid("prediction"))
+    return MD.positive_probability(s)
 
 
 def partner_analysis(name: str, df: DataFrame, features: Sequence[str], target: str, attribute: Sequence[str] = (),
                      null_config: Mapping[str, str] | None = None, split: str = "date", split_val: str = "2025-01-01",
-                     date: str = "clickout_date", key: str = "row_key", fast: bool = False,
-                     metric: str = "roc_auc") -> DataFrame:
-    """stats -> drop rows with all attribute null -> per-column null strategy -> split (date or
-    hash ratio) -> preprocess (impute + one-hot + assemble) -> logistic / forest / boosted
-    trees -> score table on the test split, best model first by ``metric``."""
+                     date: str = "clickout_date", key: str = "row_key", metric: str = "roc_auc", impute: str = "median",
+                     trees: int = 200, tune: Mapping[str, Mapping] | None = None, n_iter: int = 20,
+                     leads: str | None = None, models: Sequence[str] | None = None) -> DataFrame:
+    """Drop rows with all attributes null -> split (date or hash ratio) -> null strategies and
+    preprocessing learned on the train part -> five classifiers (or those of them named in
+    ``models``) -> tuned versions of the models named in ``tune`` (random search, 3-fold CV, e.g. ``TUNING``) -> score table on the test part with
+    the leads-weighted calibration error where ``leads`` is given, best first by ``metric``, and ``best``
+    on the first row."""
     from enrichlab.operators.filters import drop_all_null_rows
+    from enrichlab.operators.windows import rank_models
 
     x = drop_all_null_rows(df, list(attribute), on_empty="skip") if attribute else df
+    x = MD.signed_label(x.withColumn("label", (F.col(target) > 0).cast("double")), "label").persist()
+    tr, te = V.split_by_date(x, date, split_val) if split == "date" else V.split_by_ratio(x, key, float(split_val))
     if null_config:
-        x = FE.null_strategy(x, null_config)
-    x = x.withColumn("label", (F.col(target) > 0).cast("double")).persist()
-    if split == "date":
-        tr, te = V.split_by_date(x, date, split_val)
-    else:
-        tr, te = V.split_by_ratio(x, key, float(split_val))
-    num = [f for f in features if f in x.columns and isinstance(x.schema[f].dataType, NumericType)]
-    cat = [f for f in features if f in x.columns and f not in num]
-    prep = FE.auto_preprocessor(num, cat)
-    n = 1000 if fast else tr.count()
-    k = 10 if fast else 1
-    models = {
-        "logistic": MD.logistic(C=1.0, n=n, labelCol="label", max_iter=100 if fast else 1000),
-        "random_forest": MD.random_forest(num_trees=200 // k, max_depth=10, min_leaf=5, labelCol="label"),
-        "gbt": MD.gbt(max_iter=300 // (3 * k) if fast else 300, step=0.05, max_depth=6 if not fast else 3, subsample=0.8,
-                      labelCol="label"),
-    }
-    scored = {}
-    for mname, est in models.items():
-        fitted = Pipeline(stages=[*prep, est]).fit(tr)
-        scored[mname] = _scored(fitted, te)
-    table = M.score_table(scored, "label", "p").withColumn("partner", F.lit(name))
-    from enrichlab.operators.windows import rank_models
-
-    x.unpersist()
-    return rank_models(table, metric, ascending=metric in {"rmse", "log_loss", "ece"})
+        nulls = FE.NullStrategy(null_config).fit(tr)
+        tr, te = nulls.transform(tr), nulls.transform(te)
+    num = [f for f in features if f in tr.columns and isinstance(tr.schema[f].dataType, NumericType)]
+    cat = [f for f in features if f in tr.columns and f not in num]
+    prep = Pipeline(stages=FE.auto_preprocessor(num, cat, impute)).fit(tr)
+    ready, test = prep.transform(tr).persist(), prep.transform(te).persist()
+    known = partner_models(ready.count(), trees)
+    scored = {m: _scored(known[m].fit(ready), test) for m in models or known}
+    for m, space in (tune or {}).items():
+        best, _ = V.random_search(known[m], space, ready, n_iter=n_iter, label="label", fold_key=key)
+        scored[f"{m}_tuned"] = _scored(best, test)
+    table = M.score_table(scored, "label", "p", leads, key if leads else None).withColumn("partner", F.lit(name))
+    for frame in (ready, test, x):
+        frame.unpersist()
+    higher = metric not in {"rmse", "log_loss", "ece"}
+    top = V.get_best_model(table, metric, higher).select("model").first()
+    return rank_models(table.withColumn("best", F.col("model") == F.lit(top[0])), metric, ascending=not higher)
 
 
 def cv_comparison(df: DataFrame, pipelines: Mapping[str, Pipeline], date: str, label: str,

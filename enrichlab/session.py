@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,10 +51,13 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "enric
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; a scratch one only when unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``.  Where none is set, a local session
+    gets a scratch folder; on a cluster that is an error, since executors share no local disk."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="enrichlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -61,6 +65,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def forget_at_exit(spark: SparkSession, path: str) -> None:
+    """Have an intermediate folder deleted when the application ends, whatever store it is in."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def materialize(df, how: str = "table"):
     """Materialize an intermediate that several branches / jobs read.
 
@@ -72,15 +83,9 @@ def materialize(df, how: str = "table"):
 
         spark = df.sparkSession
         path = f"{checkpoint_dir(spark).rstrip('/')}/enrichlab-{uuid.uuid4().hex}"
+        forget_at_exit(spark, path)
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     if how == "persist":
         return df.persist()
     return df
-
-
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint (never localCheckpoint) so lost executors can recompute nothing."""
-    spark = spark or df.sparkSession
-    checkpoint_dir(spark)
-    return df.checkpoint(eager=True)

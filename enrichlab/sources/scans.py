@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from enrichlab.session import checkpoint_dir
+from enrichlab.session import checkpoint_dir, forget_at_exit
 
 
 def _source(spark: SparkSession | None, source: DataFrame | str) -> DataFrame:
@@ -142,6 +142,7 @@ def cache_result(df: DataFrame, path: str | None = None) -> DataFrame:
         import uuid
 
         path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/cache-{uuid.uuid4().hex}"
+        forget_at_exit(df.sparkSession, path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

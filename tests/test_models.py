@@ -19,7 +19,7 @@ def mf(spark):
 
 
 def test_named_pipelines_fit_and_score(spark, mf):
-    pipes = MD.named_pipelines(label="label", fast=True)
+    pipes = MD.named_pipelines(label="label", trees=20)
     assert len(pipes) == 7
     for name in ("rule_model", "baseline_psale", "user_rank_only"):
         model = pipes[name].fit(mf)
