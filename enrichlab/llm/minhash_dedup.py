@@ -8,13 +8,14 @@ limit doubles until each of the ``k = BANDS * ROWS`` coordinates has a dart.  Th
 coordinate is the same in two documents with probability equal to their weighted Jaccard similarity.
 
 **Joining.**  Equal word sequences are one node from the start (their group is aggregated before
-anything else), so copies are never paired.  Nodes that share a band meet at that band's key.  No pairs
-are formed within a key: its members are compared with a leader, the member that shares most
-bands with others, which is the centre of a family of edited copies.  Members that are not in the
-leader's component yet stay for the next round, in which twice as many leaders are drawn for each key;
-the rounds end when no key has members of different components that no leader has seen.  A
-comparison passes a size test and a sketch test (both without error at 0.8 but for a chance under
-1e-9) and is then verified exactly on the texts.
+anything else), so copies are never paired.  Nodes that share a band meet at that band's key.  A key
+of up to ``SMALL_KEY`` nodes compares them all.  In a crowded key, its members are compared with a
+leader: the member that shares most bands with others, which is the centre of a family of edited
+copies.  While that links something, the key goes on with the members of other components than the
+leaders', and twice as many leaders, each of another component.  Members that are like no leader
+differ from the family in a good part of their shingles, so most of their bands, and most of those
+that they share with a partner of their own, lie in other keys, small ones as a rule.  A comparison passes a
+size test (exact) and a sketch test (wrong with a chance under 1e-9) and is verified on the texts.
 
 All intermediate tables lie in the shared folder; links and components stay distributed.
 """
@@ -29,7 +30,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from enrichlab.llm.common import bounded_side, mix64, shingle_hashes, stored, text_slices, texts_of, word_hashes
@@ -40,6 +41,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Share of equal one-byte sketches below which a pair cannot be similar (0.8 less over 6 deviations).
 SKETCH_SHARE = 0.56
+#: Nodes up to which a key compares all of them.
+SMALL_KEY = 8
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -220,24 +223,29 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     info = stored(info, "crowd")
     texts = stored(frame.join(bounded_side(info.select(F.col("node").alias("id")).distinct()), "id").groupBy("id").agg(F.first("text").alias("text")).withColumnRenamed("id", "node"), "texts")
     met = stored(met.select("key", "node").join(info.select("node", "hub"), "node").withColumn("comp", F.col("node")), "met")
-    links, leaders = None, 1
+    small = met.groupBy("key").agg(F.count("*").alias("members")).filter(F.col("members") <= SMALL_KEY).select("key")
+    crowded = stored(met.join(small, "key", "left_anti"), "crowded")
+    met = met.join(small, "key", "left_semi")
+    # all pairs of a small key; a crowded key's members with its leaders
+    pairs = met.select("key", F.col("node").alias("leader")).join(met.select("key", "node"), "key").filter("leader < node").select("leader", "node")
+    links, comps, leaders = None, None, 1
     while True:
-        chosen = _leaders(met, leaders)
-        pairs = met.select("key", "node", "comp").join(chosen.select("key", "leader", F.col("comp").alias("leader_comp")), "key").filter("comp <> leader_comp").select("leader", "node").distinct()
-        pairs = pairs.join(info.select("node", F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b")), "node").join(info.select(F.col("node").alias("leader"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a")), "leader").filter(F.least("n_a", "n_b") >= SIMILARITY * F.greatest("n_a", "n_b"))
-        found = stored(_verify(_alike(pairs), texts).select(F.col("leader").alias("a"), F.col("node").alias("b")), "links")
-        any_new = found.limit(1).count() > 0
-        if any_new:
+        chosen = stored(_leaders(crowded, leaders), "leaders")
+        led = crowded.join(chosen, "key").filter("comp <> leader_comp").select("key", "leader", "node")
+        pairs = led.select("leader", "node") if pairs is None else pairs.union(led.select("leader", "node"))
+        found = stored(_verify(_alike(_similar_size(pairs.distinct(), info)), texts), "links")
+        if found.limit(1).count():
             links = found if links is None else stored(links.union(found), "links")
-        comps = components(links) if links is not None else None
-        # leaders are done with their keys; keys within one component are done as well
-        rest = met.join(chosen.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti").drop("comp")
+            comps = components(links.select(F.col("leader").alias("a"), F.col("node").alias("b")))
+        # a key goes on while its leaders find something and it holds members of several components
+        found_in = led.join(found, ["leader", "node"]).select("key").distinct()
+        rest = crowded.drop("comp").join(found_in, "key", "left_semi")
         rest = rest.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")) if comps is not None else rest.withColumn("comp", F.col("node"))
-        open_keys = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-        met = stored(rest.join(open_keys, "key", "left_semi").select("key", "node", "hub", "comp"), "met")
-        if not met.limit(1).count():
+        several = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
+        crowded = stored(rest.join(several, "key", "left_semi").select("key", "node", "hub", "comp"), "crowded")
+        if not crowded.limit(1).count():
             break
-        leaders *= 2
+        pairs, leaders = None, 2 * leaders
     copies = nodes.select("fp", F.col("node").alias("copy_of"))
     out = signed.select("id", "fp").join(copies, "fp", "left")
     if comps is None:
@@ -248,16 +256,19 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _leaders(met: DataFrame, n: int) -> DataFrame:
-    """(key, leader, comp): the ``n`` members of each key that share most bands with others, no two
-    of one component.  A bounded list per key, combined in each task."""
-    rank = F.struct(F.col("hub"), F.col("node"))
-    best = met.groupBy("key", "comp").agg(F.max(rank).alias("best"))
-    if n == 1:
-        return best.groupBy("key").agg(F.max(F.struct("best", "comp")).alias("x")).select("key", F.col("x.best.node").alias("leader"), F.col("x.comp").alias("comp"))
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("key").orderBy(F.desc("best"))
-    return best.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= n).select("key", F.col("best.node").alias("leader"), "comp")
+    """(key, leader, leader_comp): the ``n`` members of each key that share most bands with others, no
+    two of one component.  The best member of each component is an aggregate, combined in each task;
+    ranking them keeps ``n`` rows per key and task."""
+    best = met.groupBy("key", "comp").agg(F.max(F.struct("hub", "node")).alias("best"))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("best")))
+    return best.withColumn("r", rank).filter(F.col("r") <= n).select("key", F.col("best.node").alias("leader"), F.col("comp").alias("leader_comp"))
+
+
+def _similar_size(pairs: DataFrame, info: DataFrame) -> DataFrame:
+    """``pairs`` with both sketches, without those whose sizes rule the similarity out."""
+    b = info.select("node", F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    a = info.select(F.col("node").alias("leader"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    return pairs.join(b, "node").join(a, "leader").filter(F.least("n_a", "n_b") >= SIMILARITY * F.greatest("n_a", "n_b"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
