@@ -214,6 +214,22 @@ def test_compact_windows_equal_brute_force():
         assert (last - first + 1 >= width).all()
 
 
+def test_shared_keys_across_batches(spark):
+    rng = random.Random(12)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (1, 2, 3, 7, 1000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+            rows = [(rng.randrange(12), rng.choice([1, 1, 1, 2, 3]) * (1 + key % 3), i, 0) for i, key in enumerate([rng.randrange(12) for _ in range(60)])]
+            docs = {}
+            for key, doc, *_ in rows:
+                docs.setdefault(key, set()).add(doc)
+            df = spark.createDataFrame(rows, "key long, doc long, place int, reach int")
+            assert sorted(map(tuple, passage_dedup._shared(df).collect())) == sorted(r for r in rows if len(docs[r[0]]) > 1)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def shared_windows(texts, size=50):
     seen = {}
     for d, t in texts.items():
