@@ -7,7 +7,6 @@ functions  Column -> Column scalars and ANSI-safe helpers (null / NaN / inf rule
 operators  filters, joins, aggregates, windows, profiling, binning, features,
            models, metrics and validation
 plans      end-to-end extracts and reports composed from the operators
-streaming  (intentionally empty: the analysed workload has no streams)
 """
 
 __version__ = "0.1.0"

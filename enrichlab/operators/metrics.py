@@ -153,10 +153,21 @@ def class_report(df: DataFrame, y: str = "y", p: str = "p", t: float = 0.5, stri
 # ---------------------------------------------------------------- calibration
 
 
-def ece_bin_table(df: DataFrame, y: str = "y", p: str = "p", n_bins: int = 5, method: str = "ranks") -> DataFrame:
-    """qcut(p, n_bins, duplicates='drop') bins: per bin mean p, count, mean y."""
+def score_distribution(df: DataFrame, p: str = "p", rsd: float | None = None) -> DataFrame:
+    """Rows, least, largest and distinct scores (an estimate with ``rsd``); NaN is null."""
+    x = df.select(S.nan_to_null(F.col(p).cast("double")).alias("p"))
+    distinct = F.count_distinct("p") if rsd is None else F.approx_count_distinct("p", rsd)
+    return x.agg(F.count("p").alias("rows"), F.min("p").alias("min"), F.max("p").alias("max"), distinct.alias("distinct"))
+
+
+def ece_bin_table(df: DataFrame, y: str = "y", p: str = "p", n_bins: int = 5, method: str = "ranks",
+                  fallback: bool = False) -> DataFrame:
+    """qcut(p, n_bins, duplicates='drop') bins: per bin mean p, count, mean y.  A constant score has
+    no quantile bins: no rows, or with ``fallback`` the middle one of ``n_bins`` equal-width bins."""
     x = _yp(df, y, p)
-    b, _ = bin_quantile(x, "p", n_bins, "bin", method)
+    b, edges = bin_quantile(x, "p", n_bins, "bin", method)
+    if fallback and len(edges) < 2:
+        b = x.withColumn("bin", F.lit(n_bins // 2))
     return b.filter(F.col("bin").isNotNull()).groupBy("bin").agg(
         F.avg("p").alias("mean_pred"), F.count(F.lit(1)).alias("count"), F.avg("y").alias("mean_true"))
 

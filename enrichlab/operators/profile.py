@@ -116,9 +116,16 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, accuracy:
     return _long(wide, cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
 
 
-def schema_profile(df: DataFrame) -> DataFrame:
-    """Row count, column count, and per column the type and distinct count (one aggregate)."""
-    wide = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.countDistinct(c).alias(f"{c}__distinct") for c in df.columns])
+def distinct_count(c: str, rsd: float | None = None) -> Column:
+    """Distinct non-null values; with ``rsd`` an estimate of that relative error, whose sketch is combined
+    in each task.  Exact counts of many columns at once multiply every row by the number of columns:
+    pass ``rsd`` on large tables."""
+    return F.countDistinct(c) if rsd is None else F.approx_count_distinct(c, rsd)
+
+
+def schema_profile(df: DataFrame, rsd: float | None = None) -> DataFrame:
+    """Row count, and per column the type and distinct count (one aggregate)."""
+    wide = df.agg(F.count(F.lit(1)).alias("__rows"), *[distinct_count(c, rsd).alias(f"{c}__distinct") for c in df.columns])
     wide = wide.select("*", *[F.lit(df.schema[c].dataType.simpleString()).alias(f"{c}__dtype") for c in df.columns],
                        *[F.col("__rows").alias(f"{c}__rows") for c in df.columns])
     return _long(wide, df.columns, ["dtype", "distinct", "rows"])

@@ -321,3 +321,13 @@ select network, round(sum(sales_count) / nullif(sum(leads_count), 0), 6) as l2s,
        cast(sum(sales_count) as bigint) as sales from leads_frame where network is not null group by network"""))
 def q_l2s_buckets_check(spark, sf):
     return _r6(A.l2s_by_dimension(lead_frame(spark, sf), "network"))
+
+
+@register("score_distribution", "select count(p) as rows, min(p) as min, max(p) as max, count(distinct p) as distinct from fx_scored")
+def q_score_distribution(spark, sf):
+    return M.score_distribution(fx_scored(spark, sf))
+
+
+@register("ece_bin_table_constant_score", "select 2 as bin, 0.25 as mean_pred, count(*) as count, round(avg(y), 6) as mean_true from fx_scored")
+def q_ece_bin_table_constant_score(spark, sf):
+    return _r6(M.ece_bin_table(fx_scored(spark, sf).withColumn("p", F.lit(0.25)), fallback=True))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from enrichlab.operators.profile import distinct_count
 from enrichlab.plans import extracts as X
 from enrichlab.operators import windows as W
 from enrichlab.sources.scans import ExtractParams
@@ -90,16 +91,17 @@ def recent_window_report(df: DataFrame, date: str, cols: Sequence[str], months:
     return recent.groupBy(F.trunc(F.to_date(F.col(date)), "MM").alias("month")).agg(*aggs)
 
 
-def data_quality_summary(df: DataFrame, company: str, cols: Sequence[str]) -> DataFrame:
-    """Null %, distinct non-null values and a grade (good < 40 %, warn < 60 %, poor) per
-    feature, overall (company = 'ALL') and per company - one grouping-sets aggregate."""
+def data_quality_summary(df: DataFrame, company: str, cols: Sequence[str], rsd: float | None = None) -> DataFrame:
+    """Null %, distinct non-null values (estimated if ``rsd`` is given) and a grade (good < 40 %,
+    warn < 60 %, poor) per feature, overall (company = 'ALL') and per company - one grouping-sets
+    aggregate over one scan."""
     present = [c for c in cols if c in df.columns]
     aggs = [F.count(F.lit(1)).alias("__n")]
     for c in present:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), F.countDistinct(c).alias(f"{c}__distinct")]
-    per = df.filter(F.col(company).isNotNull()).groupBy(company).agg(*aggs)
-    tot = df.agg(*aggs).select(F.lit("ALL").alias(company), "*")
-    both = per.unionByName(tot)
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), distinct_count(c, rsd).alias(f"{c}__distinct")]
+    sets = df.groupingSets([[F.col(company)], []], F.col(company)).agg(F.grouping(company).alias("__all"), *aggs)
+    both = sets.filter((F.col("__all") == 1) | F.col(company).isNotNull()).withColumn(
+        company, F.when(F.col("__all") == 1, "ALL").otherwise(F.col(company))).drop("__all")
     rows = [F.struct(F.lit(c).alias("feature"), F.col(f"{c}__nulls").alias("null_count"),
                      F.col(f"{c}__distinct").alias("unique_count")) for c in present]
     long = both.select(company, "__n", F.explode(F.array(*rows)).alias("r")).select(company, "__n", "r.*")
@@ -108,11 +110,11 @@ def data_quality_summary(df: DataFrame, company: str, cols: Sequence[str]) -> Da
                        F.when(pct < 40, "good").when(pct < 60, "warn").otherwise("poor").alias("grade"))
 
 
-def feature_info(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def feature_info(df: DataFrame, cols: Sequence[str] | None = None, rsd: float | None = None) -> DataFrame:
     """dtype, nulls, distinct values and numeric flag per column (one aggregate)."""
     cols = list(cols) if cols is not None else df.columns
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}__nulls") for c in cols],
-                  *[F.countDistinct(c).alias(f"{c}__distinct") for c in cols])
+                  *[distinct_count(c, rsd).alias(f"{c}__distinct") for c in cols])
     rows = [F.struct(F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
                      F.col(f"{c}__nulls").alias("nulls"), F.col(f"{c}__distinct").alias("distinct"),
                      F.lit(isinstance(df.schema[c].dataType, NumericType)).alias("is_numeric")) for c in cols]
