@@ -131,7 +131,7 @@ def word_hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-_HASHES = RecentDict(word_hash, 300_000)
+_HASHES = RecentDict(word_hash, 120_000)
 
 
 def word_hashes(words: list[str]) -> np.ndarray:

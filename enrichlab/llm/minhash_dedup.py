@@ -9,13 +9,14 @@ coordinate is the same in two documents with probability equal to their weighted
 
 **Joining.**  Equal word sequences are one node from the start (their group is aggregated before
 anything else), so copies are never paired.  Nodes that share a band meet at that band's key.  A key
-of up to ``SMALL_KEY`` nodes compares them all.  In a crowded key, its members are compared with a
-leader: the member that shares most bands with others, which is the centre of a family of edited
-copies.  While that links something, the key goes on with the members of other components than the
-leaders', and twice as many leaders, each of another component.  Members that are like no leader
-differ from the family in a good part of their shingles, so most of their bands, and most of those
-that they share with a partner of their own, lie in other keys, small ones as a rule.  A comparison passes a
-size test (exact) and a sketch test (wrong with a chance under 1e-9) and is verified on the texts.
+of up to ``SMALL_KEY`` nodes compares them all.  In a crowded key, where all pairs would grow with the
+square of a family, each member is compared with the hub, the member that shares most bands with
+others (the centre of a family of edited copies), and with its neighbour in the order of a further band
+and the size (texts with the same edit or cut).  Where a key then still holds several components,
+its members are compared with their neighbours in four more such orders.  Work stays in proportion to the
+members; two texts are only apart if no chain of these comparisons connects them (README, with
+figures).  A comparison passes a size test (exact) and a sketch test (wrong with a chance under 1e-9) and is
+verified on the texts.
 
 All intermediate tables lie in the shared folder; links and components stay distributed.
 """
@@ -30,7 +31,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from enrichlab.llm.common import bounded_side, mix64, shingle_hashes, stored, text_slices, texts_of, word_hashes
@@ -41,8 +42,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Share of equal one-byte sketches below which a pair cannot be similar (0.8 less over 6 deviations).
 SKETCH_SHARE = 0.56
-#: Nodes up to which a key compares all of them.
+#: Nodes up to which a key compares all of them, and the orders by which others find neighbours.
 SMALL_KEY = 8
+ORDERS = 5
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -185,12 +187,13 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, comp) for every node of ``links`` (a, b): the least node that it is connected with.
+    """(node, comp) for every node of ``links`` (two columns): the least node that it is connected with.
 
     Labels go to neighbours and then to the label's label, until nothing changes; each round is a
     table in the shared folder.  Sums over a hub's neighbours are combined in each task first.
     """
-    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
+    edges = links.toDF("a", "b")
+    both = stored(edges.union(edges.select("b", "a")).distinct(), "edges")
     labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp")), "labels")
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("near"))
@@ -215,53 +218,62 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     signed = stored(_sign(frame), "signatures")
     # copies first: one node per word sequence, combined in each task
     nodes = stored(signed.groupBy("fp").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).filter("node is not null"), "nodes")
-    met = nodes.filter("bands is not null").select("node", F.explode("bands").alias("key"))
-    crowded = met.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    met = stored(met.join(crowded, "key"), "met")
-    hub = met.groupBy("node").agg(F.sum("members").alias("hub"))
-    info = nodes.select("node", "n", "sketch").join(hub, "node")
-    info = stored(info, "crowd")
+    met = nodes.filter("bands is not null").select("node", F.posexplode("bands").alias("band", "key"))
+    shared = met.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    met = stored(met.join(shared, "key"), "met")
+    info = stored(nodes.select("node", "n", "bands", "sketch").join(met.groupBy("node").agg(F.sum("members").alias("hub")), "node"), "crowd")
     texts = stored(frame.join(bounded_side(info.select(F.col("node").alias("id")).distinct()), "id").groupBy("id").agg(F.first("text").alias("text")).withColumnRenamed("id", "node"), "texts")
-    met = stored(met.select("key", "node").join(info.select("node", "hub"), "node").withColumn("comp", F.col("node")), "met")
-    small = met.groupBy("key").agg(F.count("*").alias("members")).filter(F.col("members") <= SMALL_KEY).select("key")
-    crowded = stored(met.join(small, "key", "left_anti"), "crowded")
-    met = met.join(small, "key", "left_semi")
-    # all pairs of a small key; a crowded key's members with its leaders
-    pairs = met.select("key", F.col("node").alias("leader")).join(met.select("key", "node"), "key").filter("leader < node").select("leader", "node")
-    links, comps, leaders = None, None, 1
-    while True:
-        chosen = stored(_leaders(crowded, leaders), "leaders")
-        led = crowded.join(chosen, "key").filter("comp <> leader_comp").select("key", "leader", "node")
-        pairs = led.select("leader", "node") if pairs is None else pairs.union(led.select("leader", "node"))
-        found = stored(_verify(_alike(_similar_size(pairs.distinct(), info)), texts), "links")
-        if found.limit(1).count():
-            links = found if links is None else stored(links.union(found), "links")
-            comps = components(links.select(F.col("leader").alias("a"), F.col("node").alias("b")))
-        # a key goes on while its leaders find something and it holds members of several components
-        found_in = led.join(found, ["leader", "node"]).select("key").distinct()
-        rest = crowded.drop("comp").join(found_in, "key", "left_semi")
-        rest = rest.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")) if comps is not None else rest.withColumn("comp", F.col("node"))
-        several = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-        crowded = stored(rest.join(several, "key", "left_semi").select("key", "node", "hub", "comp"), "crowded")
-        if not crowded.limit(1).count():
-            break
-        pairs, leaders = None, 2 * leaders
+    small = met.filter(F.col("members") <= SMALL_KEY).select("key", "node")
+    further = [F.element_at("bands", (F.col("band") + j) % BANDS + 1).alias(f"next{j}") for j in range(1, ORDERS + 1)]
+    crowded = stored(met.filter(F.col("members") > SMALL_KEY).join(info, "node").select("key", "node", "hub", "n", *further), "crowded")
+    # first pass: all pairs of a small key; in a crowded key each member with the hub and with a neighbour
+    hubs = crowded.groupBy("key").agg(F.max(F.struct("hub", "node")).alias("h")).select("key", F.col("h.node").alias("leader"))
+    pairs = small.withColumnRenamed("node", "leader").join(small, "key").select("leader", "node")
+    pairs = pairs.union(crowded.join(hubs, "key").select("leader", "node")).union(_neighbours(crowded, [1]))
+    links = stored(_verify(_alike(_similar_size(_unordered(pairs), info)), texts), "links")
+    comps = components(links)
+    # second pass: members of different components in one key, by neighbourhood in further orders
+    apart = crowded.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    several = apart.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
+    apart = stored(apart.join(several, "key"), "apart")
+    pairs = _unordered(_neighbours(apart, range(2, ORDERS + 1)))
+    a, b = (comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp")) for c in ("leader", "node"))
+    pairs = pairs.join(a, "leader", "left").join(b, "node", "left").filter(F.coalesce("leader_comp", "leader") != F.coalesce("node_comp", "node"))
+    more = stored(_verify(_alike(_similar_size(pairs.select("leader", "node"), info)), texts), "links")
+    if more.limit(1).count():
+        comps = components(links.union(more))
     copies = nodes.select("fp", F.col("node").alias("copy_of"))
     out = signed.select("id", "fp").join(copies, "fp", "left")
-    if comps is None:
-        out = out.withColumn("class_id", F.col("copy_of"))
-    else:
-        out = out.join(comps.withColumnRenamed("node", "copy_of"), "copy_of", "left").withColumn("class_id", F.coalesce("comp", "copy_of"))
+    out = out.join(comps.withColumnRenamed("node", "copy_of"), "copy_of", "left").withColumn("class_id", F.coalesce("comp", "copy_of"))
     return out.select(F.col("id").alias(id_col), "class_id", "copy_of")
 
 
-def _leaders(met: DataFrame, n: int) -> DataFrame:
-    """(key, leader, leader_comp): the ``n`` members of each key that share most bands with others, no
-    two of one component.  The best member of each component is an aggregate, combined in each task;
-    ranking them keeps ``n`` rows per key and task."""
-    best = met.groupBy("key", "comp").agg(F.max(F.struct("hub", "node")).alias("best"))
-    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("best")))
-    return best.withColumn("r", rank).filter(F.col("r") <= n).select("key", F.col("best.node").alias("leader"), F.col("comp").alias("leader_comp"))
+def _unordered(pairs: DataFrame) -> DataFrame:
+    """Each pair of different nodes once."""
+    return pairs.filter("leader <> node").select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")).distinct()
+
+
+def _neighbours(crowded: DataFrame, orders) -> DataFrame:
+    """(leader, node): members of a key next to each other by one of their further bands and then by
+    size.  Dealt out by ranges of (key, order), so a crowded key is split over tasks; two members
+    that fall on either side of a cut are not paired."""
+    rows = crowded.select("key", "node", "n", F.explode(F.array(*(F.struct(F.lit(j).alias("j"), F.col(f"next{j}").alias("next")) for j in orders))).alias("o"))
+    rows = rows.select("key", "o.j", "o.next", "n", "node").repartitionByRange("key", "j", "next", "n", "node").sortWithinPartitions("key", "j", "next", "n", "node")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = pa.Table.from_batches([batch] if before is None else [before, batch]).combine_chunks().to_batches()[0]
+            key, j = (whole.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            same = pa.array((key[1:] == key[:-1]) & (j[1:] == j[:-1]))
+            nodes = whole.column(4)
+            yield pa.RecordBatch.from_arrays([nodes.slice(0, len(nodes) - 1).filter(same), nodes.slice(1).filter(same)], ["leader", "node"])
+            before = whole.slice(whole.num_rows - 1)
+
+    kind = crowded.schema["node"].dataType.simpleString()
+    return rows.mapInArrow(run, f"leader {kind}, node {kind}")
 
 
 def _similar_size(pairs: DataFrame, info: DataFrame) -> DataFrame:

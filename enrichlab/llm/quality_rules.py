@@ -34,7 +34,7 @@ CLASSES = ("lower", "upper", "digit", "space", "sentence", "quote", "symbol", "o
 #: Parts into which a document's character histogram is scaled.
 PARTS = 1_000_000
 #: Words that a task gathers before it hands its partial counts on.
-TASK_WORDS = 400_000
+TASK_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -140,7 +140,7 @@ def language_references(docs: DataFrame, text_col: str, lang_col: str, common: i
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Counter] = {}
+        words: dict[str, dict[str, int]] = {}  # documents in the upper bits, occurrences in the lower 40
         parts: dict[str, np.ndarray] = {}
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
@@ -148,7 +148,7 @@ def language_references(docs: DataFrame, text_col: str, lang_col: str, common: i
             return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(word, pa.string()), pa.array(n, pa.int64()), pa.array(total, pa.int64())], ["lang", "word", "n", "total"])
 
         def partial() -> list[tuple]:
-            return [(lang, w, n, t) for lang, c in words.items() for w, (n, t) in c.items()]
+            return [(lang, w, v >> 40, v & (1 << 40) - 1) for lang, c in words.items() for w, v in c.items()]
 
         for piece in text_slices(batches, 0):
             for text, lang in zip(texts_of(piece, 0), piece.column(1).to_pylist(), strict=True):
@@ -159,8 +159,7 @@ def language_references(docs: DataFrame, text_col: str, lang_col: str, common: i
                 parts[lang] = parts.get(lang, 0) + np.append(c * PARTS // c.sum(), 1)
                 seen = words.setdefault(lang, {})
                 for w, k in Counter(plain_words(text)).items():
-                    n, t = seen.get(w, (0, 0))
-                    seen[w] = n + 1, t + k
+                    seen[w] = seen.get(w, 0) + (1 << 40) + k
             if sum(map(len, words.values())) > TASK_WORDS:
                 yield out(partial())
                 words.clear()
