@@ -18,7 +18,7 @@ from enrichlab.operators import metrics as M
 from enrichlab.operators import models as MD
 from enrichlab.operators import validate as V
 from enrichlab.operators import windows as W
-from enrichlab.plans.registry import _r6, fx_attribute, fx_funnel, fx_predictions, fx_scored, lead_frame, lead_sql, register
+from enrichlab.plans.registry import _SQL_KNOWN, _r6, fx_attribute, fx_funnel, fx_predictions, fx_scored, lead_frame, lead_sql, register
 
 
 def follow(select: str) -> str:
@@ -331,3 +331,15 @@ def q_score_distribution(spark, sf):
 @register("ece_bin_table_constant_score", "select 2 as bin, 0.25 as mean_pred, count(*) as count, round(avg(y), 6) as mean_true from fx_scored")
 def q_ece_bin_table_constant_score(spark, sf):
     return _r6(M.ece_bin_table(fx_scored(spark, sf).withColumn("p", F.lit(0.25)), fallback=True))
+
+
+@register("first_version_per_visit", "with " + _SQL_KNOWN + "select visit, click, business_legal_structure, age_of_business_months, industry from known")
+def q_first_version_per_visit(spark, sf):
+    """The rows of each visit's lowest revision by the window-style operators (the extract reaches the
+    same rows by aggregates alone)."""
+    attrs = {"business_legal_structure": "customer_status", "age_of_business_months": "age_group", "industry": "sku"}
+    f = fx_funnel(spark, sf).select("cid", F.col("visit_iid").alias("visit"), F.col("channel_click_id").alias("click"))
+    placed = fx_attribute(spark, sf).join(f, F.col("subid") == F.col("cid"))
+    by_version = A.agg_attribute_by_version(placed, ["visit", "click", "rn"], attrs)
+    low = W.min_version_over_visit(by_version, "visit", "rn", "min_rn")
+    return A.agg_first_version(low, "rn", "min_rn", ["visit", "click"], list(attrs))

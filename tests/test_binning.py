@@ -177,3 +177,68 @@ def test_skew_safe_row_number_key_spanning_many_buckets(spark):
     w = Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last(), F.col("c").asc_nulls_last())
     exp = {r["c"]: r["rk"] for r in df.withColumn("rk", F.row_number().over(w)).collect()}
     assert got == exp
+
+
+def test_bucket_count_follows_the_rows(spark):
+    from enrichlab.operators import binning as B
+
+    df = spark.range(10)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert B.bucket_count(df, 10) == least
+    assert B.bucket_count(df, 100 * B.ROWS_PER_BUCKET) == 100
+    assert B.bucket_count(df, 5000 * B.ROWS_PER_BUCKET + 1) == 5001
+
+
+def test_answers_do_not_depend_on_the_bucket_count(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from enrichlab.operators import binning as B
+    from enrichlab.operators import metrics as M
+    from enrichlab.operators import windows as W
+
+    rng = random.Random(2)
+    rows = [(i, rng.choice([None, float("nan"), 0.5]) if i % 9 == 0 else rng.random(), rng.randrange(2), rng.randrange(4)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, p double, y int, leads int")
+    seen = set()
+    for buckets in (4, 64, 1024):
+        pre = B.global_prefix(df, ["p", "k"], {"before": F.col("leads")}, buckets=buckets)
+        rank = W.skew_safe_row_number(df, ["y"], [("k", True)], "r", buckets=buckets)
+        seen.add((
+            round(M.roc_auc(df, "y", "p", buckets=buckets).first()[0], 9),
+            tuple(B.exact_quantiles(df, "p", [0.1, 0.5, 0.9], buckets=buckets)),
+            pre.agg(F.sum(F.hash("k", "before"))).first()[0],
+            rank.agg(F.sum(F.hash("k", "r"))).first()[0],
+        ))
+    assert len(seen) == 1
+
+
+def test_nothing_is_left_in_the_checkpoint_folder(tmp_path):
+    """A run in its own process leaves no intermediate behind when it ends."""
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from enrichlab.session import materialize\n"
+        f"s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').config('spark.checkpoint.dir', '{tmp_path}').getOrCreate()\n"
+        "assert materialize(s.range(5)).count() == 5\n"
+        "s.stop()\n"
+    )
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=repo, check=True, timeout=120, capture_output=True)
+    assert not [p for p in os.listdir(tmp_path) if p.startswith("enrichlab-")]
+
+
+def test_a_cluster_needs_a_checkpoint_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from enrichlab.session import checkpoint_dir
+
+    nothing = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=nothing, conf=SimpleNamespace(get=lambda *_: None)))
