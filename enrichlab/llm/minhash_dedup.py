@@ -221,11 +221,14 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     met = nodes.filter("bands is not null").select("node", F.posexplode("bands").alias("band", "key"))
     shared = met.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     met = stored(met.join(shared, "key"), "met")
-    info = stored(nodes.select("node", "n", "bands", "sketch").join(met.groupBy("node").agg(F.sum("members").alias("hub")), "node"), "crowd")
+    # per node: how many it meets in all, and its crowded keys (at most one per band)
+    places = F.collect_list(F.when(F.col("members") > SMALL_KEY, F.struct("key", "band"))).alias("places")
+    info = stored(nodes.select("node", "n", "bands", "sketch").join(met.groupBy("node").agg(F.sum("members").alias("hub"), places), "node"), "crowd")
     texts = stored(frame.join(bounded_side(info.select(F.col("node").alias("id")).distinct()), "id").groupBy("id").agg(F.first("text").alias("text")).withColumnRenamed("id", "node"), "texts")
     small = met.filter(F.col("members") <= SMALL_KEY).select("key", "node")
     further = [F.element_at("bands", (F.col("band") + j) % BANDS + 1).alias(f"next{j}") for j in range(1, ORDERS + 1)]
-    crowded = stored(met.filter(F.col("members") > SMALL_KEY).join(info, "node").select("key", "node", "hub", "n", *further), "crowded")
+    crowded = info.select("node", "hub", "n", "bands", F.inline("places")).select("key", "node", "hub", "n", *further)
+    crowded = stored(crowded, "crowded")
     # first pass: all pairs of a small key; in a crowded key each member with the hub and with a neighbour
     hubs = crowded.groupBy("key").agg(F.max(F.struct("hub", "node")).alias("h")).select("key", F.col("h.node").alias("leader"))
     pairs = small.withColumnRenamed("node", "leader").join(small, "key").select("leader", "node")
