@@ -38,6 +38,10 @@ from enrichlab.functions import scalars as S
 ROWS_PER_BUCKET = 2_000_000
 
 
+#: Boundaries up to which the bucket is one generated bisection.
+TREE_BOUNDS = 128
+
+
 def _lit_like(v, dt: T.DataType) -> Column:
     return F.lit(v).cast(dt) if v is not None else F.lit(None).cast(dt)
 
@@ -85,7 +89,13 @@ def range_bucket_expr(df: DataFrame, order: Sequence[str], buckets: int | None =
         mid = (lo + hi) // 2
         return F.when(key > lits[mid], tree(mid + 1, hi)).otherwise(tree(lo, mid))
 
-    return tree(0, len(bounds))
+    if len(bounds) <= TREE_BOUNDS:
+        return tree(0, len(bounds))
+    # many boundaries: blocks of about their square root, first the number of whole blocks below the key
+    m = math.isqrt(len(bounds))
+    blocks = F.array(*lits[m - 1 :: m])
+    whole = F.size(F.filter(blocks, lambda b: b < key))
+    return whole * m + F.size(F.filter(F.slice(F.array(*lits), whole * m + 1, F.lit(m)), lambda b: b < key))
 
 
 def _sort_key(t):

@@ -97,12 +97,12 @@ def skew_safe_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[tup
         else:
             run, open_key = r["last_n"], last
     types = [df.schema[k].dataType for k in keys]
-    add = F.lit(0)
-    for b, (first, c) in carry.items():
-        if c:
-            lit_key = F.struct(*[F.lit(v).cast(t).alias(k) if v is not None else F.lit(None).cast(t).alias(k)
-                                 for v, t, k in zip(first, types, keys)])
-            add = F.when((F.col("__b") == b) & key.eqNullSafe(lit_key), F.lit(c)).otherwise(add)
+    nothing = (tuple(None for _ in keys), 0)
+    by_bucket = [carry.get(b, nothing) for b in range(max(carry, default=-1) + 1)] or [nothing]
+    firsts = F.array(*[F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(first, types, keys)]) for first, _ in by_bucket])
+    carries = F.array(*[F.lit(c) for _, c in by_bucket])
+    at = F.col("__b") + 1
+    add = F.when(key.eqNullSafe(F.element_at(firsts, at)), F.element_at(carries, at)).otherwise(0)
     w = Window.partitionBy("__b", *keys).orderBy(*[F.col(c).asc_nulls_first() for c in sort_cols[len(keys):]])
     return x.withColumn(out, (F.row_number().over(w) + add).cast("int")).drop("__b", *tmp)
 
