@@ -1,7 +1,7 @@
 """Byte-level BPE by corpus-level merge replay, and decoding.
 
 A task gathers the distinct pre-tokens of a block of texts that it has not met before, lays all
-their bytes out as one linked list of symbols, and keeps an inverted index from merge rank to the
+their bytes out as one linked list of symbols (``REPLAY_WORDS`` at a time), and keeps an inverted index from merge rank to the
 positions whose pair has that rank.  Merges are then replayed over the whole block in rank
 order; each one touches only the listed positions and their two neighbours, whose new pairs go into
 the index.  The ids of a pre-token are kept in a bounded worker cache, and a text's ids are the
@@ -27,6 +27,8 @@ from enrichlab.llm.common import fast_findall, text_slices, texts_of
 
 #: Pre-tokens kept per generation of a worker's cache.
 CACHE_WORDS = 250_000
+#: Pre-tokens whose merges are replayed at a time.
+REPLAY_WORDS = 25_000
 
 
 def default_ranks() -> str:
@@ -172,7 +174,9 @@ class TextCodec:
             # the newer half stays beside what this block needs
             recent = list(self.known)[-self.bound // 2 :]
             self.known = {w: self.known[w] for w in {*recent, *(used & self.known.keys())}}
-        self.known.update(zip(new, self.replay.encode([w.encode() for w in new]), strict=True))
+        for i in range(0, len(new), REPLAY_WORDS):
+            part = new[i : i + REPLAY_WORDS]
+            self.known.update(zip(part, self.replay.encode([w.encode() for w in part]), strict=True))
         get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in words]
 

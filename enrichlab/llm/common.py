@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a task turns into Python strings at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,6 +38,7 @@ def text_slices(batches: Iterable[pa.RecordBatch], text: int | str, size: int =
         starts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for a, b in zip(starts, starts[1:], strict=False):
             yield batch.slice(a, b - a)
+        pa.default_memory_pool().release_unused()
 
 
 def texts_of(batch: pa.RecordBatch, column: int | str) -> list[str]:
