@@ -15,18 +15,18 @@ from __future__ import annotations
 
 import base64
 import heapq
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from enrichlab.llm.common import fast_findall, text_slices, texts_of
 
 #: Pre-tokens kept per generation of a worker's cache.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 160_000
 #: Pre-tokens whose merges are replayed at a time.
 REPLAY_WORDS = 25_000
 
@@ -194,9 +194,11 @@ def _codec(key: str, ranks: bytes, pattern: str) -> TextCodec:
     return _WORKER[key]
 
 
-def _inputs(df: DataFrame, ranks_path: str | None):
+def _inputs(df: DataFrame, ranks_path: str | None, pattern: str):
+    """The rank file, broadcast, and a key of its content: workers keep one codec for all calls."""
     with open(ranks_path or default_ranks(), "rb") as f:
-        return df.sparkSession.sparkContext.broadcast(f.read()), uuid.uuid4().hex
+        data = f.read()
+    return df.sparkSession.sparkContext.broadcast(data), xxhash.xxh3_128_hexdigest(data + pattern.encode())
 
 
 def _kind(df: DataFrame, col: str) -> str:
@@ -210,8 +212,8 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Only the two named columns are read; a null text is an empty one, null ids stay, repeated
     rows repeat, an empty table gives an empty result.
     """
-    ranks, key = _inputs(docs, ranks_path)
     pattern = pattern or default_pattern()
+    ranks, key = _inputs(docs, ranks_path, pattern)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(key, ranks.value, pattern)
@@ -225,16 +227,14 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def decode_ids(encoded: DataFrame, ids_col: str = "ids", out_col: str = "decoded", ranks_path: str | None = None) -> DataFrame:
     """``encoded`` with its packed ids replaced by the decoded bytes (``out_col``, binary; null
     ids decode to null); all other columns stay."""
-    ranks, key = _inputs(encoded, ranks_path)
+    pattern = default_pattern()
+    ranks, key = _inputs(encoded, ranks_path, pattern)
     others = [c for c in encoded.columns if c != ids_col]
     frame = encoded.select(*others, ids_col)
     schema = frame.drop(ids_col).schema.add(out_col, "binary")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _WORKER:
-            _WORKER.clear()
-            _WORKER[key] = TextCodec(load_ranks(ranks.value), "")
-        codec = _WORKER[key]
+        codec = _codec(key, ranks.value, pattern)
         for piece in text_slices(batches, len(others)):
             done = [None if x is None else codec.decode(x) for x in piece.column(len(others)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(done, pa.binary())], [*others, out_col])
@@ -244,8 +244,8 @@ def decode_ids(encoded: DataFrame, ids_col: str = "ids", out_col: str = "decoded
 
 def encode_and_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``encode_texts`` and ``decode_ids`` in one pass: the id, ``ids`` and ``decoded``, both binary."""
-    ranks, key = _inputs(docs, ranks_path)
     pattern = pattern or default_pattern()
+    ranks, key = _inputs(docs, ranks_path, pattern)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(key, ranks.value, pattern)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -38,7 +39,16 @@ def text_slices(batches: Iterable[pa.RecordBatch], text: int | str, size: int =
         starts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for a, b in zip(starts, starts[1:], strict=False):
             yield batch.slice(a, b - a)
-        pa.default_memory_pool().release_unused()
+        _give_back()
+
+
+def _give_back() -> None:
+    """Free memory of this worker goes back to the machine, so that workers that live through several
+    operators do not add up their peaks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def texts_of(batch: pa.RecordBatch, column: int | str) -> list[str]:
@@ -132,7 +142,7 @@ def word_hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-_HASHES = RecentDict(word_hash, 120_000)
+_HASHES = RecentDict(word_hash, 80_000)
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
