@@ -23,12 +23,14 @@ All intermediate tables lie in the shared folder; links and components stay dist
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -227,7 +229,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     texts = stored(frame.join(bounded_side(info.select(F.col("node").alias("id")).distinct()), "id").groupBy("id").agg(F.first("text").alias("text")).withColumnRenamed("id", "node"), "texts")
     small = met.filter(F.col("members") <= SMALL_KEY).select("key", "node")
     further = [F.element_at("bands", (F.col("band") + j) % BANDS + 1).alias(f"next{j}") for j in range(1, ORDERS + 1)]
-    crowded = info.select("node", "hub", "n", "bands", F.inline("places")).select("key", "node", "hub", "n", *further)
+    crowded = info.select("node", "hub", "n", "bands", F.inline("places")).select("key", "node", F.col("node").alias("comp"), "hub", "n", *further)
     crowded = stored(crowded, "crowded")
     # first pass: all pairs of a small key; in a crowded key each member with the hub and with a neighbour
     hubs = crowded.groupBy("key").agg(F.max(F.struct("hub", "node")).alias("h")).select("key", F.col("h.node").alias("leader"))
@@ -236,13 +238,11 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     links = stored(_verify(_alike(_similar_size(_unordered(pairs), info)), texts), "links")
     comps = components(links)
     # second pass: members of different components in one key, by neighbourhood in further orders
-    apart = crowded.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    apart = crowded.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     several = apart.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
     apart = stored(apart.join(several, "key"), "apart")
     pairs = _unordered(_neighbours(apart, range(2, ORDERS + 1)))
-    a, b = (comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp")) for c in ("leader", "node"))
-    pairs = pairs.join(a, "leader", "left").join(b, "node", "left").filter(F.coalesce("leader_comp", "leader") != F.coalesce("node_comp", "node"))
-    more = stored(_verify(_alike(_similar_size(pairs.select("leader", "node"), info)), texts), "links")
+    more = stored(_verify(_alike(_similar_size(pairs, info)), texts), "links")
     if more.limit(1).count():
         comps = components(links.union(more))
     copies = nodes.select("fp", F.col("node").alias("copy_of"))
@@ -257,11 +257,11 @@ def _unordered(pairs: DataFrame) -> DataFrame:
 
 
 def _neighbours(crowded: DataFrame, orders) -> DataFrame:
-    """(leader, node): members of a key next to each other by one of their further bands and then by
-    size.  Dealt out by ranges of (key, order), so a crowded key is split over tasks; two members
+    """(leader, node): members of a key, of different components, next to each other by one of their
+    further bands and then by size.  Dealt out by ranges of (key, order), so a crowded key is split over tasks; two members
     that fall on either side of a cut are not paired."""
-    rows = crowded.select("key", "node", "n", F.explode(F.array(*(F.struct(F.lit(j).alias("j"), F.col(f"next{j}").alias("next")) for j in orders))).alias("o"))
-    rows = rows.select("key", "o.j", "o.next", "n", "node").repartitionByRange("key", "j", "next", "n", "node").sortWithinPartitions("key", "j", "next", "n", "node")
+    each = [crowded.select("key", F.lit(j).alias("j"), F.col(f"next{j}").alias("next"), "n", "node", "comp") for j in orders]
+    rows = functools.reduce(DataFrame.union, each).repartitionByRange("key", "j", "next", "n", "node").sortWithinPartitions("key", "j", "next", "n", "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
@@ -270,7 +270,8 @@ def _neighbours(crowded: DataFrame, orders) -> DataFrame:
                 continue
             whole = pa.Table.from_batches([batch] if before is None else [before, batch]).combine_chunks().to_batches()[0]
             key, j = (whole.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            same = pa.array((key[1:] == key[:-1]) & (j[1:] == j[:-1]))
+            comp = pd.factorize(whole.column(5).to_pandas())[0]
+            same = pa.array((key[1:] == key[:-1]) & (j[1:] == j[:-1]) & (comp[1:] != comp[:-1]))
             nodes = whole.column(4)
             yield pa.RecordBatch.from_arrays([nodes.slice(0, len(nodes) - 1).filter(same), nodes.slice(1).filter(same)], ["leader", "node"])
             before = whole.slice(whole.num_rows - 1)
