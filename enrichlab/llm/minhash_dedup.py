@@ -292,7 +292,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     with a null id stay.  Of several rows with one id, one stays."""
     classes = near_duplicate_classes(docs, id_col, text_col).filter(F.col(id_col).isNotNull())
     seen = stored(classes.groupBy(id_col).agg(F.min("class_id").alias("least"), F.count("*").alias("rows")), "kept-ids").filter(F.col(id_col) == F.col("least"))
-    once, more = (seen.filter(f"rows {op} 1").select(id_col) for op in ("=", ">"))
+    # the ids are broadcast if they are few enough, and the texts stay where they are
+    once, more = (bounded_side(seen.filter(f"rows {op} 1").select(id_col)) for op in ("=", ">"))
     stay = docs.filter(F.col(id_col).isNull()).unionByName(docs.join(once, id_col, "left_semi"))
     repeated = docs.join(more, id_col, "left_semi").dropDuplicates([id_col])
     return stay.unionByName(repeated).select(docs.columns)
