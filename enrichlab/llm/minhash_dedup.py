@@ -12,18 +12,18 @@ anything else), so copies are never paired.  Nodes that share a band meet at tha
 of up to ``SMALL_KEY`` nodes compares them all.  In a crowded key, where all pairs would grow with the
 square of a family, each member is compared with the hub, the member that shares most bands with
 others (the centre of a family of edited copies), and with its neighbour in the order of a further band
-and the size (texts with the same edit or cut).  Where a key then still holds several components,
-its members are compared with their neighbours in four more such orders.  Work stays in proportion to the
-members; two texts are only apart if no chain of these comparisons connects them (README, with
-figures).  A comparison passes a size test (exact) and a sketch test (wrong with a chance under 1e-9) and is
-verified on the texts.
+and the size (texts with the same edit or cut).  Where a key then still holds several components, every
+member outside the largest one is compared with all members of other components, in blocks and on the
+sketches; the best pairs of two components are verified first, the next ones only while the two stay
+apart, until none is left.  So two texts that share a band are in one class exactly if links
+connect them.  A comparison passes a size test (exact) and a sketch test (wrong with a chance under
+1e-9) and is verified on the texts.
 
 All intermediate tables lie in the shared folder; links and components stay distributed.
 """
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 from collections import Counter
@@ -44,9 +44,13 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Share of equal one-byte sketches below which a pair cannot be similar (0.8 less over 6 deviations).
 SKETCH_SHARE = 0.56
-#: Nodes up to which a key compares all of them, and the orders by which others find neighbours.
+#: Nodes up to which a key compares all of them.
 SMALL_KEY = 8
-ORDERS = 5
+#: Members of a key in one block, and pairs of two components that are verified at first and how their number grows.
+BLOCK = 2048
+FIRST_RIVALS, MORE_RIVALS = 8, 16
+#: Pairs whose sketches are compared at a time.
+PAIRS_AT_ONCE = 20_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -228,23 +232,29 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     info = stored(nodes.select("node", "n", "bands", "sketch").join(met.groupBy("node").agg(F.sum("members").alias("hub"), places), "node"), "crowd")
     texts = stored(frame.join(bounded_side(info.select(F.col("node").alias("id")).distinct()), "id").groupBy("id").agg(F.first("text").alias("text")).withColumnRenamed("id", "node"), "texts")
     small = met.filter(F.col("members") <= SMALL_KEY).select("key", "node")
-    further = [F.element_at("bands", (F.col("band") + j) % BANDS + 1).alias(f"next{j}") for j in range(1, ORDERS + 1)]
-    crowded = info.select("node", "hub", "n", "bands", F.inline("places")).select("key", "node", F.col("node").alias("comp"), "hub", "n", *further)
+    beside = F.element_at("bands", (F.col("band") + 1) % BANDS + 1).alias("next")
+    crowded = info.select("node", "hub", "n", "bands", F.inline("places")).select("key", "node", "hub", "n", beside)
     crowded = stored(crowded, "crowded")
     # first pass: all pairs of a small key; in a crowded key each member with the hub and with a neighbour
     hubs = crowded.groupBy("key").agg(F.max(F.struct("hub", "node")).alias("h")).select("key", F.col("h.node").alias("leader"))
     pairs = small.withColumnRenamed("node", "leader").join(small, "key").select("leader", "node")
-    pairs = pairs.union(crowded.join(hubs, "key").select("leader", "node")).union(_neighbours(crowded, [1]))
-    links = stored(_verify(_alike(_similar_size(_unordered(pairs), info)), texts), "links")
+    pairs = pairs.union(crowded.join(hubs, "key").select("leader", "node")).union(_neighbours(crowded))
+    tried = stored(_alike(_similar_size(_unordered(pairs), info)), "tried")
+    links = stored(_verify(tried, texts), "links")
     comps = components(links)
-    # second pass: members of different components in one key, by neighbourhood in further orders
-    apart = crowded.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    several = apart.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    apart = stored(apart.join(several, "key"), "apart")
-    pairs = _unordered(_neighbours(apart, range(2, ORDERS + 1)))
-    more = stored(_verify(_alike(_similar_size(pairs, info)), texts), "links")
-    if more.limit(1).count():
-        comps = components(links.union(more))
+    # further rounds: members of different components in one key, until no pair is left that was not compared
+    members, limit = crowded.select("key", "node"), FIRST_RIVALS
+    while True:
+        rivals = stored(_rivals(members, comps, info, limit), "rivals")
+        pairs = stored(_unordered(rivals).join(tried, ["leader", "node"], "left_anti"), "tried")
+        more = stored(_verify(pairs, texts), "links")
+        if more.limit(1).count():
+            links = links.union(more)
+            comps = components(links)
+        left = stored(rivals.filter("more").select("key").distinct(), "left")
+        if not left.limit(1).count():
+            break
+        members, tried, limit = members.join(left, "key", "left_semi"), tried.union(pairs), limit * MORE_RIVALS
     copies = nodes.select("fp", F.col("node").alias("copy_of"))
     out = signed.select("id", "fp").join(copies, "fp", "left")
     out = out.join(comps.withColumnRenamed("node", "copy_of"), "copy_of", "left").withColumn("class_id", F.coalesce("comp", "copy_of"))
@@ -256,12 +266,11 @@ def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("leader <> node").select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")).distinct()
 
 
-def _neighbours(crowded: DataFrame, orders) -> DataFrame:
-    """(leader, node): members of a key, of different components, next to each other by one of their
-    further bands and then by size.  Dealt out by ranges of (key, order), so a crowded key is split over tasks; two members
-    that fall on either side of a cut are not paired."""
-    each = [crowded.select("key", F.lit(j).alias("j"), F.col(f"next{j}").alias("next"), "n", "node", "comp") for j in orders]
-    rows = functools.reduce(DataFrame.union, each).repartitionByRange("key", "j", "next", "n", "node").sortWithinPartitions("key", "j", "next", "n", "node")
+def _neighbours(crowded: DataFrame) -> DataFrame:
+    """(leader, node): members of a key next to each other by a further band and then by size.  Dealt
+    out by ranges, so a crowded key is split over tasks; two members that fall on either side of a cut are
+    not paired here."""
+    rows = crowded.select("key", "next", "n", "node").repartitionByRange("key", "next", "n", "node").sortWithinPartitions("key", "next", "n", "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
@@ -269,10 +278,9 @@ def _neighbours(crowded: DataFrame, orders) -> DataFrame:
             if not batch.num_rows:
                 continue
             whole = pa.Table.from_batches([batch] if before is None else [before, batch]).combine_chunks().to_batches()[0]
-            key, j = (whole.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            comp = pd.factorize(whole.column(5).to_pandas())[0]
-            same = pa.array((key[1:] == key[:-1]) & (j[1:] == j[:-1]) & (comp[1:] != comp[:-1]))
-            nodes = whole.column(4)
+            key = whole.column(0).to_numpy(zero_copy_only=False)
+            same = pa.array(key[1:] == key[:-1])
+            nodes = whole.column(3)
             yield pa.RecordBatch.from_arrays([nodes.slice(0, len(nodes) - 1).filter(same), nodes.slice(1).filter(same)], ["leader", "node"])
             before = whole.slice(whole.num_rows - 1)
 
@@ -280,6 +288,80 @@ def _neighbours(crowded: DataFrame, orders) -> DataFrame:
     return rows.mapInArrow(run, f"leader {kind}, node {kind}")
 
 
+def _rivals(members: DataFrame, comps: DataFrame, info: DataFrame, limit: int) -> DataFrame:
+    """(key, leader, node, more): pairs of members (key, node) of one key and different components that pass the size
+    and the sketch test, the ``limit`` best ones by sketch for each two components of a block; ``more`` says
+    that these two have further ones.  A pair counts in the first band that it shares (a small key has compared
+    it already).
+
+    Of two components one is not the largest of the key, so only members outside that one lead.  Blocks
+    hold about ``BLOCK`` leaders and members by hash, and each leader meets each member in one block.
+    """
+    placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("big"))
+    several = sizes.select("key", "m", F.col("big.comp").alias("largest"), (F.col("m") - F.col("big.c")).alias("l")).filter("l > 0")
+    placed = placed.join(several, "key").join(info.select("node", "n", "sketch", "bands"), "node")
+    l_blocks, m_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("l", "m"))
+    own = [F.pmod(F.xxhash64("node", F.lit(salt)), blocks).cast("int") for salt, blocks in ((1, l_blocks), (2, m_blocks))]
+    columns = ["node", "comp", "n", "sketch", "bands"]
+    leaders = placed.filter("comp <> largest").select("key", own[0].alias("lb"), F.explode(F.sequence(F.lit(0), m_blocks - 1)).alias("mb"), F.lit(True).alias("leads"), *columns)
+    others = placed.select("key", F.explode(F.sequence(F.lit(0), l_blocks - 1)).alias("lb"), own[1].alias("mb"), F.lit(False).alias("leads"), *columns)
+    rows = leaders.union(others).repartition("key", "lb", "mb").sortWithinPartitions("key", "lb", "mb")
+
+    def compared(block: pa.Table) -> pa.RecordBatch:
+        block = block.combine_chunks()
+        leads = block.column("leads").to_numpy()
+        x, y = np.flatnonzero(leads), np.flatnonzero(~leads)
+        comp, n = pd.factorize(block.column("comp").to_pandas())[0], block.column("n").to_numpy()
+        sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint8).reshape(-1, K)
+        bands = block.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        here = block.column("key")[0].as_py()
+        found, scores = [], []
+        step = max(1, PAIRS_AT_ONCE // max(len(y), 1))
+        for a in range(0, len(x), step):
+            part = x[a : a + step, None]
+            near = (comp[part] != comp[y]) & (np.minimum(n[part], n[y]) >= SIMILARITY * np.maximum(n[part], n[y]))
+            i, j = np.nonzero(near)
+            i, j = part[i, 0], y[j]
+            score = (sketch[i] == sketch[j]).mean(axis=1)
+            ok = np.flatnonzero(score >= SKETCH_SHARE)
+            first = (bands[i[ok]] == bands[j[ok]]).argmax(axis=1)
+            ok = ok[bands[i[ok], first] == here]
+            found.append(np.stack([i[ok], j[ok]]))
+            scores.append(score[ok])
+        i, j = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+        score = np.concatenate(scores) if scores else np.empty(0)
+        two = np.minimum(comp[i], comp[j]).astype(np.int64) * len(comp) + np.maximum(comp[i], comp[j])
+        order = np.lexsort((-score, two))
+        starts = np.flatnonzero(np.diff(two[order], prepend=-1))
+        counts = np.diff(np.append(starts, len(order)))
+        rank, count = np.arange(len(order)) - np.repeat(starts, counts), np.repeat(counts, counts)
+        best = rank < limit
+        i, j = i[order][best], j[order][best]
+        key, node = block.column("key").combine_chunks(), block.column("node").combine_chunks()
+        return pa.RecordBatch.from_arrays([key.take(pa.array(i)), node.take(pa.array(i)), node.take(pa.array(j)), pa.array(count[best] > limit)], ["key", "leader", "node", "more"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the rows of the open block
+        at = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(3)], axis=1)
+            cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if held and at != tuple(ids[a]):
+                    yield compared(pa.Table.from_batches(held))
+                    held = []
+                at = tuple(ids[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield compared(pa.Table.from_batches(held))
+
+    kind = members.schema["node"].dataType.simpleString()
+    return rows.mapInArrow(run, f"key long, leader {kind}, node {kind}, more boolean")
+
+
 def _similar_size(pairs: DataFrame, info: DataFrame) -> DataFrame:
     """``pairs`` with both sketches, without those whose sizes rule the similarity out."""
     b = info.select("node", F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))

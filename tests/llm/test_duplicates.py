@@ -107,6 +107,36 @@ def test_a_chain_is_one_class(spark):
     assert got == brute_classes(dict(rows)) and len(set(got.values())) == 1
 
 
+def test_pairs_in_a_crowded_key(spark, monkeypatch):
+    """Pairs of one large family that meet in few crowded keys, away from its centre; several blocks
+    and rounds."""
+    rng = random.Random(17)
+
+    def edited(words, n):
+        out = list(words)
+        for at in rng.sample(range(5, len(words) - 5), n):
+            out[at] = f"e{rng.randrange(10**9)}"
+        return out
+
+    base = [f"w{i}" for i in range(240)]
+    rows = []
+    for _ in range(250):
+        first = edited(base, 4)
+        rows += [" ".join(first), " ".join(edited(first, 5))]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    sets = [set(counted(r.split())) for r in rows]
+    links = [(j, i) for i, x in enumerate(sets) for j in range(i) if (both := len(x & sets[j])) >= 0.8 * (len(x) + len(sets[j]) - both)]
+    want = list(range(len(rows)))
+    for _ in rows:
+        for a, b in links:
+            want[a] = want[b] = min(want[a], want[b])
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 100, raising=False)
+    monkeypatch.setattr(minhash_dedup, "FIRST_RIVALS", 1, raising=False)
+    got = {r.doc_id: r.class_id for r in minhash_dedup.near_duplicate_classes(df).collect()}
+    assert [got[i] for i in range(len(rows))] == want
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(rng.randrange(60), rng.randrange(60, 120)) for _ in range(60)] + [(i, i + 1) for i in range(200, 230)]
