@@ -324,6 +324,27 @@ def test_passages_behind_a_common_line(spark):
     assert {r.doc_id for r in rows} == {i for i in range(120) if i % 4 == 1} | {500, 501, 502}
 
 
+def test_verbatim_passages_across_leaders(spark):
+    """Repeats whose places lie inside another document's passage, or behind a partial copy in the least
+    document."""
+    rng, texts = random.Random(21), {}
+
+    def words(n):
+        return " ".join(f"u{rng.randrange(10**7)}" for _ in range(n))
+
+    for at in range(0, 150, 10):
+        w, v = words(60).split(), words(50).split()
+        texts[at] = f"{words(60)} {' '.join(w[:58])} {words(60)}"
+        texts[at + 1] = f"{words(60)} {' '.join(w)} {words(60)}"
+        texts[at + 2] = f"{words(60)} {' '.join(w[10:])} {words(60)}"
+        texts[at + 3] = f"{words(60)} {' '.join(v[1:48])} {words(400)} {' '.join(v)} {words(60)}"
+        texts[at + 4] = f"{words(60)} {' '.join(v)} {words(60)}"
+    rows = passage_dedup.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert not uncovered(texts, rows)
+    check_rows(texts, rows)
+    assert {r.doc_id for r in rows} == set(texts)
+
+
 def test_passages_of_edges(edges, nothing):
     rows = passage_dedup.repeated_passages(edges).collect()
     assert {r.doc_id for r in rows} == {5, 6} and {r.rep_id for r in rows} == {5}
