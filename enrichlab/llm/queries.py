@@ -10,6 +10,7 @@ from enrichlab.llm.bpe import encode_and_decode
 from enrichlab.llm.chat_format import PART_TYPE, format_chats, read_back
 from enrichlab.llm.common import crc_bucket, read
 from enrichlab.llm.decontaminate import find_leaks
+from enrichlab.llm.importance import resample
 from enrichlab.llm.language_id import identify, learn
 from enrichlab.llm.minhash_dedup import near_duplicate_classes
 from enrichlab.llm.passage_dedup import repeated_passages
@@ -90,6 +91,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(read(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -101,6 +107,7 @@ QUERIES = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 
 #: Control strings whose first character gets a backslash, as a pattern without look-ahead.
@@ -123,4 +130,36 @@ ORACLE: dict[str, str] = {
                         + len(regexp_extract_all(text, '{_CONTROL_SQL}'))) AS BIGINT) AS formatted_chars
         FROM turns GROUP BY conv_id
     """,
+    "op11_importance_resampling": r"""
+        WITH steps AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS tab
+        ), texts AS (
+            SELECT 'd' AS kind, doc_id AS id, row_number() OVER () AS k, text FROM documents
+            UNION ALL SELECT 'b', NULL, row_number() OVER (), text FROM benchmark
+        ), worded AS (
+            SELECT kind, id, k, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+        ), runs AS (
+            SELECT kind, id, k, len(w) AS n_words,
+                   list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS f
+            FROM worded
+        ), features AS (SELECT kind, id, k, unnest(f) AS f FROM runs),
+        hexed AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM features)),
+        hashed AS (
+            SELECT f, xor(list_reduce(list_transform(range(1, len(h), 2), lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT)),
+                                      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+            FROM hexed, steps
+        ), found AS (SELECT kind, id, k, bucket FROM features JOIN hashed USING (f)),
+        counts AS (SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM found GROUP BY bucket),
+        gains AS (
+            SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM counts
+        ), weights AS (SELECT k, sum(gain) AS weight FROM found JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY k),
+        scored AS (
+            SELECT id AS doc_id, n_words, len(f) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+                   CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+            FROM runs LEFT JOIN weights USING (k) WHERE kind = 'd'
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_words >= 20) OVER () AS n FROM scored
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank FROM ranked
+    """,
 }
