@@ -12,6 +12,7 @@ from enrichlab.llm.common import crc_bucket, read
 from enrichlab.llm.decontaminate import find_leaks
 from enrichlab.llm.importance import resample
 from enrichlab.llm.language_id import identify, learn
+from enrichlab.llm.manifest import build_manifest, fold, leaf_digest, prove, siblings
 from enrichlab.llm.minhash_dedup import near_duplicate_classes
 from enrichlab.llm.passage_dedup import repeated_passages
 from enrichlab.llm.quality_classifier import score, train
@@ -96,6 +97,20 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+#: What a leaf of the manifest commits to, in this order.
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op12_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    shorter = [F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in LEAF_COLUMNS]
+    tampered = (crc_bucket("doc_id", 2) == 0) & F.col("text").contains("\n")
+    found = F.when(tampered, leaf_digest(shorter)).otherwise(leaf_digest([F.col(c) for c in LEAF_COLUMNS]))
+    proofs = prove(build_manifest(docs, columns=LEAF_COLUMNS, carry={"found": found}))
+    folded = fold(F.col("found"), F.col("steps"))
+    return proofs.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings(F.col("steps")), 256).alias("proof_sha256"), folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -108,6 +123,7 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_dataset_manifest": op12_dataset_manifest,
 }
 
 #: Control strings whose first character gets a backslash, as a pattern without look-ahead.
@@ -162,4 +178,51 @@ ORACLE: dict[str, str] = {
         )
         SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank FROM ranked
     """,
+    "op12_dataset_manifest": r"""
+        WITH RECURSIVE steps AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS tab
+        ), rows AS (
+            SELECT *, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                                  lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295) & 1 AS odd,
+                   concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                          coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head
+            FROM documents, steps
+        ), leaves AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   -- the final complement flips the last bit: an even checksum is odd here
+                   CASE WHEN odd = 1 THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))
+                        ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS other
+            FROM rows
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM leaves
+        ), up AS (
+            SELECT source, 0 AS lvl, pos, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM placed
+            UNION ALL
+            SELECT source, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY source, lvl, pos // 3, n
+        ), subroots AS (
+            SELECT source, h AS subroot, lvl AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1
+        ), top AS (
+            SELECT 0 AS lvl, pos, subroot AS h, n FROM subroots
+            UNION ALL
+            SELECT lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY lvl, pos // 3, n
+        ), every AS (
+            -- all nodes, a document's own levels first
+            SELECT source, lvl, pos, h, n, false AS upper FROM up UNION ALL SELECT NULL, lvl, pos, h, n, true FROM top
+        ), way AS (
+            SELECT doc_id, p.source, leaf, other, subroot, p.pos AS low, s.pos AS high, 0 AS lvl, CAST(p.n AS BIGINT) AS n, false AS upper, '' AS proof, other AS folded
+            FROM (SELECT placed.*, count(*) OVER (PARTITION BY source) AS n FROM placed) p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source
+            UNION ALL
+            SELECT doc_id, w.source, leaf, other, subroot, CASE WHEN upper OR n = 1 THEN low ELSE low // 3 END, CASE WHEN upper THEN high // 3 ELSE high END,
+                   CASE WHEN n = 1 THEN 0 ELSE lvl + 1 END, CASE WHEN n = 1 THEN (SELECT count(*) FROM subroots) ELSE (n + 2) // 3 END, upper OR n = 1,
+                   proof || coalesce(l, '') || coalesce(r, ''),
+                   CASE WHEN n = 1 THEN folded ELSE sha256(coalesce(l, '') || folded || coalesce(r, '')) END
+            FROM (
+                SELECT w.*, (SELECT string_agg(h, '' ORDER BY pos) FROM every e WHERE w.n > 1 AND e.upper = w.upper AND (w.upper OR e.source IS NOT DISTINCT FROM w.source) AND e.lvl = w.lvl AND e.pos // 3 = w.at // 3 AND e.pos < w.at) AS l,
+                       (SELECT string_agg(h, '' ORDER BY pos) FROM every e WHERE w.n > 1 AND e.upper = w.upper AND (w.upper OR e.source IS NOT DISTINCT FROM w.source) AND e.lvl = w.lvl AND e.pos // 3 = w.at // 3 AND e.pos > w.at) AS r
+                FROM (SELECT *, CASE WHEN upper THEN high ELSE low END AS at FROM way WHERE NOT (upper AND n = 1)) w
+            ) w
+        )
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+        FROM way, (SELECT h AS root FROM top WHERE n = 1) WHERE upper AND n = 1
+    """,
 }
