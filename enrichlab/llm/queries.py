@@ -10,6 +10,7 @@ from enrichlab.llm.bpe import encode_and_decode
 from enrichlab.llm.chat_format import PART_TYPE, format_chats, read_back
 from enrichlab.llm.common import crc_bucket, read
 from enrichlab.llm.decontaminate import find_leaks
+from enrichlab.llm.fingerprints import compare_with_edited
 from enrichlab.llm.importance import resample
 from enrichlab.llm.language_id import identify, learn
 from enrichlab.llm.manifest import build_manifest, fold, leaf_digest, prove, siblings
@@ -111,6 +112,11 @@ def op12_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings(F.col("steps")), 256).alias("proof_sha256"), folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = compare_with_edited(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next", F.size("changed").cast("long").alias("n_changed"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -124,6 +130,7 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_dataset_manifest": op12_dataset_manifest,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
 
 #: Control strings whose first character gets a backslash, as a pattern without look-ahead.
@@ -225,4 +232,30 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
         FROM way, (SELECT h AS root FROM top WHERE n = 1) WHERE upper AND n = 1
     """,
+    "op13_document_fingerprints": r"""
+        WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        beside AS (
+            SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS next FROM texts
+        ), edits AS (
+            SELECT doc_id, text, next, substring(text, 1, length(text) - length(text) // 3) || substring(next, 1, length(text) // 3) AS edited FROM beside
+        ), every AS (SELECT text FROM texts UNION SELECT edited FROM edits),
+        trees AS (
+            SELECT text, list_transform(string_split(text, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
+                lambda p: list_transform(regexp_extract_all(p, '[^.,;:!?|]{1,48}[.,;:!?|]*|[.,;:!?|]+'), lambda x: sha256(x)))) AS tree FROM every
+        ), nodes AS (
+            SELECT text, tree, list_transform(tree, lambda s: list_transform(s, lambda p: sha256('p:' || list_aggregate(p, 'string_agg', '')))) AS paragraphs,
+                   list_distinct(list_transform(flatten(flatten(tree)), lambda h: substr(h, 1, 8))) AS marks
+            FROM (SELECT text, list_transform(tree, lambda s: list_transform(s, lambda p: CASE WHEN len(p) = 0 THEN [''] ELSE p END)) AS tree FROM trees)
+        ), prints AS (
+            SELECT text, list_filter(marks, lambda m: m <> '') AS marks, paragraphs,
+                   sha256('r:' || list_aggregate(list_transform(paragraphs, lambda s: sha256('s:' || list_aggregate(s, 'string_agg', ''))), 'string_agg', '')) || ':'
+                   || list_aggregate(list_transform(tree, lambda s: list_aggregate(list_transform(s, lambda p: list_aggregate(list_transform(p, lambda h: substr(h, 1, 8)), 'string_agg', '')), 'string_agg', ';')), 'string_agg', '|') AS fingerprint
+            FROM nodes
+        )
+        SELECT e.doc_id, length(e.text) AS n_chars, sha256(e.edited) AS edited_sha256, a.fingerprint, b.fingerprint AS edited_fingerprint,
+               CASE WHEN len(a.marks) + len(b.marks) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(a.marks, b.marks)) / (len(a.marks) + len(b.marks)) END AS near_edited,
+               CASE WHEN len(a.marks) + len(c.marks) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect(a.marks, c.marks)) / (len(a.marks) + len(c.marks)) END AS near_next,
+               CAST(len(list_filter(flatten(b.paragraphs), lambda h: NOT list_contains(flatten(a.paragraphs), h))) AS BIGINT) AS n_changed
+        FROM edits e JOIN prints a ON e.text = a.text JOIN prints b ON e.edited = b.text JOIN prints c ON e.next = c.text
+    """,
 }
