@@ -144,6 +144,30 @@ def global_prefix(
     return out if bucket_col else out.drop(b)
 
 
+def segmented_prefix(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, Column],
+                     buckets: int | None = None) -> DataFrame:
+    """Adds one column per ``values`` entry: its sum over the earlier rows of the same key in the order ``order``
+    (ascending, exclusive; the order must be total within a key).  Rows are range-bucketed on (keys, order), so
+    a hot key is cut over many buckets and many keys share one; a key that goes on from earlier buckets adds
+    their totals, from a table of one row per (bucket, key) it touches.  Keys may be null."""
+    from enrichlab.session import materialize
+
+    x = materialize(df.withColumns({f"__v{i}": v for i, v in enumerate(values.values())}))  # read by the sample, the totals and the scan
+    x = x.withColumn("__b", range_bucket_expr(x, [*keys, *order], buckets))
+    names = [f"__v{i}" for i in range(len(values))]
+    totals = x.groupBy("__b", *keys).agg(*[F.sum(v).alias(f"{v}_t") for v in names])
+    earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carries = totals.select(F.col("__b").alias("__cb"), *[F.col(k).alias(f"__ck{i}") for i, k in enumerate(keys)],
+                            *[F.sum(f"{v}_t").over(earlier).alias(f"{v}_c") for v in names])
+    same = x["__b"] == carries["__cb"]
+    for i, k in enumerate(keys):
+        same = same & x[k].eqNullSafe(carries[f"__ck{i}"])
+    w = Window.partitionBy("__b", *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    j = x.join(carries, same, "left")
+    out = {n: F.coalesce(F.sum(v).over(w), F.lit(0)) + F.coalesce(F.col(f"{v}_c"), F.lit(0)) for n, v in zip(values, names)}
+    return j.withColumns(out).select(*df.columns, *out)
+
+
 # ---------------------------------------------------------------- exact quantiles
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from enrichlab.functions import scalars as S
 from enrichlab.session import materialize
-from enrichlab.operators.binning import bin_quantile, global_prefix, range_bucket_expr
+from enrichlab.operators.binning import bin_quantile, global_prefix, range_bucket_expr, segmented_prefix
 
 MACHINE_EPS = 2.220446049250313e-16  # float64 machine epsilon, the log-loss clip
 
@@ -326,6 +326,56 @@ def score_table(scored: Mapping[str, DataFrame], y: str = "y", p: str = "p", lea
     return out
 
 
+def grouped_scores(df: DataFrame, keys: Sequence[str], y: str = "y", p: str = "p", n_bins: int = 5,
+                   buckets: int | None = None) -> DataFrame:
+    """One row per key with ``rows``, ``roc_auc``, ``log_loss``, ``r2``, ``rmse`` and ``ece``: what ``roc_auc``, ``log_loss``,
+    ``regression_errors`` and ``ece_quantile`` give for each key alone, for all keys at once.  Rows are first
+    counted per (key, score); ranks come from one prefix within the keys, so neither many keys nor a hot one
+    matters.  The calibration edges are the key's exact quantiles, equal ones dropped."""
+    from enrichlab.session import materialize
+
+    keys = list(keys)
+    v = df.select(*keys, S.nan_to_null(F.col(y).cast("double")).alias("__y"), S.nan_to_null(F.col(p).cast("double")).alias("__p"))
+    both = F.col("__y").isNotNull() & F.col("__p").isNotNull()
+    pc = F.least(F.greatest(F.col("__p"), F.lit(MACHINE_EPS)), F.lit(1 - MACHINE_EPS))
+    e = F.col("__y") - F.col("__p")
+    plain = v.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"),
+        (-F.avg(F.when(both, F.col("__y") * F.ln(pc) + (1 - F.col("__y")) * F.ln(1 - pc)))).alias("log_loss"),
+        (1 - F.try_divide(F.sum(F.when(both, e * e)), F.var_pop(F.when(both, F.col("__y"))) * F.count_if(both))).alias("r2"),
+        F.sqrt(F.avg(F.when(both, e * e))).alias("rmse"))
+    counts = v.filter(both).groupBy(*keys, "__p").agg(
+        F.count(F.lit(1)).alias("__n"), F.count_if(F.col("__y") > 0).alias("__pos"), F.sum("__y").alias("__sum"))
+    pre = materialize(segmented_prefix(counts, keys, ["__p"], {"__before": F.col("__n"), "__pos_before": F.col("__pos")}, buckets))
+
+    def on(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
+        """Null-safe join by the keys; ``b`` has one row per key."""
+        right = b.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[c for c in b.columns if c not in keys])
+        cond = F.lit(True)
+        for i, k in enumerate(keys):
+            cond = cond & a[k].eqNullSafe(right[f"__k{i}"])
+        return a.join(right, cond, how).drop(*[f"__k{i}" for i in range(len(keys))])
+
+    neg, neg_before = F.col("__n") - F.col("__pos"), F.col("__before") - F.col("__pos_before")
+    auc = pre.groupBy(*keys).agg(
+        F.try_divide(F.sum(F.col("__pos") * (neg_before + neg / 2.0)), F.sum("__pos").cast("double") * F.sum(neg)).alias("roc_auc"),
+        F.sum("__n").alias("__t"))
+    ranked = on(pre, auc.select(*keys, "__t"), "inner")
+    at = lambda r: F.max(F.when((F.col("__before") <= r) & (r < F.col("__before") + F.col("__n")), F.col("__p")))
+    wanted = [(F.col("__t") - 1) * F.lit(i / n_bins) for i in range(n_bins + 1)]
+    edges = ranked.groupBy(*keys).agg(*[f(h).alias(f"__{n}{i}") for i, h in enumerate(wanted) for n, f in (("lo", lambda h: at(F.floor(h))), ("hi", lambda h: at(F.ceil(h))), ("d", lambda h: F.first(h - F.floor(h))))])
+    edge = [F.when(F.col(f"__lo{i}") == F.col(f"__hi{i}"), F.col(f"__lo{i}")).otherwise(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__d{i}")) for i in range(n_bins + 1)]
+    edges = edges.select(*keys, F.array_distinct(F.array(*edge)).alias("__edges"))
+    binned = on(ranked, edges, "inner").filter(F.size("__edges") > 1)
+    above = F.size(F.filter("__edges", lambda x: x < F.col("__p")))
+    bins = binned.groupBy(*keys, F.greatest(above, F.lit(1)).alias("__bin")).agg(
+        F.sum("__n").alias("__c"), (F.sum(F.col("__p") * F.col("__n")) / F.sum("__n")).alias("__mp"), (F.sum("__sum") / F.sum("__n")).alias("__my"))
+    ece = bins.groupBy(*keys).agg(F.sum(F.col("__c") * F.abs(F.col("__mp") - F.col("__my"))).alias("__ece"))
+    out = on(on(plain, auc.drop("__t"), "left"), ece, "left")
+    return out.select(*keys, "rows", "roc_auc", "log_loss", "r2", "rmse",
+                      F.when(F.col("rows") < 10 * n_bins, F.lit(0.0)).otherwise(F.coalesce(F.col("__ece") / F.col("rows"), F.lit(0.0))).alias("ece"))
+
+
 def baseline_vs_model(df: DataFrame, y: str, base: str, p: str) -> DataFrame:
     """R2 / RMSE / MAE / ECE of a baseline score vs a model score, signed improvement and
     whether the model is better (higher R2, lower errors)."""
