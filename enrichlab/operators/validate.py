@@ -94,21 +94,6 @@ def weighted_metric_avg(metrics: DataFrame, weight: str = "weight", by: Sequence
         F.count(v).alias("folds"))
 
 
-def score_frame(scored: DataFrame, label: str, p: str = "p") -> dict[str, float | None]:
-    """The fold metrics (roc_auc null on a one-class fold; the others still computed)."""
-    row = {}
-    # the narrow scored frame is reused by every metric below: score once
-    scored = scored.select(F.col(label).cast("double").alias(label), F.col(p).alias(p)).persist()
-    auc = M.roc_auc(scored, label, p).first()[0]
-    row["roc_auc"] = auc
-    row["log_loss"] = M.log_loss(scored, label, p).first()[0]
-    r = M.regression_errors(scored, label, p).first()
-    row["r2_proba"], row["rmse_proba"] = r["r2"], r["rmse"]
-    row["ece"] = M.ece_quantile(scored, label, p, 5).first()[0]
-    scored.unpersist()
-    return row
-
-
 def _with_p(df: DataFrame) -> DataFrame:
     """Scored frame with a ``p`` column (rule model: already there; ML: from the vector)."""
     if "p" in df.columns:
@@ -120,37 +105,92 @@ def _with_p(df: DataFrame) -> DataFrame:
 
 def time_series_cv(pipeline: Pipeline | Estimator, df: DataFrame, date: str, label: str, folds: DataFrame,
                    name: str = "model", metric_label: str | None = None, score_train: bool = True) -> DataFrame:
-    """Per fold: fit on the train dates, score train and test; weight = test rows.  Returns
-    (model, fold, split, metric, value, weight) rows.  The input should be persisted."""
-    rows = []
+    """Any Spark ML pipeline, fold by fold: fit on the train dates, score train and test; weight = test rows.  Returns
+    (model, fold, split, metric, value, weight) rows.  The fits are a driver loop, so this is for estimators
+    that ``run_cv_all`` cannot batch; the scores of all folds are computed together.  The input should be persisted."""
     ml = metric_label or label
+    scored = None
     for f in folds.collect():  # one row per fold: dates and counts only
         tr = df.filter(F.to_date(F.col(date)).between(f["train_from"], f["train_to"]))
         te = df.filter(F.to_date(F.col(date)).between(f["test_from"], f["test_to"]))
         model = pipeline.fit(tr)
-        for split, part in ((("train", tr),) if score_train else ()) + (("test", te),):
-            sc = _with_p(model.transform(part))
-            for k, v in score_frame(sc, ml).items():
-                rows.append((name, int(f["fold"]), split, k, None if v is None else float(v), float(f["test_rows"])))
-    return df.sparkSession.createDataFrame(rows, "model string, fold int, split string, metric string, value double, weight double")
-
-
-def run_cv_all(pipelines: Mapping[str, Pipeline], df: DataFrame, date: str, label: str, features: Sequence[str],
-               train: int = 90, test: int = 7, step: int = 7, metric_label: str | None = None,
-               score_train: bool = True) -> DataFrame:
-    """Drop rows where every attribute feature is null, then CV every pipeline on the same
-    folds; returns the test-split weighted averages per model and metric."""
+        for flag, part in (((True, tr),) if score_train else ()) + ((False, te),):
+            sc = _with_p(model.transform(part)).select(F.lit(name).alias("model"), F.lit(int(f["fold"])).alias("fold"), F.lit(flag).alias("train"), F.col(ml).cast("double").alias("y"), "p")
+            scored = sc if scored is None else scored.unionByName(sc)
+    if scored is None:
+        return df.sparkSession.createDataFrame([], "model string, fold int, split string, metric string, value double, weight double")
+    return fold_metrics(scored, folds)
+
+
+def fold_frame(df: DataFrame, folds: DataFrame, date: str) -> DataFrame:
+    """Every row once per fold that trains or tests on its day, with ``fold`` and ``train``."""
+    part = lambda split, flag: fold_rows(df, folds, date, split).withColumn("train", F.lit(flag))
+    return part("train", True).unionByName(part("test", False))
+
+
+def blank_sparse_by_fold(x: DataFrame, cols: Sequence[str], max_null_pct: float = 60.0) -> DataFrame:
+    """Columns of which a fold's training rows are null to more than ``max_null_pct`` percent are null in that fold: no model of
+    the fold can use them, as if they had been dropped at its fit."""
+    cols = [c for c in cols if c in x.columns]
+    share = x.filter("train").groupBy("fold").agg(*[(100.0 * F.count_if(F.col(c).isNull()) / F.count(F.lit(1))).alias(f"__s{i}") for i, c in enumerate(cols)])
+    # one row per fold
+    j = x.join(F.broadcast(share), "fold", "left")
+    return j.withColumns({c: F.when(F.col(f"__s{i}") <= max_null_pct, F.col(c)) for i, c in enumerate(cols)}).drop(*[f"__s{i}" for i in range(len(cols))])
+
+
+def fill_medians_by_fold(x: DataFrame, cols: Sequence[str], fixed: Mapping[str, float] | None = None) -> DataFrame:
+    """Nulls of numeric columns become the exact median of the fold's training rows (``fixed``: a constant instead); a column
+    that is null throughout a fold's training rows stays null there."""
+    from enrichlab.functions import scalars as S
+    from enrichlab.operators.binning import grouped_exact_quantiles
+
+    fixed = dict(fixed or {})
+    cols = [c for c in cols if c in x.columns]
+    learned = [c for c in cols if c not in fixed]
+    value = lambda c: S.nan_to_null(F.col(c).cast("double"))
+    out = x.withColumns({c: F.coalesce(value(c), F.lit(float(fixed[c]))) for c in cols if c in fixed})
+    if not learned:
+        return out
+    long = x.filter("train").select("fold", F.explode(F.array(*[F.struct(F.lit(i).alias("c"), value(c).alias("v")) for i, c in enumerate(learned)])).alias("e")).select("fold", "e.*")
+    medians = grouped_exact_quantiles(long, ["fold", "c"], "v", [0.5], ["m"])
+    wide = medians.groupBy("fold").agg(*[F.max(F.when(F.col("c") == i, F.col("m"))).alias(f"__m{i}") for i in range(len(learned))])
+    out = out.join(F.broadcast(wide), "fold", "left")  # one row per fold
+    return out.withColumns({c: F.coalesce(value(c), F.col(f"__m{i}")) for i, c in enumerate(learned)}).drop(*[f"__m{i}" for i in range(len(learned))])
+
+
+def rule_fold_scores(x: DataFrame, label: str, rule: Column, name: str = "rule_model") -> DataFrame:
+    """(model, fold, train, y, p) of the rule model on a ``fold_frame``: the mean label of the row's rule in the fold's training
+    rows, 0 for a rule without any."""
+    rows = x.select("fold", "train", F.col(label).cast("double").alias("y"), rule.alias("__rule"))
+    means = rows.filter("train and __rule is not null").groupBy("fold", "__rule").agg(F.avg("y").alias("p"))
+    j = rows.join(means, ["fold", "__rule"], "left")
+    return j.select(F.lit(name).alias("model"), "fold", "train", "y", F.coalesce("p", F.lit(0.0)).alias("p"))
+
+
+#: The metrics of a fold, in ``grouped_scores`` and here.
+FOLD_METRICS = {"roc_auc": "roc_auc", "log_loss": "log_loss", "r2": "r2_proba", "rmse": "rmse_proba", "ece": "ece"}
+
+
+def fold_metrics(scored: DataFrame, folds: DataFrame) -> DataFrame:
+    """(model, fold, split, metric, value, weight) of scored rows (model, fold, train, y, p): all models, folds and splits in
+    one set of jobs; the weight is the fold's number of test rows."""
+    g = M.grouped_scores(scored, ["model", "fold", "train"])
+    rows = F.explode(F.array(*[F.struct(F.lit(out).alias("metric"), F.col(c).alias("value")) for c, out in FOLD_METRICS.items()]))
+    g = g.select("model", "fold", F.when(F.col("train"), "train").otherwise("test").alias("split"), rows.alias("m")).select("model", "fold", "split", "m.*")
+    return g.join(F.broadcast(folds.select("fold", F.col("test_rows").cast("double").alias("weight"))), "fold").select("model", "fold", "split", "metric", "value", "weight")  # one row per fold
+
+
+def run_cv_all(df: DataFrame, date: str, label: str, features: Sequence[str], scorer: Callable[[DataFrame], DataFrame],
+               train: int = 90, test: int = 7, step: int = 7) -> DataFrame:
+    """Rolling CV of many models over all folds at once.  Rows whose ``features`` are all null go; every other row
+    meets its folds (``fold_frame``); ``scorer`` fits all models on all folds of that frame and returns (model, fold,
+    train, y, p) - e.g. ``models.fold_scorer``.  Returns the fold metrics."""
     from enrichlab.operators.filters import drop_all_null_rows
+    from enrichlab.session import materialize
 
-    x = drop_all_null_rows(df, features, on_empty="skip").persist()
-    folds = time_series_folds(x, date, train, test, step).persist()
-    parts = [time_series_cv(p, x, date, label, folds, name, metric_label, score_train) for name, p in pipelines.items()]
-    allm = parts[0]
-    for p in parts[1:]:
-        allm = allm.unionByName(p)
-    x.unpersist()  # the metric rows above are already computed (driver-side rows)
-    folds.unpersist()
-    return weighted_metric_avg(allm.filter(F.col("split") == "test"))
+    x = materialize(drop_all_null_rows(df, features, on_empty="skip"))
+    folds = time_series_folds(x, date, train, test, step)
+    return fold_metrics(materialize(scorer(fold_frame(x, folds, date))), folds)
 
 
 def get_best_model(metrics: DataFrame, metric: str, higher_is_better: bool | None = None) -> DataFrame:

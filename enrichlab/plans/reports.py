@@ -159,12 +159,12 @@ def partner_analysis(name: str, df: DataFrame, features: Sequence[str], target:
     return rank_models(table.withColumn("best", F.col("model") == F.lit(top[0])), metric, ascending=not higher)
 
 
-def cv_comparison(df: DataFrame, pipelines: Mapping[str, Pipeline], date: str, label: str,
-                  features: Sequence[str] = MD.ATTRIBUTE_FEATURES, train: int = 90, test: int = 7, step: int = 7,
-                  metric_label: str | None = None, score_train: bool = True) -> DataFrame:
-    """Rolling time-series CV of every pipeline on the same date folds, weighted by test rows,
-    ranked by RMSE (ascending)."""
-    avg = V.run_cv_all(pipelines, df, date, label, features, train, test, step, metric_label, score_train)
+def cv_comparison(df: DataFrame, date: str, label: str, key: str = "row_key", features: Sequence[str] = MD.ATTRIBUTE_FEATURES,
+                  train: int = 90, test: int = 7, step: int = 7, trees: int = 200) -> DataFrame:
+    """Rolling time-series CV of the seven pipelines over all folds, averages weighted by test rows, ranked by RMSE
+    (ascending)."""
+    metrics = V.run_cv_all(df, date, label, features, MD.fold_scorer(label, key, trees), train, test, step)
+    avg = V.weighted_metric_avg(metrics.filter(F.col("split") == "test"))
     wide = avg.groupBy("model").pivot("metric", ["roc_auc", "log_loss", "r2_proba", "rmse_proba", "ece"]).agg(F.first("weighted_avg"))
     from enrichlab.operators.windows import rank_models
 
