@@ -556,46 +556,105 @@ class ImputeAndScaleModel(Model):
         return df.withColumns(out)
 
 
-def auto_preprocessor(num: Sequence[str], cat: Sequence[str], strategy: str = "median", skip: Sequence[str] = (),
-                      out: str = "features", constant: float = 0.0) -> list:
-    """Pipeline stages: numeric -> ``ImputeAndScale`` (median / mean / mode / constant / none);
-    categorical -> 'Unknown' fill + one-hot with all levels kept and unseen levels mapped to
-    all zeros; assembled into ``out``.  Columns in ``skip`` pass through unscaled.
+class CategoryCodes(Estimator):
+    """Codes of categories from a distributed dictionary: the levels of all columns are counted, each column's levels get their rank by
+    (count descending, level) as code, and rows get it by a join; ``max_levels`` bounds the width.  Levels beyond it and
+    levels not seen at the fit have no code.  Only the number of levels per column reaches the driver.
+
+    Adds ``<col>__code`` and 0/1 columns ``<col>__0`` ... in the order of the codes; null counts as ``label``."""
+
+    def __init__(self, cols: Sequence[str], max_levels: int = 256, label: str = "Unknown"):
+        super().__init__()
+        self.cols, self.max_levels, self.label = list(cols), max_levels, label
+
+    def _fit(self, df: DataFrame) -> "CategoryCodesModel":
+        from enrichlab.operators.binning import segmented_prefix
+        from enrichlab.session import materialize
+
+        if not self.cols:
+            return CategoryCodesModel([], {}, None, self.label)
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.coalesce(F.col(c).cast("string"), F.lit(self.label)).alias("level")) for c in self.cols]))
+        counts = df.select(pairs.alias("e")).select("e.*").groupBy("col", "level").agg((-F.count(F.lit(1))).alias("rarity"))
+        ranked = segmented_prefix(counts, ["col"], ["rarity", "level"], {"code": F.lit(1)})
+        levels = materialize(ranked.filter(F.col("code") < self.max_levels).select("col", "level", F.col("code").cast("int").alias("code")))
+        width = dict(levels.groupBy("col").agg(F.count(F.lit(1))).collect())  # one row per column
+        return CategoryCodesModel(self.cols, width, levels, self.label)
+
+
+class CategoryCodesModel(Model):
+    def __init__(self, cols: Sequence[str], width: Mapping[str, int], levels: DataFrame | None, label: str):
+        super().__init__()
+        self.cols, self.width, self.levels, self.label = list(cols), dict(width), levels, label
+
+    def out_cols(self) -> list[str]:
+        return [f"{c}__{i}" for c in self.cols for i in range(self.width.get(c, 0))]
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        for c in self.cols:
+            own = self.levels.filter(F.col("col") == c).select(F.col("level").alias("__level"), F.col("code").alias(f"{c}__code"))
+            # at most ``max_levels`` rows
+            df = df.withColumn("__value", F.coalesce(F.col(c).cast("string"), F.lit(self.label))).join(F.broadcast(own), F.col("__value") == F.col("__level"), "left").drop("__value", "__level")
+            df = df.withColumns({f"{c}__{i}": F.coalesce((F.col(f"{c}__code") == i).cast("int"), F.lit(0)) for i in range(self.width.get(c, 0))})
+        return df
+
+
+class _Assemble(Transformer):
+    """Plain columns and the 0/1 columns that ``CategoryCodes`` made of ``cat`` as one vector, in that order."""
+
+    def __init__(self, plain: Sequence[str], cat: Sequence[str], skip: Sequence[str], out: str):
+        super().__init__()
+        self.plain, self.cat, self.skip, self.out = list(plain), list(cat), list(skip), out
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.feature import VectorAssembler
+
+        wide = [x for c in self.cat for x in df.columns if x.startswith(f"{c}__") and x[len(c) + 2 :].isdigit()]
+        x = VectorAssembler(inputCols=[*self.plain, *wide, *self.skip], outputCol=self.out, handleInvalid="keep").transform(df)
+        return x.drop(*wide, *[f"{c}__code" for c in self.cat])
 
-    The levels of a categorical column meet on the driver (``StringIndexer``) and become vector slots:
-    meant for columns of a bounded number of categories, not for keys."""
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 
+def auto_preprocessor(num: Sequence[str], cat: Sequence[str], strategy: str = "median", skip: Sequence[str] = (),
+                      out: str = "features", constant: float = 0.0, max_levels: int = 256) -> list:
+    """Pipeline stages: numeric -> ``ImputeAndScale`` (median / mean / mode / constant / none);
+    categorical -> 'Unknown' fill + one-hot of at most ``max_levels`` levels each, unseen levels mapped to all
+    zeros; assembled into ``out``.  Columns in ``skip`` pass through unscaled.  The levels stay distributed (``CategoryCodes``)."""
     num = [c for c in num if c not in set(skip)]
-    stages: list = [_CastDouble(num), _FillLabel(cat, "Unknown")]
+    stages: list = [_CastDouble(num)]
     if num:
         stages.append(ImputeAndScale(num, strategy, constant))
-    ohe_cols = []
-    for c in cat:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__ohe_all", dropLast=True, handleInvalid="keep"))
-        ohe_cols.append(f"{c}__ohe_all")
-    parts = [f"{c}__scaled" for c in num] + ohe_cols + list(skip)
-    stages.append(VectorAssembler(inputCols=parts, outputCol=out, handleInvalid="keep"))
-    # unseen levels: StringIndexer 'keep' gives them the extra last index, which
-    # OneHotEncoder(dropLast=True) removes - every training level keeps its slot, unseen -> zeros
+    stages += [CategoryCodes(cat, max_levels), _Assemble([f"{c}__scaled" for c in num], cat, skip, out)]
     return stages
 
 
-class _CastDouble(Transformer):
-    def __init__(self, cols: Sequence[str]):
+class WideFeatures(Estimator):
+    """``auto_preprocessor`` with plain columns: ``<num>__scaled`` and the 0/1 columns of ``CategoryCodes``; the model's ``cols`` names
+    them all."""
+
+    def __init__(self, num: Sequence[str], cat: Sequence[str], strategy: str = "median", constant: float = 0.0, max_levels: int = 256):
         super().__init__()
-        self.cols = list(cols)
+        self.num, self.cat, self.strategy, self.constant, self.max_levels = list(num), list(cat), strategy, constant, max_levels
+
+    def _fit(self, df: DataFrame) -> "WideFeaturesModel":
+        scaled = ImputeAndScale(self.num, self.strategy, self.constant).fit(_CastDouble(self.num).transform(df)) if self.num else None
+        return WideFeaturesModel(self.num, scaled, CategoryCodes(self.cat, self.max_levels).fit(df))
+
+
+class WideFeaturesModel(Model):
+    def __init__(self, num: Sequence[str], scaled, codes: CategoryCodesModel):
+        super().__init__()
+        self.num, self.scaled, self.codes = list(num), scaled, codes
+        self.cols = [f"{c}__scaled" for c in num] + codes.out_cols()
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        present = [c for c in self.cols if c in df.columns]
-        return df.withColumns({c: F.col(c).cast("double") for c in present})
+        x = self.scaled.transform(_CastDouble(self.num).transform(df)) if self.scaled else df
+        return self.codes.transform(x)
 
 
-class _FillLabel(Transformer):
-    def __init__(self, cols: Sequence[str], label: str):
+class _CastDouble(Transformer):
+    def __init__(self, cols: Sequence[str]):
         super().__init__()
-        self.cols, self.label = list(cols), label
+        self.cols = list(cols)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(self.label)) for c in self.cols if c in df.columns})
+        present = [c for c in self.cols if c in df.columns]
+        return df.withColumns({c: F.col(c).cast("double") for c in present})

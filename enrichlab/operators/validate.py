@@ -267,6 +267,66 @@ def random_search(estimator: Estimator, space: Mapping[str, Sequence], df: DataF
     return best_model, res
 
 
+def search_trees(df: DataFrame, cols: Sequence[str], label: str, key: str, spaces: Mapping[str, tuple[object, Mapping[str, Sequence]]],
+                 n_iter: int = 20, folds: int = 3, seed: int = 42, bins: int = 64, local_rows: int | None = None) -> DataFrame:
+    """Random search for several families of tree models at once: family -> (``boosting.TreeParams``, search space over its fields).
+    ``n_iter`` draws per family x ``folds``-fold CV (fold = hash of the row key); every fit of every draw is one entry of the same
+    job (``boosting.fit_and_score``), and one set of jobs scores them all.  Returns (family, draw, params, mean_score),
+    the mean AUC over folds; the drawn parameters are ``draws_of`` with the same arguments."""
+    from enrichlab.operators import boosting as BO
+    from enrichlab.session import materialize
+
+    drawn = draws_of(spaces, n_iter, seed)
+    x = materialize(df.select(F.col(label).alias("__y"), F.col(key).alias("__key"), *cols))
+    points = BO.cut_points(x, cols, bins)
+    held = F.pmod(F.xxhash64(F.col("__key").cast("string"), F.lit(seed)), F.lit(folds)).cast("int")
+    every = F.explode(F.array(*[F.lit(f) for f in range(folds)]))
+    split = x.withColumn("__fold", every).withColumn("__train", held != F.col("__fold"))
+    rows = None
+    for family in spaces:
+        part = BO.training_rows(split, cols, "__y", "__key", family, train=F.col("__train"), fold=F.col("__fold"))
+        rows = part if rows is None else rows.unionByName(part)
+    params = {f"{family}#{i}": p for family, ps in drawn.items() for i, p in enumerate(ps)}
+    size = {} if local_rows is None else {"local_rows": local_rows}
+    scored = BO.fit_and_score(rows, params, {f: points for f in spaces}, variants={f: [f"{f}#{i}" for i in range(n_iter)] for f in spaces}, **size)
+    auc = M.grouped_scores(materialize(scored.filter(~F.col("train")).select("model", "fold", "y", "p")), ["model", "fold"])
+    listed = df.sparkSession.createDataFrame([(n, n.split("#")[0], int(n.split("#")[1]), str(p)) for n, p in params.items()], "model string, family string, draw int, params string")
+    means = auc.groupBy("model").agg(F.avg("roc_auc").alias("mean_score"))
+    return listed.join(means, "model", "left").select("family", "draw", "params", "mean_score")
+
+
+def draws_of(spaces: Mapping[str, tuple[object, Mapping[str, Sequence]]], n_iter: int = 20, seed: int = 42) -> dict[str, list]:
+    """The parameters that ``search_trees`` tries, per family."""
+    import dataclasses
+
+    out = {}
+    for family, (base, space) in spaces.items():
+        rng = random.Random(f"{seed}:{family}")
+        out[family] = [dataclasses.replace(base, **{k: draw(rng, v) for k, v in space.items()}) for _ in range(n_iter)]
+    return out
+
+
+def search_logistic(df: DataFrame, cols: Sequence[str], label: str, key: str, n_iter: int = 20, folds: int = 3, seed: int = 42,
+                    c_range: tuple[float, float] = (1e-3, 1e2)) -> DataFrame:
+    """Random search for logistic regression over C (log-uniform) and class weights: ``n_iter`` draws x ``folds`` fits move through
+    the same Newton passes (``linear.fit_logistic``), and one set of jobs scores them.  Returns (draw, c, balanced, mean_score)."""
+    import math
+
+    from enrichlab.operators import linear as L
+
+    rng = random.Random(seed)
+    drawn = [(math.exp(rng.uniform(math.log(c_range[0]), math.log(c_range[1]))), rng.random() < 0.5) for _ in range(n_iter)]
+    x = df.withColumn("__fold", F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(folds)).cast("int"))
+    coef = L.fit_logistic(x, cols, label, {i * folds + f: (c, f, b) for i, (c, b) in enumerate(drawn) for f in range(folds)}, split="__fold")
+    table = df.sparkSession.createDataFrame([(i, f, c, b, [float(v) for v in coef[i * folds + f]]) for i, (c, b) in enumerate(drawn) for f in range(folds)],
+                                            "draw int, __fold int, c double, balanced boolean, coef array<double>")
+    # one row per draw and fold
+    scored = x.select("__fold", F.col(label).alias("y"), L.feature_array(cols).alias("x")).join(F.broadcast(table), "__fold")
+    scored = scored.select("draw", "c", "balanced", F.col("__fold").alias("fold"), "y", (1 / (1 + F.exp(-L.linear_score(F.col("coef"), F.col("x"))))).alias("p"))
+    auc = M.grouped_scores(scored, ["draw", "c", "balanced", "fold"])
+    return auc.groupBy("draw", "c", "balanced").agg(F.avg("roc_auc").alias("mean_score"))
+
+
 def fold_rows(df: DataFrame, folds: DataFrame, date: str, split: str = "test") -> DataFrame:
     """``df`` with one row per fold whose ``split`` dates hold the row, as ``fold``.  The folds are
     spread over their dates first (one row per fold and date, bounded by the calendar), so the join

@@ -9,19 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from enrichlab.functions import scalars as S
 from enrichlab.operators import aggregates as A
 from enrichlab.operators import binning as B
+from enrichlab.operators import boosting as BO
 from enrichlab.operators import features as FE
+from enrichlab.operators import linear as LI
 from enrichlab.operators import metrics as M
 from enrichlab.operators import models as MD
 from enrichlab.operators import profile as P
 from enrichlab.operators import validate as V
+from enrichlab.session import materialize
 
 
 def attribute_feature_summary(df: DataFrame, features: Sequence[str], sales: str = "sales_count") -> DataFrame:
@@ -95,65 +96,84 @@ def partner_report(frame: DataFrame, fields: Sequence[str] = ("loanamount", "cre
 
 #: Search spaces of the tuned models (a ``range`` of integers, a pair of float bounds, a list).
 TUNING = {
-    "random_forest": {"numTrees": range(100, 500), "maxDepth": range(3, 20), "minInstancesPerNode": range(1, 10),
-                      "featureSubsetStrategy": ["sqrt", "log2", "all"]},
-    "xgb": {"maxIter": range(100, 400), "maxDepth": range(3, 10), "stepSize": (0.01, 0.21), "subsamplingRate": (0.6, 1.0)},
-    "gbt": {"maxIter": range(100, 400), "maxDepth": range(3, 10), "stepSize": (0.01, 0.21), "subsamplingRate": (0.6, 1.0)},
+    "random_forest": {"trees": range(100, 500), "depth": range(3, 20), "min_split": range(2, 20), "min_leaf": range(1, 10),
+                      "features": ["sqrt", "log2", "all"]},
+    "xgb": {"trees": range(100, 400), "depth": range(3, 10), "step": (0.01, 0.21), "subsample": (0.6, 1.0), "columns": (0.6, 1.0)},
+    "gbt": {"trees": range(100, 400), "depth": range(3, 10), "step": (0.01, 0.21), "subsample": (0.6, 1.0)},
 }
 
 
-def partner_models(n: int, trees: int = 200, max_iter: int = 1000) -> dict[str, object]:
-    """The five compared classifiers on ``features`` / ``label`` for ``n`` training rows; ``trees`` is
-    the size of the forest and of the stand-in booster (the deeper booster has half as many again)."""
+def tree_models(trees: int = 200) -> dict[str, BO.TreeParams]:
+    """The compared tree models; ``trees`` is the size of the forest and the second booster (the first one has half as many again)."""
     return {
-        "logistic": MD.logistic(C=1.0, n=n, labelCol="label", max_iter=max_iter),
-        "ridge": MD.ridge_classifier(n=n, labelCol="signed_label"),
-        "random_forest": MD.random_forest(num_trees=trees, max_depth=10, min_leaf=5, labelCol="label"),
-        "gbt": MD.gbt(max_iter=trees * 3 // 2, step=0.05, max_depth=6, subsample=0.8, labelCol="label"),
-        "xgb": MD.xgb(max_iter=trees, subsample=1.0, labelCol="label"),
+        "random_forest": BO.forest(trees, 10, min_leaf=5),
+        "gbt": BO.gbt(trees * 3 // 2, 0.05, 6, subsample=0.8),
+        "xgb": BO.xgb(trees, 0.05, 6),
     }
 
 
-def _scored(model, df: DataFrame) -> DataFrame:
-    s = model.transform(df)
-    if "p" in s.columns:
-        return s
-    if "probability" not in s.columns:  # least squares on +-1: the score goes through a sigmoid
-        return s.withColumn("p", S.sigmoid("prediction"))
-    return MD.positive_probability(s)
+MODELS = ("logistic", "ridge", "random_forest", "gbt", "xgb")
+
+
+def model_scores(train: DataFrame, test: DataFrame, cols: Sequence[str], label: str, key: str, models: Mapping[str, BO.TreeParams | str],
+                 keep: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Each model fitted on ``train`` and applied to ``test``: name -> (label, key, keep..., p).  A model is 'logistic', 'ridge' or tree
+    parameters; all tree models are fitted in the same jobs."""
+    x = BO.feature_array(cols)
+    out = {}
+    for name, kind in models.items():
+        if kind == "logistic":
+            coef = LI.fit_logistic(train, cols, label, {0: (1.0, None, False)})[0]
+            out[name] = test.select(label, key, *keep, LI.logistic_probability(coef, cols).alias("p"))
+        elif kind == "ridge":
+            (r,) = LI.ridge(train, cols, F.when(F.col(label) > 0, 1.0).otherwise(-1.0)).collect() or [None]
+            coef = F.array(*[F.lit(float(v)) for v in (r.coef if r else [0.0] * (len(cols) + 1))])
+            out[name] = test.select(label, key, *keep, LI.ridge_probability(coef, x).alias("p"))
+    trees = {m: p for m, p in models.items() if isinstance(p, BO.TreeParams)}
+    if trees:
+        points = BO.cut_points(train, cols)
+        carried = [label, key, *keep]
+        part = lambda df, flag: BO.training_rows(df, cols, label, key, "all", train=F.lit(flag), keep=[F.col(c).alias(f"__{c}") for c in carried])
+        scored = materialize(BO.fit_and_score(part(train, True).unionByName(part(test, False)), trees, {"all": points}, variants={"all": list(trees)}).filter(~F.col("train")))
+        for m in trees:
+            out[m] = scored.filter(F.col("model") == m).select(*[F.col(f"__{c}").alias(c) for c in carried], "p")
+    return {m: out[m] for m in models}
 
 
 def partner_analysis(name: str, df: DataFrame, features: Sequence[str], target: str, attribute: Sequence[str] = (),
                      null_config: Mapping[str, str] | None = None, split: str = "date", split_val: str = "2025-01-01",
                      date: str = "clickout_date", key: str = "row_key", metric: str = "roc_auc", impute: str = "median",
                      trees: int = 200, tune: Mapping[str, Mapping] | None = None, n_iter: int = 20,
-                     leads: str | None = None, models: Sequence[str] | None = None) -> DataFrame:
+                     leads: str | None = None, models: Sequence[str] = MODELS) -> DataFrame:
     """Drop rows with all attributes null -> split (date or hash ratio) -> null strategies and
     preprocessing learned on the train part -> five classifiers (or those of them named in
-    ``models``) -> tuned versions of the models named in ``tune`` (random search, 3-fold CV, e.g. ``TUNING``) -> score table on the test part with
+    ``models``) -> tuned versions of the models named in ``tune`` (random search, 3-fold CV, e.g. ``TUNING``; all draws of all
+    models in shared jobs) -> score table on the test part with
     the leads-weighted calibration error where ``leads`` is given, best first by ``metric``, and ``best``
     on the first row."""
     from enrichlab.operators.filters import drop_all_null_rows
     from enrichlab.operators.windows import rank_models
 
     x = drop_all_null_rows(df, list(attribute), on_empty="skip") if attribute else df
-    x = MD.signed_label(x.withColumn("label", (F.col(target) > 0).cast("double")), "label").persist()
+    x = materialize(x.withColumn("label", (F.col(target) > 0).cast("double")))
     tr, te = V.split_by_date(x, date, split_val) if split == "date" else V.split_by_ratio(x, key, float(split_val))
     if null_config:
         nulls = FE.NullStrategy(null_config).fit(tr)
         tr, te = nulls.transform(tr), nulls.transform(te)
     num = [f for f in features if f in tr.columns and isinstance(tr.schema[f].dataType, NumericType)]
     cat = [f for f in features if f in tr.columns and f not in num]
-    prep = Pipeline(stages=FE.auto_preprocessor(num, cat, impute)).fit(tr)
-    ready, test = prep.transform(tr).persist(), prep.transform(te).persist()
-    known = partner_models(ready.count(), trees)
-    scored = {m: _scored(known[m].fit(ready), test) for m in models or known}
-    for m, space in (tune or {}).items():
-        best, _ = V.random_search(known[m], space, ready, n_iter=n_iter, label="label", fold_key=key)
-        scored[f"{m}_tuned"] = _scored(best, test)
+    prep = FE.WideFeatures(num, cat, impute).fit(tr)
+    ready, test = materialize(prep.transform(tr)), materialize(prep.transform(te))
+    known = {"logistic": "logistic", "ridge": "ridge", **tree_models(trees)}
+    wanted = {m: known[m] for m in models}
+    if tune:
+        spaces = {m: (known[m], space) for m, space in tune.items()}
+        found = V.search_trees(ready, prep.cols, "label", key, spaces, n_iter)
+        best = found.groupBy("family").agg(F.max_by("draw", F.struct("mean_score", -F.col("draw"))).alias("draw")).collect()  # one row per family
+        drawn = V.draws_of(spaces, n_iter)
+        wanted |= {f"{r.family}_tuned": drawn[r.family][r.draw] for r in sorted(best)}
+    scored = model_scores(ready, test, prep.cols, "label", key, wanted, [leads] if leads else [])
     table = M.score_table(scored, "label", "p", leads, key if leads else None).withColumn("partner", F.lit(name))
-    for frame in (ready, test, x):
-        frame.unpersist()
     higher = metric not in {"rmse", "log_loss", "ece"}
     top = V.get_best_model(table, metric, higher).select("model").first()
     return rank_models(table.withColumn("best", F.col("model") == F.lit(top[0])), metric, ascending=not higher)
