@@ -12,12 +12,11 @@ anything else), so copies are never paired.  Nodes that share a band meet at tha
 of up to ``SMALL_KEY`` nodes compares them all.  In a crowded key, where all pairs would grow with the
 square of a family, each member is compared with the hub, the member that shares most bands with
 others (the centre of a family of edited copies), and with its neighbour in the order of a further band
-and the size (texts with the same edit or cut).  Where a key then still holds several components, every
-member outside the largest one is compared with all members of other components, in blocks and on the
-sketches; the best pairs of two components are verified first, the next ones only while the two stay
-apart, until none is left.  So two texts that share a band are in one class exactly if links
-connect them.  A comparison passes a size test (exact) and a sketch test (wrong with a chance under
-1e-9) and is verified on the texts.
+and the size (texts with the same edit or cut).  Keys that then still hold several components are settled in one
+pass: every member outside the largest one meets all members of other components, in blocks of bounded rows and
+bytes.  A block holds the texts' regions, so it compares exactly, keeps its own components, and hands on only the
+links that join two of them: fewer than its rows, whatever the size of a family.  So two texts that share a band are
+in one class exactly if links connect them.
 
 All intermediate tables lie in the shared folder; links and components stay distributed.
 """
@@ -46,11 +45,8 @@ SIMILARITY = 0.8
 SKETCH_SHARE = 0.56
 #: Nodes up to which a key compares all of them.
 SMALL_KEY = 8
-#: Members of a key in one block, and pairs of two components that are verified at first and how their number grows.
-BLOCK = 2048
-FIRST_RIVALS, MORE_RIVALS = 8, 16
-#: Pairs whose sketches are compared at a time.
-PAIRS_AT_ONCE = 20_000
+#: Members of a key in one block and bytes of their regions, and cells of a comparison at a time.
+BLOCK, BLOCK_BYTES, CELLS = 1024, 16 << 20, 16 << 20
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -239,22 +235,12 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     hubs = crowded.groupBy("key").agg(F.max(F.struct("hub", "node")).alias("h")).select("key", F.col("h.node").alias("leader"))
     pairs = small.withColumnRenamed("node", "leader").join(small, "key").select("leader", "node")
     pairs = pairs.union(crowded.join(hubs, "key").select("leader", "node")).union(_neighbours(crowded))
-    tried = stored(_alike(_similar_size(_unordered(pairs), info)), "tried")
-    links = stored(_verify(tried, texts), "links")
+    links = stored(_verify(_alike(_similar_size(_unordered(pairs), info)), texts), "links")
     comps = components(links)
-    # further rounds: members of different components in one key, until no pair is left that was not compared
-    members, limit = crowded.select("key", "node"), FIRST_RIVALS
-    while True:
-        rivals = stored(_rivals(members, comps, info, limit), "rivals")
-        pairs = stored(_unordered(rivals).join(tried, ["leader", "node"], "left_anti"), "tried")
-        more = stored(_verify(pairs, texts), "links")
-        if more.limit(1).count():
-            links = links.union(more)
-            comps = components(links)
-        left = stored(rivals.filter("more").select("key").distinct(), "left")
-        if not left.limit(1).count():
-            break
-        members, tried, limit = members.join(left, "key", "left_semi"), tried.union(pairs), limit * MORE_RIVALS
+    # last pass: members of different components in one key, until each two are linked or compared
+    more = stored(_block_links(crowded.select("key", "node"), comps, info, texts), "links")
+    if more.limit(1).count():
+        comps = components(links.union(more))
     copies = nodes.select("fp", F.col("node").alias("copy_of"))
     out = signed.select("id", "fp").join(copies, "fp", "left")
     out = out.join(comps.withColumnRenamed("node", "copy_of"), "copy_of", "left").withColumn("class_id", F.coalesce("comp", "copy_of"))
@@ -288,58 +274,75 @@ def _neighbours(crowded: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"leader {kind}, node {kind}")
 
 
-def _rivals(members: DataFrame, comps: DataFrame, info: DataFrame, limit: int) -> DataFrame:
-    """(key, leader, node, more): pairs of members (key, node) of one key and different components that pass the size
-    and the sketch test, the ``limit`` best ones by sketch for each two components of a block; ``more`` says
-    that these two have further ones.  A pair counts in the first band that it shares (a small key has compared
-    it already).
+def _regions(texts: DataFrame) -> DataFrame:
+    """(node, regions, n): the sorted region hashes of each text as one binary value."""
 
-    Of two components one is not the largest of the key, so only members outside that one lead.  Blocks
-    hold about ``BLOCK`` leaders and members by hash, and each leader meets each member in one block.
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in text_slices(batches, 1):
+            made = [np.sort(weighted_regions(shingles(WORD.findall(t)))) for t in texts_of(piece, 1)]
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([m.tobytes() for m in made], pa.binary()), pa.array([len(m) for m in made], pa.int64())], ["node", "regions", "n"])
+
+    kind = texts.schema["node"].dataType.simpleString()
+    return texts.select("node", "text").mapInArrow(run, f"node {kind}, regions binary, n long")
+
+
+def join_links(comp: np.ndarray, leads: np.ndarray, regions: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of rows that are similar and join two components, in a block: row i leads if ``leads[i]``; leaders meet all
+    other rows of components that are different when their turn comes."""
+    x, y = np.flatnonzero(leads), np.flatnonzero(~leads)
+    if not len(x) or not len(y):
+        return []
+    sizes = np.array([len(r) for r in regions])
+    known, codes = np.unique(np.concatenate(regions), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    label = pd.factorize(comp)[0]
+    met = np.concatenate([codes[starts[j] : starts[j + 1]] for j in y])
+    first = np.concatenate([[0], np.cumsum(sizes[y])[:-1]])
+    out = []
+    step = max(1, min(256, CELLS // max(len(met), len(known))))
+    for a in range(0, len(x), step):
+        part = x[a : a + step]
+        held = np.zeros((len(part), len(known)), np.uint8)
+        for k, i in enumerate(part):
+            held[k, codes[starts[i] : starts[i + 1]]] = 1
+        both = np.add.reduceat(held[:, met], first, axis=1, dtype=np.int32)
+        alike = both / (sizes[part][:, None] + sizes[y] - both) >= SIMILARITY
+        for k, i in enumerate(part):
+            near = y[alike[k]]
+            apart, at = np.unique(label[near], return_index=True)
+            for other, j in zip(apart.tolist(), near[at].tolist(), strict=True):
+                if other != label[i]:
+                    out.append((int(i), int(j)))
+                    label[label == other] = label[i]
+    return out
+
+
+def _block_links(members: DataFrame, comps: DataFrame, info: DataFrame, texts: DataFrame) -> DataFrame:
+    """(leader, node): links between different components of the members (key, node) of a key, enough to connect all that are
+    similar.
+
+    Of two components one is not the largest of the key, so only members outside that one lead.  A key's leaders and
+    members go to blocks by hash, as many as its rows and bytes ask for, and each leader meets each member in one
+    block.
     """
-    placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("big"))
-    several = sizes.select("key", "m", F.col("big.comp").alias("largest"), (F.col("m") - F.col("big.c")).alias("l")).filter("l > 0")
-    placed = placed.join(several, "key").join(info.select("node", "n", "sketch", "bands"), "node")
-    l_blocks, m_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("l", "m"))
+    placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(info.select("node", "n"), "node")
+    by_comp = placed.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("size"))
+    sizes = by_comp.groupBy("key").agg(F.sum("c").alias("m"), F.sum("size").alias("m_size"), F.max(F.struct("c", "comp", "size")).alias("big"))
+    several = sizes.select("key", "m", "m_size", F.col("big.comp").alias("largest"), (F.col("m") - F.col("big.c")).alias("l"), (F.col("m_size") - F.col("big.size")).alias("l_size")).filter("l > 0")
+    placed = stored(placed.drop("n").join(several, "key"), "open")
+    regions = _regions(texts.join(placed.select("node").distinct(), "node", "left_semi"))
+    l_blocks, m_blocks = (F.ceil(F.greatest(F.col(c) / BLOCK, F.col(f"{c}_size") * 8 / BLOCK_BYTES)).cast("int") for c in ("l", "m"))
     own = [F.pmod(F.xxhash64("node", F.lit(salt)), blocks).cast("int") for salt, blocks in ((1, l_blocks), (2, m_blocks))]
-    columns = ["node", "comp", "n", "sketch", "bands"]
-    leaders = placed.filter("comp <> largest").select("key", own[0].alias("lb"), F.explode(F.sequence(F.lit(0), m_blocks - 1)).alias("mb"), F.lit(True).alias("leads"), *columns)
-    others = placed.select("key", F.explode(F.sequence(F.lit(0), l_blocks - 1)).alias("lb"), own[1].alias("mb"), F.lit(False).alias("leads"), *columns)
-    rows = leaders.union(others).repartition("key", "lb", "mb").sortWithinPartitions("key", "lb", "mb")
+    leaders = placed.filter("comp <> largest").select("key", own[0].alias("lb"), F.explode(F.sequence(F.lit(0), m_blocks - 1)).alias("mb"), F.lit(True).alias("leads"), "node", "comp")
+    others = placed.select("key", F.explode(F.sequence(F.lit(0), l_blocks - 1)).alias("lb"), own[1].alias("mb"), F.lit(False).alias("leads"), "node", "comp")
+    rows = leaders.union(others).join(regions.drop("n"), "node").repartition("key", "lb", "mb").sortWithinPartitions("key", "lb", "mb", "leads", "node")
 
-    def compared(block: pa.Table) -> pa.RecordBatch:
+    def linked(block: pa.Table) -> pa.RecordBatch:
         block = block.combine_chunks()
-        leads = block.column("leads").to_numpy()
-        x, y = np.flatnonzero(leads), np.flatnonzero(~leads)
-        comp, n = pd.factorize(block.column("comp").to_pandas())[0], block.column("n").to_numpy()
-        sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint8).reshape(-1, K)
-        bands = block.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        here = block.column("key")[0].as_py()
-        found, scores = [], []
-        step = max(1, PAIRS_AT_ONCE // max(len(y), 1))
-        for a in range(0, len(x), step):
-            part = x[a : a + step, None]
-            near = (comp[part] != comp[y]) & (np.minimum(n[part], n[y]) >= SIMILARITY * np.maximum(n[part], n[y]))
-            i, j = np.nonzero(near)
-            i, j = part[i, 0], y[j]
-            score = (sketch[i] == sketch[j]).mean(axis=1)
-            ok = np.flatnonzero(score >= SKETCH_SHARE)
-            first = (bands[i[ok]] == bands[j[ok]]).argmax(axis=1)
-            ok = ok[bands[i[ok], first] == here]
-            found.append(np.stack([i[ok], j[ok]]))
-            scores.append(score[ok])
-        i, j = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-        score = np.concatenate(scores) if scores else np.empty(0)
-        two = np.minimum(comp[i], comp[j]).astype(np.int64) * len(comp) + np.maximum(comp[i], comp[j])
-        order = np.lexsort((-score, two))
-        starts = np.flatnonzero(np.diff(two[order], prepend=-1))
-        counts = np.diff(np.append(starts, len(order)))
-        rank, count = np.arange(len(order)) - np.repeat(starts, counts), np.repeat(counts, counts)
-        best = rank < limit
-        i, j = i[order][best], j[order][best]
-        key, node = block.column("key").combine_chunks(), block.column("node").combine_chunks()
-        return pa.RecordBatch.from_arrays([key.take(pa.array(i)), node.take(pa.array(i)), node.take(pa.array(j)), pa.array(count[best] > limit)], ["key", "leader", "node", "more"])
+        found = join_links(block.column("comp").to_numpy(), block.column("leads").to_numpy(), [np.frombuffer(r, np.uint64) for r in block.column("regions").to_pylist()])
+        node = block.column("node").combine_chunks()
+        i, j = (pa.array([p[k] for p in found], pa.int64()) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([node.take(i), node.take(j)], ["leader", "node"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []  # the rows of the open block
@@ -347,19 +350,19 @@ def _rivals(members: DataFrame, comps: DataFrame, info: DataFrame, limit: int) -
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(3)], axis=1)
+            ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "lb", "mb")], axis=1)
             cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if held and at != tuple(ids[a]):
-                    yield compared(pa.Table.from_batches(held))
+                    yield linked(pa.Table.from_batches(held))
                     held = []
                 at = tuple(ids[a])
                 held.append(batch.slice(a, b - a))
         if held:
-            yield compared(pa.Table.from_batches(held))
+            yield linked(pa.Table.from_batches(held))
 
     kind = members.schema["node"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key long, leader {kind}, node {kind}, more boolean")
+    return rows.mapInArrow(run, f"leader {kind}, node {kind}").distinct()
 
 
 def _similar_size(pairs: DataFrame, info: DataFrame) -> DataFrame:

@@ -108,8 +108,7 @@ def test_a_chain_is_one_class(spark):
 
 
 def test_pairs_in_a_crowded_key(spark, monkeypatch):
-    """Pairs of one large family that meet in few crowded keys, away from its centre; several blocks
-    and rounds."""
+    """Pairs of one large family that meet in few crowded keys, away from its centre; several blocks."""
     rng = random.Random(17)
 
     def edited(words, n):
@@ -131,12 +130,41 @@ def test_pairs_in_a_crowded_key(spark, monkeypatch):
     for _ in rows:
         for a, b in links:
             want[a] = want[b] = min(want[a], want[b])
-    monkeypatch.setattr(minhash_dedup, "BLOCK", 100, raising=False)
-    monkeypatch.setattr(minhash_dedup, "FIRST_RIVALS", 1, raising=False)
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 100)
     got = {r.doc_id: r.class_id for r in minhash_dedup.near_duplicate_classes(df).collect()}
     assert [got[i] for i in range(len(rows))] == want
 
 
+@pytest.mark.parametrize("cells", [1, 5000, 1 << 24])
+def test_a_block_gives_links_between_components_only(monkeypatch, cells):
+    import numpy as np
+
+    monkeypatch.setattr(minhash_dedup, "CELLS", cells)
+    rng = random.Random(cells)
+    base = list(range(40))
+    sets = [sorted({*rng.sample(base, rng.randint(34, 40)), 100 + rng.randrange(30)}) for _ in range(70)]
+    comp = np.array([rng.choice([1, 1, 1, 2, 3, 10 + i]) for i in range(70)])
+    leads = np.array([c != 1 for c in comp])
+    order = [i for i in range(70) if leads[i]] + list(range(70))  # leaders come again as members
+    found = minhash_dedup.join_links(comp[order], np.array([k < leads.sum() for k in range(len(order))]), [np.array(sets[i], np.uint64) for i in order])
+    assert len(found) < len(set(comp.tolist()))
+
+    def similar(a, b):
+        both = len(set(sets[a]) & set(sets[b]))
+        return both >= 0.8 * (len(sets[a]) + len(sets[b]) - both)
+
+    def closed(links):
+        label = {i: int(comp[i]) for i in range(70)}
+        for a, b in links:
+            old, new = label[a], label[b]
+            label = {i: new if v == old else v for i, v in label.items()}
+        return {frozenset(i for i in label if label[i] == v) for v in label.values()}
+
+    got = [(order[a], order[b]) for a, b in found]
+    assert all(similar(a, b) for a, b in got)
+    assert closed(got) == closed([(a, b) for a in range(70) for b in range(a) if similar(a, b)])
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(rng.randrange(60), rng.randrange(60, 120)) for _ in range(60)] + [(i, i + 1) for i in range(200, 230)]
