@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from enrichlab.session import forget_at_exit
+
 #: Text bytes that a task turns into Python strings at a time.
 SLICE_BYTES = 2 << 20
 
@@ -174,19 +176,22 @@ def work_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: computed once, lineage cut,
-    nothing lost with an executor."""
+    nothing lost with an executor.  The folder goes when the application ends."""
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    forget_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows of one narrow column that may be broadcast.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a side that may be broadcast.
+BROADCAST_BYTES = 48 << 20
 
 
-def bounded_side(ids: DataFrame) -> DataFrame:
-    """``ids``, one narrow column, stored and counted: with a broadcast hint if it has at most
-    ``BROADCAST_ROWS`` rows, else to be joined by shuffle."""
-    ids = stored(ids, "ids")
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+def bounded_side(rows: DataFrame, size: Column | int = 48) -> DataFrame:
+    """``rows`` stored and measured: with a broadcast hint if their sizes (bytes a row, an upper estimate) add up to
+    at most ``BROADCAST_BYTES``, else to be joined by shuffle."""
+    rows = stored(rows, "side")
+    size = F.lit(size) if isinstance(size, int) else size
+    total = rows.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(rows) if total <= BROADCAST_BYTES else rows

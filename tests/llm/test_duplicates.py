@@ -352,6 +352,42 @@ def test_passages_behind_a_common_line(spark):
     assert {r.doc_id for r in rows} == {i for i in range(120) if i % 4 == 1} | {500, 501, 502}
 
 
+def test_edited_passages_behind_strangers(spark):
+    """Pairs with an edited passage, and texts of smaller ids that hold the shingles of all its minima between random
+    words, some of them with words around: at least nine in ten are found."""
+    import numpy as np
+
+    rng = random.Random(12)
+
+    def words(n):
+        return [f"u{rng.randrange(10**7)}" for _ in range(n)]
+
+    texts, pairs, stranger = {}, [], 0
+    for k in range(60):
+        passage = words((64, 110)[k % 2])  # similarity 0.846 and 0.828
+        changed = list(passage)
+        for at in rng.sample(range(3, len(passage) - 3), 1 + k % 2):
+            changed[at] = "changed"
+        a, b = 1000 + 2 * k, 1001 + 2 * k
+        texts[a], texts[b] = " ".join(words(20) + passage + words(30)), " ".join(words(35) + changed + words(10))
+        pairs.append((a, b))
+        own = texts[a].split()
+        places = set()
+        for j in range(passage_dedup.HASHES):
+            places |= set(passage_dedup.compact_windows(passage_dedup.hashed(texts[a]), j)[0].tolist())
+        around = (0, 0, 3)[k % 3]  # a stranger may share a longer phrase
+        out = []
+        for at in sorted(places):
+            out += words(6) + own[max(0, at - around) : at + 5 + around]
+        texts[stranger] = " ".join(out + words(60))
+        stranger += 1
+    rows = passage_dedup.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)).collect()
+    check_rows(texts, rows)
+    found = {(r.rep_id, r.doc_id) for r in rows}
+    assert np.mean([p in found for p in pairs]) >= 0.9
+    assert not any(r.doc_id < 1000 for r in rows)
+
+
 def test_verbatim_passages_across_leaders(spark):
     """Repeats whose places lie inside another document's passage, or behind a partial copy in the least
     document."""
