@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,8 +28,10 @@ from enrichlab.llm.common import fast_findall, text_slices, texts_of
 
 #: Pre-tokens kept per generation of a worker's cache.
 CACHE_WORDS = 160_000
-#: Pre-tokens whose merges are replayed at a time.
-REPLAY_WORDS = 25_000
+#: Pre-tokens whose merges are replayed at a time, and characters of them (one pre-token at least).
+REPLAY_WORDS, REPLAY_CHARS = 25_000, 1 << 19
+#: Bytes beyond which a block, one very long pre-token, is kept in packed arrays: slower, a fifth of the memory.
+LONG_BLOCK = 1 << 20
 
 
 def default_ranks() -> str:
@@ -48,6 +51,13 @@ def load_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line)}
 
 
+def _ints(values=b"") -> array:
+    """32-bit integers, from their bytes or any numbers."""
+    out = array("i")
+    out.frombytes(values) if isinstance(values, bytes) else out.extend(values)
+    return out
+
+
 class MergeReplay:
     """Encodes blocks of byte strings with one rank table."""
 
@@ -83,23 +93,25 @@ class MergeReplay:
         # symbol at each position (-1 between words; a merged-away position is stepped over)
         raw = np.frombuffer(b"\0".join([words[i] for i in todo]) + b"\0", np.uint8)
         size = len(raw)
+        small = size <= LONG_BLOCK
         ends = np.cumsum([len(words[i]) + 1 for i in todo]) - 1
-        symbols = self.byte_ids[raw]
+        symbols = self.byte_ids[raw].astype(np.int32)
         symbols[ends] = -1
         starts = np.concatenate([[0], ends[:-1] + 1])
-        pair = np.full(size, -1, np.int64)
+        pair = np.full(size, -1, np.int32)
         pair[:-1] = self.byte_pairs[raw[:-1], raw[1:]]
         pair[ends] = -1
         pair[ends - 1] = -1
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair, kind="stable").astype(np.int32)
         order = order[np.searchsorted(pair[order], 0) :]
         ranked = pair[order]
         cuts = np.flatnonzero(np.diff(ranked)) + 1
-        index: dict[int, list[int]] = {int(r): x.tolist() for r, x in zip(ranked[np.concatenate([[0], cuts])], np.split(order, cuts), strict=True)} if len(ranked) else {}
-        ids, rank_at = symbols.tolist(), pair.tolist()  # rank_at: rank of the pair that starts here
-        right = list(range(1, size + 1))  # next live position
-        left = list(range(-1, size - 1))  # previous live position
-        gone: list[int] = []
+        index = {int(r): x.tolist() if small else _ints(x.tobytes()) for r, x in zip(ranked[np.concatenate([[0], cuts])], np.split(order, cuts), strict=True)} if len(ranked) else {}
+        # rank_at: rank of the pair that starts here; right, left: next and previous live position
+        held = list if small else _ints
+        ids, rank_at = (x.tolist() if small else _ints(x.tobytes()) for x in (symbols, pair))
+        right, left, gone = held(range(1, size + 1)), held(range(-1, size - 1)), held()
+        del symbols, pair, order, ranked
         heap = list(index)
         heapq.heapify(heap)
         while heap:
@@ -107,7 +119,7 @@ class MergeReplay:
             places = index.pop(r, None)
             if places is None:
                 continue
-            places.sort()
+            places = sorted(places)
             base = r * n
             for k, p in enumerate(places):
                 if rank_at[p] != r:
@@ -126,7 +138,7 @@ class MergeReplay:
                     if x in index:
                         index[x].append(p)
                     else:
-                        index[x] = [p]
+                        index[x] = [p] if small else _ints((p,))
                         heapq.heappush(heap, x)
                 o = left[p]
                 if o >= 0 and (b := ids[o]) >= 0:
@@ -138,15 +150,15 @@ class MergeReplay:
                         if x in index:
                             index[x].append(o)
                         else:
-                            index[x] = [o]
+                            index[x] = [o] if small else _ints((o,))
                             heapq.heappush(heap, x)
                 if again and places[k + 1 :]:  # an earlier merge became possible: it goes first
                     index.setdefault(r, []).extend(places[k + 1 :])
                     heapq.heappush(heap, r)
                     break
-        live = np.array(ids, np.int64)
+        live = np.array(ids, np.int32)
         keep = live >= 0
-        keep[gone] = False
+        keep[np.array(gone, np.int64)] = False
         before = np.concatenate([[0], np.cumsum(keep)])
         packed = live[keep].astype("<u4").tobytes()
         for i, a, b in zip(todo, before[starts].tolist(), before[ends].tolist(), strict=True):
@@ -174,9 +186,13 @@ class TextCodec:
             # the newer half stays beside what this block needs
             recent = list(self.known)[-self.bound // 2 :]
             self.known = {w: self.known[w] for w in {*recent, *(used & self.known.keys())}}
-        for i in range(0, len(new), REPLAY_WORDS):
-            part = new[i : i + REPLAY_WORDS]
-            self.known.update(zip(part, self.replay.encode([w.encode() for w in part]), strict=True))
+        part, size = [], 0
+        for i, w in enumerate(new):
+            part.append(w)
+            size += len(w)
+            if len(part) >= REPLAY_WORDS or size >= REPLAY_CHARS or i + 1 == len(new):
+                self.known.update(zip(part, self.replay.encode([x.encode() for x in part]), strict=True))
+                part, size = [], 0
         get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in words]
 
@@ -243,7 +259,9 @@ def decode_ids(encoded: DataFrame, ids_col: str = "ids", out_col: str = "decoded
 
 
 def encode_and_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """``encode_texts`` and ``decode_ids`` in one pass: the id, ``ids`` and ``decoded``, both binary."""
+    """``encode_texts`` and ``decode_ids`` in one pass: the id, ``ids`` and ``decoded``, both binary.  Null texts are
+    empty, null ids stay, repeated rows repeat, an empty table gives an empty result; a very long text without
+    blanks is one pre-token, whose merges take about 60 bytes of memory a byte."""
     pattern = pattern or default_pattern()
     ranks, key = _inputs(docs, ranks_path, pattern)
 

@@ -53,26 +53,41 @@ def unescape(text: str) -> str:
 
 
 class PartVisitor:
-    """Flattens the parts of one turn; unknown part types are an error."""
+    """Flattens the parts of one turn.  Adjacent text parts are one text, so that what looks like a control string only when
+    they are put together is escaped too.  A part of an unknown type becomes a ``<|part:i|>`` placeholder of no tokens."""
 
     def __init__(self) -> None:
         self.content: list[str] = []
         self.attachments: list[dict] = []
+        self.texts: list[str] = []
 
     def visit(self, part: dict) -> None:
-        getattr(self, f"visit_{part['type'] or 'text'}")(part)
+        getattr(self, f"visit_{part['type'] or 'text'}", self.visit_unknown)(part)
 
     def visit_text(self, part: dict) -> None:
-        self.content.append(escape(part["text"] or ""))
+        self.texts.append(part["text"] or "")
+
+    def finish(self) -> str:
+        """The content so far, with the open text."""
+        if self.texts:
+            self.content.append(escape("".join(self.texts)))
+            self.texts.clear()
+        return "".join(self.content)
+
+    def _place(self, part: dict, name: str, tokens: int) -> None:
+        self.finish()
+        self.content.append(f"<|{name}:{len(self.attachments)}|>")
+        self.attachments.append({"type": part["type"], "ref": part["ref"], "tokens": tokens})
 
     def _attach(self, part: dict) -> None:
-        kind = part["type"]
-        self.content.append(f"<|{kind}:{len(self.attachments)}|>")
         units = 1 if part["units"] is None else part["units"]
-        self.attachments.append({"type": kind, "ref": part["ref"], "tokens": units * UNIT_TOKENS[kind]})
+        self._place(part, part["type"], units * UNIT_TOKENS[part["type"]])
 
     visit_image = visit_audio = visit_document = _attach
 
+    def visit_unknown(self, part: dict) -> None:
+        self._place(part, "part", 0)
+
 
 def format_turn(role: str | None, parts: list[dict] | None) -> tuple[str, list[dict], int, int]:
     """The formatted turn, its attachments, and the span of its content."""
@@ -80,7 +95,7 @@ def format_turn(role: str | None, parts: list[dict] | None) -> tuple[str, list[d
     for part in parts or []:
         visitor.visit(part)
     head = TURN + escape(role or "") + BODY
-    content = "".join(visitor.content)
+    content = visitor.finish()
     return head + content + END, visitor.attachments, len(head), len(head) + len(content)
 
 
@@ -94,7 +109,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     ``expanded_tokens``, their sum.  A conversation longer than ``chunk_chars`` has further rows with
     chunk 1, 2, ..., cut between turns; spans count from the start of their own row.
 
-    Turns go by turn number, ties by role and then by their parts as JSON, nulls first; equal rows are
+    Turns go by turn number, ties by role and then by their parts, nulls first; equal rows are
     all kept.  Null parts and texts are empty, a null role is an empty one, turns with a null
     conversation form one with a null id.  Rows of a conversation stay in one partition, in order.
     """
@@ -104,7 +119,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
         F.col(role_col).cast("string").alias("role"),
         F.col(parts_col).cast(PART_TYPE).alias("parts"),
     )
-    ordered = frame.withColumn("tie", F.to_json("parts")).repartition("conv").sortWithinPartitions("conv", "turn", "role", "tie").drop("tie")
+    ordered = frame.repartition("conv").sortWithinPartitions("conv", "turn", "role", "parts")
     kind = frame.schema["conv"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +173,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 def read_back(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     """What ``format_chats`` wrote, parsed: per conversation ``n_turns``, ``turns_sha256`` (of role,
     newline, text, newline per turn, unescaped), ``loss_chars`` and ``loss_sha256`` of all text under
-    the loss mask, and ``formatted_chars``.
+    the loss mask, and ``formatted_chars``.  An empty frame gives an empty result, a null id stays null.
 
     Takes the frame of ``format_chats`` itself, whose rows lie in order within a partition; each text
     is hashed as it streams by.

@@ -43,6 +43,7 @@ _PATTERNS = {
     "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+"),
     "private_key": re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s]+-----END \1-----"),
 }
+_JWT_RUN = re.compile(r"[A-Za-z0-9_-]*")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 _BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -98,7 +99,11 @@ def find_secrets(text: str) -> list[tuple[int, int, str]]:
     found = [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
     past = dict.fromkeys(KINDS, 0)
     for start, kind in hits:
-        if start < past[kind] or not (m := _PATTERNS[kind].match(text, start)):
+        if start < past[kind]:
+            continue
+        if not (m := _PATTERNS[kind].match(text, start)):
+            if kind == "jwt":  # what follows the run decides, so no later start inside it can do better
+                past[kind] = _JWT_RUN.match(text, start).end()
             continue
         past[kind] = m.end()
         if _VALID[kind](m):
