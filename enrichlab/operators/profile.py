@@ -182,17 +182,39 @@ def correlation_trend(df: DataFrame, field: str, target: str = "sales_count", t:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """All numeric pairs, pairwise-complete guarded correlation, one aggregate; long format
-    (col_a, col_b, corr) with both orders and the diagonal."""
+    """All numeric pairs, pairwise-complete guarded correlation; long format (col_a, col_b, corr) with both orders and the
+    diagonal.
+
+    Rows are grouped by which columns are null; a group's sums of values and products (taken about the
+    columns' means, so that nothing cancels) are shared by all pairs that are complete in it, and a pair adds up its
+    groups: plain sums, one per pair, in one scan.  Null when a pair has fewer than 2 rows or a side does not vary."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{i}").alias("corr")))
-        if a != b:
-            rows.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"{i}").alias("corr")))
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    n = len(cols)
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first() if n else []
+    about = {f"__d{i}": F.coalesce(F.col(c).cast("double") - F.lit(means[i] if means[i] is not None else 0.0), F.lit(0.0)) for i, c in enumerate(cols)}
+    mask = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in cols]) if n else F.lit("")
+    x = df.select(mask.alias("__mask"), *[v.alias(k) for k, v in about.items()])
+    sums = [F.sum(f"__d{i}").alias(f"s{i}") for i in range(n)]
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+    # one row per null pattern
+    groups = x.groupBy("__mask").agg(F.count(F.lit(1)).cast("double").alias("n"), *sums, *[F.sum(F.col(f"__d{i}") * F.col(f"__d{j}")).alias(f"p{i}_{j}") for i, j in pairs])
+    listed = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), "n", F.col(f"s{i}").alias("si"), F.col(f"s{j}").alias("sj"), F.col(f"p{i}_{i}").alias("pii"), F.col(f"p{j}_{j}").alias("pjj"), F.col(f"p{i}_{j}").alias("pij")) for i, j in pairs]
+    long = groups.select("__mask", F.explode(F.array(*listed)).alias("e")).select("__mask", "e.*") if pairs else None
+    if long is None:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+    both = (F.substring("__mask", F.col("i") + 1, F.lit(1)) == "1") & (F.substring("__mask", F.col("j") + 1, F.lit(1)) == "1")
+    total = long.groupBy("i", "j").agg(*[F.sum(F.when(both, F.col(c))).alias(c) for c in ("n", "si", "sj", "pii", "pjj", "pij")])
+
+    def spread(p: str, s: str) -> Column:
+        v = F.col(p) - F.col(s) * F.col(s) / F.col("n")
+        return F.when(v > 1e-12 * F.col(p), v)  # less is rounding: the side does not vary
+
+    cov = F.col("pij") - F.col("si") * F.col("sj") / F.col("n")
+    corr = F.when(F.col("n") >= 2, F.try_divide(cov, F.sqrt(spread("pii", "si")) * F.sqrt(spread("pjj", "sj"))))
+    name = F.array(*[F.lit(c) for c in cols])
+    out = total.select(F.element_at(name, F.col("i") + 1).alias("a"), F.element_at(name, F.col("j") + 1).alias("b"), corr.alias("corr"))
+    both_ways = F.explode(F.array_distinct(F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")), F.struct(F.col("b").alias("col_a"), F.col("a").alias("col_b")))))
+    return out.select(both_ways.alias("r"), "corr").select("r.*", "corr")
 
 
 def numeric_type_detect(df: DataFrame, cols: Sequence[str]) -> DataFrame:

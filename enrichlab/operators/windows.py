@@ -184,3 +184,38 @@ def running_leads(df: DataFrame, order: Sequence[str], leads: str, out: str = "l
     from enrichlab.session import materialize
 
     return global_prefix(materialize(df), list(order), {out: F.col(leads)}, inclusive=False, buckets=buckets)
+
+
+def row_numbers(df: DataFrame, order: Sequence[str], out: str, buckets: int | None = None) -> DataFrame:
+    """0, 1, 2, ... in the global order ``order`` (ascending, nulls first), which must be total: range buckets, no
+    single-task window."""
+    from enrichlab.operators.binning import global_prefix
+    from enrichlab.session import materialize
+
+    x = global_prefix(materialize(df.withColumn("__one", F.lit(1))), list(order), {out: F.col("__one")}, inclusive=False, buckets=buckets)
+    return x.drop("__one").withColumn(out, F.col(out).cast("bigint"))
+
+
+def affine_key(n: int, seed: int) -> tuple[int, int]:
+    """(a, b) of the bijection i -> (a i + b) mod n: a near the golden section of n, moved on by the seed to a number
+    coprime to n, so that neighbours land far apart."""
+    import math
+
+    a = max(int(n * 0.6180339887498949), 1) + 7919 * seed
+    while math.gcd(a, n) != 1:
+        a += 1
+    return a, (104729 * (seed + 1)) % max(n, 1)
+
+
+def permuted_column(df: DataFrame, c: str, row_key: str, seed: int = 0, out: str | None = None, numbered: DataFrame | None = None) -> DataFrame:
+    """``df`` with the values of ``c`` dealt to other rows by a global permutation: rows are numbered by ``row_key`` (unique), and
+    row (a i + b) mod n gets the value of row i.  One join by number; a seed gives the same permutation whatever the
+    partitions.  ``numbered`` is ``row_numbers(df, [row_key], "__i")`` where several permutations share it."""
+    x = numbered if numbered is not None else row_numbers(df, [row_key], "__i")
+    n = x.count()
+    if not n:
+        return df.withColumn(out or c, F.col(c))
+    a, b = affine_key(n, seed)
+    values = x.select(F.pmod(F.col("__i") * F.lit(a % n).cast("decimal(38,0)") + F.lit(b), F.lit(n)).cast("bigint").alias("__i"), F.col(c).alias("__value"))
+    j = x.join(values, "__i")
+    return j.withColumn(out or c, F.col("__value")).select(*df.columns, *([out] if out and out not in df.columns else []))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -66,6 +66,23 @@ def attribute_feature_report(df: DataFrame, features: Sequence[str], sales: str
     return out
 
 
+def feature_tables(df: DataFrame, features: Sequence[str], sales: str = "sales_count", k: int = 10, k_numeric: int = 5, max_distinct: int = 20) -> DataFrame:
+    """The tables of ``attribute_feature_report`` in one scan: (feature, position, value, leads, sales_sum, l2s).  Rows are unpivoted once to (feature,
+    value, sales), combined per value in each task, and ranked per feature by leads and then by value; ranks beyond the
+    top are dropped before the exchange.  Numeric features with more than ``max_distinct`` values have no table."""
+    present = [f for f in features if f in df.columns]
+    numeric = [f for f in present if isinstance(df.schema[f].dataType, NumericType)]
+    cells = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value"), (F.col(f).cast("double") if f in numeric else F.lit(None).cast("double")).alias("number")) for f in present]
+    long = df.select(F.explode(F.array(*cells)).alias("e"), F.col(sales).alias("s")).select("e.*", "s").filter("value is not null and not coalesce(isnan(number), false)")
+    g = long.groupBy("feature", "value", "number").agg(F.count("s").alias("leads"), F.sum("s").cast("bigint").alias("sales_sum"))
+    if numeric:
+        many = g.filter(F.col("number").isNotNull()).groupBy("feature").agg(F.count(F.lit(1)).alias("d")).filter(F.col("d") > max_distinct)
+        g = g.join(many.select("feature"), "feature", "left_anti")
+    order = Window.partitionBy("feature").orderBy(F.desc("leads"), "number", "value")
+    top = g.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= F.when(F.col("number").isNull(), k).otherwise(k_numeric))
+    return top.filter(F.col("position") <= max(k, k_numeric)).select("feature", "position", "value", "leads", "sales_sum", F.try_divide(F.col("sales_sum").cast("double"), F.col("leads")).alias("l2s"))
+
+
 def partner_report(frame: DataFrame, fields: Sequence[str] = ("loanamount", "creditscore"),
                    ts: str = "clickout_date") -> dict[str, DataFrame]:
     """Analyses 1-5 on the general analysis frame: null rates (overall, per month, co-null),

@@ -5,7 +5,6 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from enrichlab.operators import features as FE
-from enrichlab.operators import metrics as M
 from enrichlab.operators import models as MD
 from enrichlab.operators import validate as V
 from enrichlab.plans import registry as REG
@@ -37,10 +36,23 @@ def test_soft_voting_and_importance(spark, mf):
     assert v.filter(F.col("p").isNull()).count() == 0
     imp = MD.feature_importance(m2, [f"f{i}" for i in range(len(m2.featureImportances))], spark)
     assert imp.count() == len(m2.featureImportances)
-    auc = lambda s: M.roc_auc(V._with_p(s), "label", "p").first()[0]
-    pi = MD.permutation_importance(Pipeline(stages=[prep, m1]).fit(mf), mf, ["normalized_p_cr_sale"], "label", auc,
-                                   repeats=2, buckets=4)
-    assert pi.count() == 1
+    pipe = Pipeline(stages=[prep, m1]).fit(mf)
+    pi = MD.permutation_importance(lambda x: V._with_p(pipe.transform(x)), mf, ["normalized_p_cr_sale", "network"], "label", repeats=3).collect()
+    assert {r.feature for r in pi} == {"normalized_p_cr_sale", "network"} and all(r.importance_std >= 0 for r in pi)
+    ignored = MD.permutation_importance(lambda x: V._with_p(pipe.transform(x)), mf, ["company"], "label", repeats=2).first()
+    assert ignored.importance_mean == 0 and ignored.importance_std == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 97, 100])
+def test_permutation_is_global_and_complete(spark, n):
+    from enrichlab.operators import windows as W
+
+    df = spark.createDataFrame([(i, i * 10, None if i == 3 else f"v{i}") for i in range(n)], "k int, v int, s string").repartition(5)
+    a, b = W.affine_key(n, 2)
+    for parts in (1, 7):
+        got = {r.k: r.v for r in W.permuted_column(df.repartition(parts), "v", "k", 2).collect()}
+        assert got == {(a * i + b) % n: i * 10 for i in range(n)}
+    assert sorted(r.s or "" for r in W.permuted_column(df, "s", "k", 1).collect()) == sorted(f"v{i}" if i != 3 else "" for i in range(n))
 
 
 def test_split_by_ratio_stable(spark, mf):
