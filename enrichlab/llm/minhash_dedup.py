@@ -238,7 +238,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     links = stored(_verify(_alike(_similar_size(_unordered(pairs), info)), texts), "links")
     comps = components(links)
     # last pass: members of different components in one key, until each two are linked or compared
-    more = stored(_block_links(crowded.select("key", "node"), comps, info, texts), "links")
+    more = stored(_block_links(info, comps, texts), "links")
     if more.limit(1).count():
         comps = components(links.union(more))
     copies = nodes.select("fp", F.col("node").alias("copy_of"))
@@ -317,19 +317,23 @@ def join_links(comp: np.ndarray, leads: np.ndarray, regions: list[np.ndarray]) -
     return out
 
 
-def _block_links(members: DataFrame, comps: DataFrame, info: DataFrame, texts: DataFrame) -> DataFrame:
-    """(leader, node): links between different components of the members (key, node) of a key, enough to connect all that are
-    similar.
+def _block_links(info: DataFrame, comps: DataFrame, texts: DataFrame) -> DataFrame:
+    """(leader, node): links between different components of the members of a crowded key (``info``: node, n, places), enough to
+    connect all that are similar.
 
     Of two components one is not the largest of the key, so only members outside that one lead.  A key's leaders and
     members go to blocks by hash, as many as its rows and bytes ask for, and each leader meets each member in one
     block.
     """
-    placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(info.select("node", "n"), "node")
+    labelled = info.filter(F.size("places") > 0).select("node", "n", F.col("places.key").alias("keys")).join(comps, "node", "left")
+    labelled = stored(labelled.withColumn("comp", F.coalesce("comp", "node")), "labelled")
+    # keys that hold several components; all others are settled
+    apart = labelled.select("comp", F.explode("keys").alias("key")).groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
+    placed = stored(labelled.select("node", "n", "comp", F.explode("keys").alias("key")).join(apart, "key", "left_semi"), "open")
     by_comp = placed.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("size"))
     sizes = by_comp.groupBy("key").agg(F.sum("c").alias("m"), F.sum("size").alias("m_size"), F.max(F.struct("c", "comp", "size")).alias("big"))
     several = sizes.select("key", "m", "m_size", F.col("big.comp").alias("largest"), (F.col("m") - F.col("big.c")).alias("l"), (F.col("m_size") - F.col("big.size")).alias("l_size")).filter("l > 0")
-    placed = stored(placed.drop("n").join(several, "key"), "open")
+    placed = placed.drop("n").join(several, "key")
     regions = _regions(texts.join(placed.select("node").distinct(), "node", "left_semi"))
     l_blocks, m_blocks = (F.ceil(F.greatest(F.col(c) / BLOCK, F.col(f"{c}_size") * 8 / BLOCK_BYTES)).cast("int") for c in ("l", "m"))
     own = [F.pmod(F.xxhash64("node", F.lit(salt)), blocks).cast("int") for salt, blocks in ((1, l_blocks), (2, m_blocks))]
@@ -361,7 +365,7 @@ def _block_links(members: DataFrame, comps: DataFrame, info: DataFrame, texts: D
         if held:
             yield linked(pa.Table.from_batches(held))
 
-    kind = members.schema["node"].dataType.simpleString()
+    kind = info.schema["node"].dataType.simpleString()
     return rows.mapInArrow(run, f"leader {kind}, node {kind}").distinct()
 
 
