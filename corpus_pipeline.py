@@ -17,20 +17,23 @@ from enrichlab.llm.decontaminate import drop_leaks
 from enrichlab.llm.minhash_dedup import keep_one_of_each
 from enrichlab.llm.quality_rules import keep_quality
 from enrichlab.llm.secret_scan import redact_secrets
+from enrichlab.session import forget_at_exit
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; the references are counted over this stage's input."""
+    """Documents that the quality rules keep; the references are counted over this stage's input.  Null and empty texts go
+    (they have no words); null ids and repeated rows are kept as they are."""
     return keep_quality(docs)
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one with the least id."""
+    """One document of each near-duplicate class, the one with the least id; of repeated rows one.  Texts without words are one
+    class; rows with a null id stay."""
     return keep_one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; null texts and ids stay, an empty benchmark changes nothing."""
     return drop_leaks(docs, read(spark, sf_dir, "benchmark"))
 
 
@@ -44,7 +47,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of what is kept, checked by decoding."""
+    """Byte-level BPE ids of what is kept, checked by decoding; a null text has no ids."""
     done = encode_and_decode(docs)
     return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -63,9 +66,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the stages' tables lie in the shared checkpoint folder."""
+    """All stages over ``documents``; the stages' tables lie in the shared checkpoint folder until the application ends.  An
+    empty table gives an empty result."""
     docs = read(spark, sf_dir, "documents")
     folder = f"{work_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    forget_at_exit(spark, folder)
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
