@@ -8,8 +8,8 @@ two that differ in at most ``RADIUS`` bits agree in some block up to ``RADIUS //
 each block up in a table of its near values finds all of them.  Windows within the radius are verified by
 the exact weighted Jaccard similarity of their shingles with the item's.
 
-A window without any shingle of an item has similarity 0, so only windows around such shingles are
-fingerprinted.  Fingerprints of windows at similarity 0.8 differ in about 10 bits; ``RADIUS`` lies
+A window without any shingle of an item has similarity 0, so an exact look-up of shingles chooses the windows that are
+fingerprinted, and the multi-index chooses the items that each of them is compared with.  Fingerprints of windows at similarity 0.8 differ in about 10 bits; ``RADIUS`` lies
 more than four deviations above.
 
 The items are broadcast in blocks of at most ``block_shingles`` shingles (one pass over the documents
@@ -36,6 +36,8 @@ SIMILARITY = 0.8
 BLOCKS = 8
 RADIUS = 23
 BLOCK_SHINGLES = 2_000_000
+#: What an item counts in a block besides its text: a block has at most 10,000 items, its tables 20 MB.
+ITEM_SIZE = 200
 #: Windows that are compared at a time.
 WINDOWS = 4096
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -142,7 +144,7 @@ class Items:
 def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_shingles: int) -> Iterator[list[tuple]]:
     """The items in blocks of bounded size, each text once, by the least id that has it."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text")).filter("item is not null and text is not null")
-    items = items.groupBy("item", "text").count().select("item", "text", (F.length("text") / 2 + 1).cast("long").alias("size"))
+    items = items.groupBy("item", "text").count().select("item", "text", (F.length("text") / 2 + ITEM_SIZE).cast("long").alias("size"))
     total = items.agg(F.sum("size")).first()[0] or 0
     blocks = int(total // block_shingles) + 1
     for b in range(blocks):
@@ -194,7 +196,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """The rows of ``docs`` without any window similar to an item, with all their columns."""
+    """The rows of ``docs`` without any window similar to an item, with all their columns.  Rows with a null or empty text or a
+    null id stay, repeated rows are judged alike, an empty ``docs`` or ``benchmark`` changes nothing."""
     at = docs.columns.index(text_col)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
     for items in _item_blocks(benchmark, item_col, item_text_col, block_shingles):

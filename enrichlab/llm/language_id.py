@@ -28,6 +28,8 @@ from enrichlab.llm.common import text_slices, texts_of
 
 DIMS = 1 << 15
 WEIGH_DOCS = 20_000
+#: Languages that a model learns at most.
+MAX_LANGS = 256
 #: Margins are mean log-likelihood ratios per n-gram times this.
 SHARPNESS = 8.0
 #: Texts whose two best scores are closer than this are ambiguous.
@@ -161,12 +163,16 @@ def _bit_weights(train: DataFrame, model: LanguageModel, weigh_docs: int) -> np.
     return share / share.sum(axis=1, keepdims=True)
 
 
-def learn(docs: DataFrame, use: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", weigh_docs: int = WEIGH_DOCS) -> LanguageModel:
+def learn(docs: DataFrame, use: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", weigh_docs: int = WEIGH_DOCS, max_langs: int = MAX_LANGS) -> LanguageModel:
     """A model from the rows of ``docs`` where ``use`` holds and neither text nor language is null.
 
-    No such row gives a model without languages, which predicts ``und`` everywhere.
+    At most ``max_langs`` languages are learned, those with most documents (dirty tags may be many; what the driver holds is
+    bounded by this).  No such row gives a model without languages, which predicts ``und`` everywhere.
     """
     train = docs.filter(use & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    common = train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs + 1).collect()
+    if len(common) > max_langs:
+        train = train.filter(F.col("lang").isin([r.lang for r in common[:max_langs]]))
     counts = _gram_counts(train)
     langs = sorted(counts)
     code = codewords(len(langs))

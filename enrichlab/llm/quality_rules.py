@@ -180,19 +180,22 @@ def _collect(counted: DataFrame, common: int) -> list[dict]:
     from enrichlab.llm.common import stored
 
     counted = stored(counted, "quality-words")
+    # at most a thousand languages hold a thousandth of the documents: nothing of the others leaves the cluster
+    docs = counted.filter(F.col("word") == f" {len(CLASSES)}").select("lang", "n")
+    whole = docs.agg(F.sum("n")).first()[0] or 0
+    enough = sorted(r.lang for r in docs.filter(F.col("n") * 1000 >= whole).collect())
+    kept = counted.filter(F.col("lang").isin(enough))
     classes: dict[str, dict[int, int]] = {}
-    for r in counted.filter(F.col("word").startswith(" ")).collect():
+    for r in kept.filter(F.col("word").startswith(" ")).collect():
         classes.setdefault(r.lang, {})[int(r.word)] = r.n
-    docs = {lang: c[len(CLASSES)] for lang, c in classes.items()}
-    enough = {lang for lang, n in docs.items() if 1000 * n >= sum(docs.values())}
-    words = counted.filter(~F.col("word").startswith(" "))
+    words = kept.filter(~F.col("word").startswith(" "))
     totals = {r.lang: r.total for r in words.groupBy("lang").agg(F.sum("total").alias("total")).collect()}
     top: dict[str, list] = {}
-    for lang in sorted(enough):  # a top-k each: partial in every task, never a sort of all words
+    for lang in enough:  # a top-k each: partial in every task, never a sort of all words
         rows = words.filter(F.col("lang") == lang).orderBy(F.desc("n"), "word").limit(common).collect()
         top[lang] = [(r.word, r.total) for r in rows]
     out = []
-    for lang in sorted(enough):
+    for lang in enough:
         shares = np.array([classes[lang].get(i, 0) for i in range(len(CLASSES))], float)
         listed = np.array([t for _, t in top[lang]], float)
         whole = max(totals.get(lang, 0), 1)
@@ -257,7 +260,8 @@ def measure_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits()) -> DataFrame:  # noqa: B008
-    """The rows of ``docs`` that the rules keep, with all their columns."""
+    """The rows of ``docs`` that the rules keep, with all their columns.  Null texts count as empty and go (no words); null ids and
+    repeated rows stay as they are; an empty table gives an empty result."""
     references = docs.sparkSession.sparkContext.broadcast(language_references(docs, text_col, lang_col, limits.common))
     at = docs.columns.index(text_col)
 

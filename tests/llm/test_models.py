@@ -80,3 +80,20 @@ def test_classifier_edges(spark, edges, nothing):
     none = quality_classifier.train(nothing, labels, F.lit(True))
     assert {r.score for r in quality_classifier.score(edges, none).collect()} == {0.5}
     assert quality_classifier.score(nothing, weights).count() == 0
+
+
+def test_many_dirty_tags_are_bounded(spark):
+    rows = [(i, ("the old house by the sea and the wind" if i % 2 else "das alte haus an der see und der wind") + f" {i}", "en" if i % 2 else "de") for i in range(60)]
+    rows += [(1000 + i, f"noise {i}", f"tag{i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(docs, F.lit(True), max_langs=2)
+    assert model.langs == ["de", "en"]
+    assert len(language_id.learn(docs, F.lit(True)).langs) == 52
+
+
+def test_references_of_rare_languages_stay_on_the_cluster(spark):
+    from enrichlab.llm import quality_rules
+
+    rows = [(f"word{i % 7} and the text number {i}", "en") for i in range(2500)] + [("rare words", f"tag{i}") for i in range(2)] + [("einige worte hier", "de")] * 5
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert [r["lang"] for r in quality_rules.language_references(docs, "text", "lang", 5)] == ["de", "en"]
