@@ -133,17 +133,21 @@ def schema_profile(df: DataFrame, rsd: float | None = None) -> DataFrame:
 
 def leads_distribution(df: DataFrame, leads: str = "leads") -> DataFrame:
     """One row: rows, rows with > 1 lead (count and %), min / max / median / std of leads,
-    rows with 0 leads."""
-    x = F.col(leads)
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(x > 1).alias("rows_gt_1"),
-        (F.count_if(x > 1) * 100.0 / F.count(F.lit(1))).alias("pct_gt_1"),
+    rows with 0 leads.  All from the counts per value, so the median never sees the raw column."""
+    x, n = F.col("__x"), F.col("__n")
+    counts = df.groupBy(F.col(leads).alias("__x")).agg(F.count(F.lit(1)).alias("__n"))
+    known = F.when(x.isNotNull(), n)
+    total, s1, s2 = F.sum(known), F.sum(x.cast("double") * n), F.sum(x.cast("double") * x * n)
+    above = F.coalesce(F.sum(F.when(x > 1, n)), F.lit(0))
+    return counts.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
+        above.alias("rows_gt_1"),
+        F.try_divide(above * 100.0, F.sum(n)).alias("pct_gt_1"),
         F.min(x).alias("min_leads"),
         F.max(x).alias("max_leads"),
-        F.percentile(x, 0.5).alias("median_leads"),
-        F.stddev_samp(x).alias("std_leads"),
-        F.count_if(x == 0).alias("zero_lead_rows"),
+        F.expr("percentile(__x, 0.5, __n)").alias("median_leads"),
+        F.when(total > 1, F.sqrt(F.greatest((s2 - s1 * s1 / total) / (total - 1), F.lit(0.0)))).alias("std_leads"),
+        F.coalesce(F.sum(F.when(x == 0, n)), F.lit(0)).alias("zero_lead_rows"),
     )
 
 

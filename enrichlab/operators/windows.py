@@ -128,10 +128,19 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
 
 
 def latest_attribute_rank(df: DataFrame, key: str = "subid", order: Sequence[str] = ("transaction_date",),
-                           tiebreak: Sequence[str] = (), out: str = "rnn") -> DataFrame:
-    """``row_number() over (partition by key order by order desc, tiebreak desc)`` as a column.
+                           tiebreak: Sequence[str] = (), out: str = "rnn", skew_safe: bool = True) -> DataFrame:
+    """``row_number() over (partition by key order by order desc nulls last, tiebreak desc nulls last)`` as a column; the order must be
+    total.  Ranked the other way round by ``skew_safe_row_number``, which cuts a hot key into several tasks and needs no
+    descending order of strings; a key's rows minus that rank, plus one, is the rank.
     To *filter* on rank 1 use ``latest_per_key`` (an aggregate, skew-safe)."""
-    return row_rank(df, [key], [F.col(c).desc_nulls_last() for c in (*order, *tiebreak)], out)
+    cols = list(dict.fromkeys((*order, *tiebreak)))
+    if not skew_safe:
+        return row_rank(df, [key], [F.col(c).desc_nulls_last() for c in cols], out)
+    there = {f"__there{i}": F.col(c).isNotNull().cast("int") for i, c in enumerate(cols)}
+    x = skew_safe_row_number(df.withColumns(there), [key], [(n, True) for pair in zip(there, cols) for n in pair], "__asc")
+    rows = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).cast("int").alias("__rows"))
+    j = x.join(rows, x[key].eqNullSafe(rows["__key"]))
+    return j.withColumn(out, F.col("__rows") - F.col("__asc") + 1).drop("__key", "__rows", "__asc", *there)
 
 
 def duplicate_flags(df: DataFrame, keys: Sequence[str]) -> DataFrame:
