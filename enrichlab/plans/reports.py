@@ -87,9 +87,11 @@ def partner_report(frame: DataFrame, fields: Sequence[str] = ("loanamount", "cre
                    ts: str = "clickout_date") -> dict[str, DataFrame]:
     """Analyses 1-5 on the general analysis frame: null rates (overall, per month, co-null),
     per-value stats, quantile bins of the first numeric field, per-company stats, per-field
-    correlation or category tables, and the leads distribution."""
+    correlation or category tables, and the leads distribution.  A field is numeric if all its values parse as
+    numbers, whatever its type (one aggregate)."""
     f = frame.withColumn("l2s", F.try_divide(F.col("sales").cast("double"), F.col("leads")))
     key_cols = ["subid", "company", "transaction_date", "leads", "qls", "sales", "l2s", "clickout_date"]
+    numeric = {r.field for r in P.numeric_type_detect(f, list(fields)).collect() if r.is_numeric}
     out = {
         "null_rates": P.null_rates_fields(f, key_cols),
         "null_rates_by_month": P.null_rates_by_month(f, ts, list(fields)),
@@ -101,16 +103,29 @@ def partner_report(frame: DataFrame, fields: Sequence[str] = ("loanamount", "cre
         out["co_null"] = P.co_null_check(f, fields[1], fields[0])
     for fld in fields:
         out[f"value_stats_{fld}"] = A.field_value_stats(f, fld)
-        if isinstance(f.schema[fld].dataType, NumericType):
+        if fld in numeric:
             out[f"correlation_{fld}"] = P.correlation_with_targets(f, fld)
         else:
             out[f"categories_{fld}"] = A.category_top10_by_sales(f, fld)
-    num = [x for x in fields if isinstance(f.schema[x].dataType, NumericType)]
+    num = [x for x in fields if x in numeric]
     if num:
         out[f"bins_{num[0]}"] = B.quantile_bins_with_null_bin(f, num[0], 6)
     return out
 
 
+def report_rows(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Tables of any shape as one: (report, row, measure, value), a row per number.  ``row`` joins the text and date columns of the
+    table's row, or those that ``keys`` names; nulls in it are empty."""
+    out = None
+    for name, t in tables.items():
+        own = list((keys or {}).get(name, [f.name for f in t.schema.fields if not isinstance(f.dataType, NumericType)]))
+        row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in own]) if own else F.lit("")
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in t.columns if c not in own]))
+        part = t.select(F.lit(name).alias("report"), row.alias("row"), cells.alias("e")).select("report", "row", "e.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 #: Search spaces of the tuned models (a ``range`` of integers, a pair of float bounds, a list).
 TUNING = {
     "random_forest": {"trees": range(100, 500), "depth": range(3, 20), "min_split": range(2, 20), "min_leaf": range(1, 10),
