@@ -65,6 +65,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def folder_state(spark: SparkSession, path: str) -> tuple:
+    """Name, length and time of every entry of a folder, whatever store it is in."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    entries = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    return tuple(sorted((e.getPath().getName(), e.getLen(), e.getModificationTime()) for e in entries))
+
+
 def forget_at_exit(spark: SparkSession, path: str) -> None:
     """Have an intermediate folder deleted when the application ends, whatever store it is in."""
     jvm = spark.sparkContext._jvm
