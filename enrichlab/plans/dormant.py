@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from enrichlab.operators.profile import distinct_count
+from enrichlab.operators.profile import column_facts, distinct_count
 from enrichlab.plans import extracts as X
 from enrichlab.operators import windows as W
 from enrichlab.sources.scans import ExtractParams
@@ -93,9 +93,21 @@ def recent_window_report(df: DataFrame, date: str, cols: Sequence[str], months:
 
 def data_quality_summary(df: DataFrame, company: str, cols: Sequence[str], rsd: float | None = None) -> DataFrame:
     """Null %, distinct non-null values (estimated if ``rsd`` is given) and a grade (good < 40 %,
-    warn < 60 %, poor) per feature, overall (company = 'ALL') and per company - one grouping-sets
-    aggregate over one scan."""
+    warn < 60 %, poor) per feature, overall (company = 'ALL') and per company, from one scan (``column_facts``)."""
     present = [c for c in cols if c in df.columns]
+    if rsd is None:
+        facts = column_facts(df, present, company).filter(F.col("all") | F.col("by").isNotNull())
+        long = facts.select(F.when(F.col("all"), "ALL").otherwise(F.col("by")).alias(company), F.col("rows").alias("__n"), F.col("column").alias("feature"),
+                            F.col("nulls").alias("null_count"), F.col("distinct").alias("unique_count"))
+    else:
+        long = _estimated_quality(df, company, present, rsd)
+    pct = F.try_divide(F.col("null_count") * 100.0, F.col("__n"))
+    return long.select(company, "feature", pct.alias("null_pct"), "unique_count",
+                       F.when(pct < 40, "good").when(pct < 60, "warn").otherwise("poor").alias("grade"))
+
+
+def _estimated_quality(df: DataFrame, company: str, present: Sequence[str], rsd: float) -> DataFrame:
+    """The counts of ``data_quality_summary`` with estimated distinct values: one grouping-sets aggregate."""
     aggs = [F.count(F.lit(1)).alias("__n")]
     for c in present:
         aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), distinct_count(c, rsd).alias(f"{c}__distinct")]
@@ -104,15 +116,16 @@ def data_quality_summary(df: DataFrame, company: str, cols: Sequence[str], rsd:
         company, F.when(F.col("__all") == 1, "ALL").otherwise(F.col(company))).drop("__all")
     rows = [F.struct(F.lit(c).alias("feature"), F.col(f"{c}__nulls").alias("null_count"),
                      F.col(f"{c}__distinct").alias("unique_count")) for c in present]
-    long = both.select(company, "__n", F.explode(F.array(*rows)).alias("r")).select(company, "__n", "r.*")
-    pct = F.col("null_count") * 100.0 / F.col("__n")
-    return long.select(company, "feature", pct.alias("null_pct"), "unique_count",
-                       F.when(pct < 40, "good").when(pct < 60, "warn").otherwise("poor").alias("grade"))
+    return both.select(company, "__n", F.explode(F.array(*rows)).alias("r")).select(company, "__n", "r.*")
 
 
 def feature_info(df: DataFrame, cols: Sequence[str] | None = None, rsd: float | None = None) -> DataFrame:
-    """dtype, nulls, distinct values and numeric flag per column (one aggregate)."""
+    """dtype, nulls, distinct values and numeric flag per column (one scan)."""
     cols = list(cols) if cols is not None else df.columns
+    if rsd is None and cols:
+        kinds = F.create_map(*[F.lit(x) for c in cols for x in (c, df.schema[c].dataType.simpleString())])
+        numbers = [c for c in cols if isinstance(df.schema[c].dataType, NumericType)]
+        return column_facts(df, cols).select("column", F.element_at(kinds, F.col("column")).alias("dtype"), "nulls", "distinct", F.col("column").isin(numbers).alias("is_numeric"))
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}__nulls") for c in cols],
                   *[distinct_count(c, rsd).alias(f"{c}__distinct") for c in cols])
     rows = [F.struct(F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
