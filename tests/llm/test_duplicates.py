@@ -259,6 +259,26 @@ def test_leaks_of_edges(spark, edges, nothing):
     assert decontaminate.drop_leaks(edges, bench.limit(0)).count() == len(EDGES)
 
 
+def test_coverable_places_are_those_of_some_stretch():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for _ in range(150):
+        match = rng.random(rng.integers(1, 160)) < rng.choice([0.5, 0.85, 0.9, 0.95, 1.0])
+        score = np.where(match, 1, -passage_dedup.WORTH)
+        want = np.zeros(len(match), bool)
+        for i in range(len(match)):
+            for j in range(i + passage_dedup.MIN_SHINGLES, len(match) + 1):
+                if score[i:j].sum() >= 0:
+                    want[i:j] = True
+        got = passage_dedup._coverable(match)
+        assert got.tolist() == want.tolist()
+        for at in range(0, len(match), 7):
+            span = passage_dedup._stretch(match, at)
+            if span and span[1] - span[0] >= passage_dedup.MIN_SHINGLES:
+                assert got[at]
+
+
 def test_compact_windows_equal_brute_force():
     rng = random.Random(3)
     for _ in range(150):
