@@ -11,7 +11,7 @@ coordinate is the same in two documents with probability equal to their weighted
 anything else), so copies are never paired.  Nodes that share a band meet at that band's key.  A key
 of up to ``SMALL_KEY`` nodes compares them all.  In a crowded key, where all pairs would grow with the
 square of a family, each member is compared with the hub, the member that shares most bands with
-others (the centre of a family of edited copies), and with its neighbour in the order of a further band
+others (the centre of a family of edited copies), and, if that left them apart, with its neighbour in the order of a further band
 and the size (texts with the same edit or cut).  Keys that then still hold several components are settled in one
 pass: every member outside the largest one meets all members of other components, in blocks of bounded rows and
 bytes.  A block holds the texts' regions, so it compares exactly, keeps its own components, and hands on only the
@@ -231,12 +231,17 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     beside = F.element_at("bands", (F.col("band") + 1) % BANDS + 1).alias("next")
     crowded = info.select("node", "hub", "n", "bands", F.inline("places")).select("key", "node", "hub", "n", beside)
     crowded = stored(crowded, "crowded")
-    # first pass: all pairs of a small key; in a crowded key each member with the hub and with a neighbour
+    # first pass: all pairs of a small key; in a crowded key each member with the hub, then with a neighbour
     hubs = crowded.groupBy("key").agg(F.max(F.struct("hub", "node")).alias("h")).select("key", F.col("h.node").alias("leader"))
-    pairs = small.withColumnRenamed("node", "leader").join(small, "key").select("leader", "node")
-    pairs = pairs.union(crowded.join(hubs, "key").select("leader", "node")).union(_neighbours(crowded))
-    links = stored(_verify(_alike(_similar_size(_unordered(pairs), info)), texts), "links")
+    pairs = _unordered(small.withColumnRenamed("node", "leader").join(small, "key").select("leader", "node"))
+    pairs = pairs.union(crowded.join(hubs, "key").filter("leader <> node").select("leader", "node").distinct())
+    links = stored(_fewer(_verify(_alike(_similar_size(pairs, info)), texts)), "links")
     comps = components(links)
+    # a neighbour that the hubs have linked already adds nothing
+    nearby = stored(_verify(_alike(_similar_size(_apart(_unordered(_neighbours(crowded)), comps), info)), texts), "links")
+    if nearby.limit(1).count():
+        links = links.union(nearby)
+        comps = components(links)
     # last pass: members of different components in one key, until each two are linked or compared
     more = stored(_block_links(info, comps, texts), "links")
     if more.limit(1).count():
@@ -252,6 +257,23 @@ def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("leader <> node").select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")).distinct()
 
 
+def _fewer(links: DataFrame) -> DataFrame:
+    """The same components by fewer links: each node with the least of its leaders, and its leaders one after the other.  The members of
+    a family have the same few hubs, so a member keeps one link, however many keys it shares with them."""
+    held = links.groupBy("node").agg(F.array_sort(F.collect_set("leader")).alias("leaders"))  # at most a few per band
+    pair = lambda i: F.struct(F.element_at("leaders", i).alias("leader"), F.element_at("leaders", i + 1).alias("node"))
+    rows = held.filter(F.size("leaders") > 1).select(F.inline(F.transform(F.sequence(F.lit(1), F.size("leaders") - 1), pair)))
+    return held.select(F.element_at("leaders", 1).alias("leader"), "node").union(rows.distinct())
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs that no links connect yet."""
+    a = comps.select(F.col("node").alias("leader"), F.col("comp").alias("comp_a"))
+    b = comps.select("node", F.col("comp").alias("comp_b"))
+    j = pairs.join(b, "node", "left").join(a, "leader", "left")
+    return j.filter(F.coalesce("comp_a", "leader") != F.coalesce("comp_b", "node")).select("leader", "node")
+
+
 def _neighbours(crowded: DataFrame) -> DataFrame:
     """(leader, node): members of a key next to each other by a further band and then by size.  Dealt
     out by ranges, so a crowded key is split over tasks; two members that fall on either side of a cut are

@@ -469,3 +469,15 @@ def test_stages_keep_columns_on_edges(spark, edges, nothing):
             out = stored(stage(spark, frame, SF), name)
             assert out.columns == frame.columns
         assert corpus_pipeline.STAGES[-1][1](spark, frame, SF).count() == frame.count()
+
+
+def test_links_of_a_family_grow_with_its_members(spark):
+    """Members that meet the same hubs at every band keep a link each; the components stay."""
+    hubs, members = range(10), range(100, 400)
+    links = [(h, m) for m in members for h in hubs if (m + h) % 10 or m % 7] + [(900, 901), (901, 902), (900, 902)]
+    few = minhash_dedup._fewer(spark.createDataFrame(links, "leader long, node long").repartition(5))
+    assert few.count() <= len(members) + len(hubs) ** 2 + 3 < len(links) / 5
+    comp = {r.node: r.comp for r in minhash_dedup.components(few).collect()}
+    assert comp == {**{n: 0 for n in (*hubs, *members)}, 900: 900, 901: 900, 902: 900}
+    apart = minhash_dedup._apart(spark.createDataFrame([(0, 399), (0, 900), (5, 777)], "leader long, node long"), minhash_dedup.components(few))
+    assert {tuple(r) for r in apart.collect()} == {(0, 900), (5, 777)}
