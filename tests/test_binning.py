@@ -189,6 +189,32 @@ def test_bucket_count_follows_the_rows(spark):
     assert B.bucket_count(df, 5000 * B.ROWS_PER_BUCKET + 1) == 5001
 
 
+def test_range_buckets_by_bisection(spark):
+    """The same bucket as ``range_bucket_expr`` with few comparisons a row, all of them generated code."""
+    import contextlib
+    import io
+
+    rng = random.Random(5)
+    odd = [None, float("nan"), float("inf"), -0.0]
+    rows = [(rng.choice(["", "a", "b", "\u00e9", None]), rng.choice(odd) if i % 7 == 0 else rng.random(), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "s string, p double, k long").repartition(3)
+    for order, buckets in ((["s", "p", "k"], 200), (["p"], 4), (["k", "s"], 1), (["s"], 3)):
+        x = B.with_range_bucket(df, order, "b", buckets).withColumn("old", B.range_bucket_expr(df, order, buckets))
+        assert x.columns == ["s", "p", "k", "b", "old"]
+        assert all(r.b == r.old for r in x.select("b", "old").collect())
+    x = B.with_range_bucket(df, ["s", "p", "k"], "b", 200)
+    assert x.select("b").distinct().count() > 150
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        x.explain()
+    plan = buf.getvalue()
+    assert "lambda" not in plan and plan.count("CASE WHEN") == 8
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        B.global_prefix(df, ["s", "p", "k"], {"before": F.lit(1)}, buckets=200).explain()
+    assert "lambda" not in buf.getvalue()
+
+
 def test_answers_do_not_depend_on_the_bucket_count(spark):
     import random
 
