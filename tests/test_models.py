@@ -67,3 +67,17 @@ def test_get_best_model_direction(spark):
     m = spark.createDataFrame([("a", 0.7, 0.4), ("b", 0.8, 0.5)], "model string, roc_auc double, rmse double")
     assert V.get_best_model(m, "roc_auc").first()["model"] == "b"
     assert V.get_best_model(m, "rmse").first()["model"] == "a"
+
+
+def test_one_join_deals_all_columns(spark):
+    """Every column gets what ``permuted_column`` deals to it alone, from one join."""
+    from enrichlab.operators import windows as W
+
+    df = spark.createDataFrame([(i * 3, float(i), f"s{i}" if i % 5 else None) for i in range(101)], "k long, v double, s string").repartition(3)
+    numbered = W.row_numbers(df, ["k"], "__i")
+    both = W.permuted_values(numbered, ["v", "s"], 4)
+    assert str(both._jdf.queryExecution().optimizedPlan()).count("Join Inner") == 1
+    got = {r["k"]: (r["__value0"], r["__value1"]) for r in both.collect()}
+    v, s = ({r["k"]: r[c] for r in W.permuted_column(df, c, "k", 4).collect()} for c in ("v", "s"))
+    assert got == {k: (v[k], s[k]) for k in v} and len(got) == 101 and any(got[k][0] != k / 3 for k in got)
+    assert W.permuted_values(numbered.limit(0), ["v", "s"]).count() == 0
