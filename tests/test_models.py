@@ -81,3 +81,18 @@ def test_one_join_deals_all_columns(spark):
     v, s = ({r["k"]: r[c] for r in W.permuted_column(df, c, "k", 4).collect()} for c in ("v", "s"))
     assert got == {k: (v[k], s[k]) for k in v} and len(got) == 101 and any(got[k][0] != k / 3 for k in got)
     assert W.permuted_values(numbered.limit(0), ["v", "s"]).count() == 0
+
+
+def test_rule_of_typed_numbers_is_not_parsed(spark):
+    """Doubles and integers are compared as they are, with the rules that their text would give; text is still parsed."""
+    values = [None, float("nan"), float("inf"), -0.0, 0.1, 11.999999999999998, 12.0, 17.0, 17.5, 18.0, 1e300, 119999.99999999999, 120000.0]
+    rows = [(a, r, legal) for a in values for r in values for legal in ("LLC", "sole", None)]
+    df = spark.createDataFrame(rows, "a double, r double, legal string")
+    typed, parsed = MD.rule_id_expr("a", "r", "legal", df), MD.rule_id_expr("a", "r", "legal")
+    assert df.filter(~typed.eqNullSafe(parsed)).count() == 0
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "rlike" not in plan(df.select(typed)) and "rlike" in plan(df.select(parsed))
+    whole = df.selectExpr("try_cast(a as long) a", "try_cast(r as int) r", "legal")
+    assert whole.filter(~MD.rule_id_expr("a", "r", "legal", whole).eqNullSafe(MD.rule_id_expr("a", "r", "legal"))).count() == 0
+    text = df.selectExpr("concat(' ', cast(a as string)) a", "cast(r as string) r", "legal")
+    assert "rlike" in plan(text.select(MD.rule_id_expr("a", "r", "legal", text)))
