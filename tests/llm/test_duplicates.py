@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from enrichlab.llm import decontaminate, minhash_dedup, passage_dedup
+from enrichlab.llm import common, decontaminate, minhash_dedup, passage_dedup
 from enrichlab.llm.common import stored
 from tests.llm.conftest import EDGES
 
@@ -429,6 +429,38 @@ def test_verbatim_passages_across_leaders(spark):
     assert {r.doc_id for r in rows} == set(texts)
 
 
+def test_stretches_meet_the_first_of_their_key_across_batches(spark):
+    rng = random.Random(13)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (1, 2, 3, 7, 1000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+            rows = [(f"d{rng.randrange(4)}", rng.randrange(12), i) for i in range(60)]
+            least = {}
+            for doc, key, place in rows:
+                least[key] = min(least.get(key, (doc, place)), (doc, place))
+            want = sorted((least[key][0], doc, place, least[key][1], 0) for doc, key, place in rows if doc != least[key][0])
+            df = spark.createDataFrame(rows, "doc string, key long, place int")
+            assert sorted(map(tuple, passage_dedup._stretch_star(df).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_passages_in_blocks_leave_no_shuffle_files_and_few_tables(spark, frame, monkeypatch, tmp_path):
+    want = sorted(map(tuple, passage_dedup.repeated_passages(frame).collect()))
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: sum(f.getName().startswith("shuffle_") for f in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(files.getAllFiles()))
+    monkeypatch.setattr(passage_dedup, "PAIRS", 20)
+    monkeypatch.setattr(common, "work_dir", lambda session: str(tmp_path))
+    before, cleanup = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    out = passage_dedup.repeated_passages(frame)
+    assert shuffled() <= before
+    left = {p.name.split("-")[0] for p in tmp_path.iterdir()}
+    assert "rows" in left and not left & {"prints", "copies", "met", "exact", "pairs", "left", "second"}
+    assert sorted(map(tuple, out.collect())) == want
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == cleanup
+
+
 def test_passages_of_edges(edges, nothing):
     rows = passage_dedup.repeated_passages(edges).collect()
     assert {r.doc_id for r in rows} == {5, 6} and {r.rep_id for r in rows} == {5}
