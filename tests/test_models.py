@@ -96,3 +96,25 @@ def test_rule_of_typed_numbers_is_not_parsed(spark):
     assert whole.filter(~MD.rule_id_expr("a", "r", "legal", whole).eqNullSafe(MD.rule_id_expr("a", "r", "legal"))).count() == 0
     text = df.selectExpr("concat(' ', cast(a as string)) a", "cast(r as string) r", "legal")
     assert "rlike" in plan(text.select(MD.rule_id_expr("a", "r", "legal", text)))
+
+
+def test_score_table_is_each_models_own_row_in_one_set_of_jobs(spark, monkeypatch):
+    """Ties, nulls, one class only, a constant score and a model without rows."""
+    from enrichlab.operators import metrics as M
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "y double, p double, leads int, key string").repartition(3)
+
+    rows = [(float(i % 3 == 0), ((i * 37) % 50) / 50, i % 4, f"k{i}") for i in range(120)]
+    scored = {"a": frame(rows), "b": frame([(0.0, p, n, k) for _, p, n, k in rows]), "c": frame([(y, 0.25, n, k) for y, _, n, k in rows]),
+              "d": frame([(y, None if i % 7 == 0 else p, n, k) for i, (y, p, n, k) in enumerate(rows)]), "e": frame([])}
+    for leads, key in ((None, None), ("leads", "key")):
+        want = {m: M.score_row(df, model=m, leads=leads, row_key=key).first() for m, df in scored.items()}
+        calls = []
+        with monkeypatch.context() as patch:
+            patch.setattr(M, "roc_auc", lambda *a, **k: pytest.fail("a set of jobs per model"))
+            patch.setattr(M, "grouped_scores", lambda *a, f=M.grouped_scores, **k: calls.append(1) or f(*a, **k))
+            got = {r.model: r for r in M.score_table(scored, leads=leads, row_key=key).collect()}
+        assert len(calls) == 1 and list(got) == list(scored)
+        for m, w in want.items():
+            assert got[m].asDict() == pytest.approx(w.asDict(), nan_ok=True)
