@@ -118,3 +118,26 @@ def test_score_table_is_each_models_own_row_in_one_set_of_jobs(spark, monkeypatc
         assert len(calls) == 1 and list(got) == list(scored)
         for m, w in want.items():
             assert got[m].asDict() == pytest.approx(w.asDict(), nan_ok=True)
+
+
+def test_forest_estimator_is_the_forest_of_its_rows(spark, monkeypatch):
+    """Probabilities, classes and importances of a forest on few code vectors, the vectors being all that its trees grow on."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from enrichlab.operators import boosting as BO
+
+    df = spark.range(6000).select((F.col("id") % 37 / 37).alias("a"), (F.col("id") % 5).cast("double").alias("b"), (F.pmod(F.xxhash64("id"), F.lit(10)) < F.col("id") % 37 / 4).cast("double").alias("label"), "id").repartition(4)
+    x = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    monkeypatch.setattr(BO, "VECTOR_ROWS", 0)
+    monkeypatch.setattr(BO, "LOCAL_ROWS", 0)
+    monkeypatch.setattr(BO.fit, "__defaults__", (0,))
+    monkeypatch.setattr(BO, "_spread_trees", lambda *a: pytest.fail("a job per level"))
+    model = MD.random_forest(num_trees=30, max_depth=6, labelCol="label").fit(x)
+    out = model.transform(x)
+    assert {"rawPrediction", "probability", "prediction"} <= set(out.columns)
+    r = out.groupBy("a").agg(F.avg(F.element_at(MD.vector_to_array("probability"), 2)).alias("p"), F.avg("label").alias("y"), F.max("prediction").alias("c")).collect()
+    assert len(r) == 37 and all(abs(z.p - z.y) < 0.15 and z.c in (0.0, 1.0) for z in r)
+    imp = model.featureImportances.toArray()
+    assert imp[0] > 0.8 and sum(imp) == pytest.approx(1)
+    voted = MD.soft_voting(x, [model, model])
+    assert voted.filter(F.col("p").isNull()).count() == 0 and set(voted.columns) == {*x.columns, "p"}
